@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.operators.chunks import (
@@ -14,11 +14,12 @@ from pricegrid.operators.chunks import (
     add_chunk,
     drop_chunk,
     group_keys,
-    micros,
+    over,
 )
 from pricegrid.schemas import DEFAULT_GAP_HOURS
 
-_FROM_START = (Window.unboundedPreceding, Window.currentRow)
+_SO_FAR = "UNBOUNDED PRECEDING AND CURRENT ROW"
+_EARLIER = "UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def neighbours(
@@ -39,66 +40,48 @@ def neighbours(
     """
     chunked = add_chunk(df, ts_col, chunk_hours)
     groups = group_keys(keys, chunk_hours)
-    part = Window.partitionBy(*groups)
-    ahead = part.orderBy(F.col(ts_col).asc()).rowsBetween(*_FROM_START)
-    back = part.orderBy(F.col(ts_col).desc()).rowsBetween(*_FROM_START)
-    us = micros(ts_col)
-
-    def known_at(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), us)
+    kinds = ["v", "t"] if need_times else ["v"]
 
-    prev, nxt = [], []
-    for c in cols:
-        prev.append(F.last(c, ignorenulls=True).over(ahead).alias(f"__pv_{c}"))
-        nxt.append(F.last(c, ignorenulls=True).over(back).alias(f"__nv_{c}"))
-        if need_times:
-            prev.append(F.last(known_at(c), ignorenulls=True).over(ahead).alias(f"__pt_{c}"))
-            nxt.append(F.last(known_at(c), ignorenulls=True).over(back).alias(f"__nt_{c}"))
-    near = chunked.select("*", *prev).select("*", *nxt)
+    def known(c: str, kind: str) -> str:
+        return f"`{c}`" if kind == "v" else f"nvl2(`{c}`, unix_micros(`{ts_col}`), NULL)"
+
+    def last(value: str, parts, order: str, frame: str) -> str:
+        return f"last({value}, true) {over(parts, order, frame)}"
+
+    near = chunked
+    for side, order in (("p", f"`{ts_col}`"), ("n", f"`{ts_col}` DESC")):
+        near = near.selectExpr(
+            "*",
+            *[
+                f"{last(known(c, k), groups, order, _SO_FAR)} AS `__{side}{k}_{c}`"
+                for c in cols
+                for k in kinds
+            ],
+        )
     if chunk_hours is None:
         return near
 
     edges = []
     for c in cols:
-        edges += [
-            F.min_by(c, known_at(c)).alias(f"__fv_{c}"),
-            F.max_by(c, known_at(c)).alias(f"__lv_{c}"),
-        ]
+        at = known(c, "t")
+        edges += [f"min_by(`{c}`, {at}) AS `__fv_{c}`", f"max_by(`{c}`, {at}) AS `__lv_{c}`"]
         if need_times:
-            edges += [
-                F.min(known_at(c)).alias(f"__ft_{c}"),
-                F.max(known_at(c)).alias(f"__lt_{c}"),
-            ]
-    summary = chunked.groupBy(*groups).agg(*edges)
-    series = Window.partitionBy(*keys)
-    before = series.orderBy(F.col(CHUNK).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    after = series.orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    kinds = ["v", "t"] if need_times else ["v"]
-    carried = summary.select(
-        *groups,
-        *[
-            F.last(f"__l{k}_{c}", ignorenulls=True).over(before).alias(f"__cp{k}_{c}")
-            for c in cols
-            for k in kinds
-        ],
-        *[f"__f{k}_{c}" for c in cols for k in kinds],
-    ).select(
-        "*",
-        *[
-            F.last(f"__f{k}_{c}", ignorenulls=True).over(after).alias(f"__cn{k}_{c}")
-            for c in cols
-            for k in kinds
-        ],
-    )
-    merged = near.join(carried.drop(*[f"__f{k}_{c}" for c in cols for k in kinds]), groups)
-    return merged.select(
-        *[F.col(c) for c in chunked.columns],
-        *[
-            F.coalesce(f"__{d}{k}_{c}", f"__c{d}{k}_{c}").alias(f"__{d}{k}_{c}")
-            for c in cols
-            for d in ("p", "n")
-            for k in kinds
-        ],
+            edges += [f"min({at}) AS `__ft_{c}`", f"max({at}) AS `__lt_{c}`"]
+    carried = chunked.groupBy(*groups).agg(*[F.expr(e) for e in edges])
+    for side, edge, order in (("p", "l", CHUNK), ("n", "f", f"{CHUNK} DESC")):
+        carried = carried.selectExpr(
+            "*",
+            *[
+                f"{last(f'`__{edge}{k}_{c}`', keys, order, _EARLIER)} AS `__c{side}{k}_{c}`"
+                for c in cols
+                for k in kinds
+            ],
+        )
+    found = [f"{side}{k}_{c}" for c in cols for side in ("p", "n") for k in kinds]
+    edge_rows = carried.select(*groups, *[f"__c{name}" for name in found])
+    return near.join(edge_rows, groups).selectExpr(
+        *[f"`{c}`" for c in chunked.columns],
+        *[f"coalesce(`__{name}`, `__c{name}`) AS `__{name}`" for name in found],
     )
 
 
@@ -127,23 +110,18 @@ def ffill_bfill(
         c for c in df.columns if c not in (*keys, ts_col, CHUNK)
     ]
     near = neighbours(df, names, keys, ts_col, chunk_hours, need_times=False)
-    filled = {c: F.coalesce(f"__pv_{c}", f"__nv_{c}") for c in names}
-    return drop_chunk(
-        near.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
-    )
+    filled = {c: f"coalesce(`__pv_{c}`, `__nv_{c}`) AS `{c}`" for c in names}
+    return drop_chunk(near.selectExpr(*[filled.get(c, f"`{c}`") for c in df.columns]))
 
 
-def _repaired(c: str, ts_col: str, max_gap: int) -> Column:
-    pv, nv = F.col(f"__pv_{c}"), F.col(f"__nv_{c}")
-    pt, nt = F.col(f"__pt_{c}"), F.col(f"__nt_{c}")
-    hours_in = (micros(ts_col) - pt) / F.lit(HOUR_US)
-    hours_all = F.nullif((nt - pt) / F.lit(HOUR_US), F.lit(0.0))
+def _repaired(c: str, ts_col: str, max_gap: int) -> str:
+    pv, nv, pt, nt = (f"`__{k}_{c}`" for k in ("pv", "nv", "pt", "nt"))
+    hours_in = f"((unix_micros(`{ts_col}`) - {pt}) / {HOUR_US})"
+    hours_all = f"nullif(({nt} - {pt}) / {HOUR_US}, 0)"
     return (
-        F.when(F.col(c).isNotNull(), F.col(c))
-        .when(pv.isNull(), nv)
-        .when(nv.isNull(), pv)
-        .when(nt - pt <= (max_gap + 1) * HOUR_US, pv + (nv - pv) * hours_in / hours_all)
-        .otherwise(pv)
+        f"CASE WHEN `{c}` IS NOT NULL THEN `{c}` WHEN {pv} IS NULL THEN {nv} "
+        f"WHEN {nv} IS NULL THEN {pv} WHEN {nt} - {pt} <= {(max_gap + 1) * HOUR_US} "
+        f"THEN {pv} + ({nv} - {pv}) * {hours_in} / {hours_all} ELSE {pv} END AS `{c}`"
     )
 
 
@@ -159,7 +137,7 @@ def repair_columns(
     near = neighbours(df, cols, keys, ts_col, chunk_hours)
     names = add_chunk(df, ts_col, chunk_hours).columns
     fixed = {c: _repaired(c, ts_col, max_gap_hours) for c in cols}
-    return near.select(*[fixed[c].alias(c) if c in fixed else F.col(c) for c in names])
+    return near.selectExpr(*[fixed.get(c, f"`{c}`") for c in names])
 
 
 def gap_repair(

@@ -94,13 +94,16 @@ def hourly_grid(
     chunk_hours: int | None = CHUNK_HOURS,
     until=None,
     resample: str | None = None,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """All hours from the first to the last instant of each (series, batch).
 
     The axis starts at the first instant, not at the full hour. Missing hours
     become rows of nulls and instants off the axis are dropped; instants must
     be unique. ``resample='mean'`` averages finer data into hours beforehand
-    instead of dropping it. ``until`` extends the axis into the future.
+    instead of dropping it. ``until`` extends the axis into the future. With
+    ``keep_chunk`` a repair that follows, in chunks of the same size, finds the
+    rows in place and does not shuffle them again.
     """
     if resample == "mean":
         values = [c for c in df.columns if c not in (*series_cols, *batch_cols, ts_col)]
@@ -113,4 +116,4 @@ def hourly_grid(
         raise ValueError(f"unknown resample method {resample!r}")
     keys = [*series_cols, *batch_cols]
     grid = chunked_grid(df, keys, ts_col, chunk_hours, until)
-    return drop_chunk(grid).select(*df.columns)
+    return grid if keep_chunk else drop_chunk(grid).select(*df.columns)

@@ -4,28 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricegrid.operators.chunks import CHUNK, CHUNK_HOURS, home_rows, row_index, with_halo
+from pricegrid.operators.chunks import (
+    CHUNK,
+    CHUNK_HOURS,
+    home_rows,
+    over,
+    row_index,
+    with_halo,
+)
 from pricegrid.schemas import DIFFS, LAGS, ROLLING
 
-STATS = ("mean", "std", "min", "max")
+STATS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
-def _frame_stats(value: Column, window, size: int) -> dict[str, Column]:
+def _frame_stats(value: str, parts: Sequence[str], ts_col: str, size: int) -> dict[str, str]:
     """Statistics over the ``size`` rows before the current one, null unless full."""
-    frame = window.rowsBetween(-size, -1)
-    full = F.count(value).over(frame) == size
+    frame = over(parts, f"`{ts_col}`", f"{size} PRECEDING AND 1 PRECEDING")
     return {
-        "mean": F.when(full, F.avg(value).over(frame)),
-        "std": F.when(full, F.stddev_samp(value).over(frame)),
-        "min": F.when(full, F.min(value).over(frame)),
-        "max": F.when(full, F.max(value).over(frame)),
+        stat: f"CASE WHEN count({value}) {frame} = {size} THEN {fn}({value}) {frame} END"
+        for stat, fn in STATS.items()
     }
 
 
-def _joined_stats(names: dict[str, str], window, size: int, base: int) -> dict[str, Column]:
+def _shifted(name: str, steps: int) -> str:
+    return f"`{name}`" if steps == 0 else f"`__{name}_{steps}`"
+
+
+def _joined_stats(names: dict[str, str], size: int, base: int) -> dict[str, str]:
     """Statistics of a long frame from adjacent short frames of ``base`` rows.
 
     The long frame is the union of short frames that end 0, base, 2*base, ...
@@ -33,30 +41,19 @@ def _joined_stats(names: dict[str, str], window, size: int, base: int) -> dict[s
     merged as within-frame plus between-frame parts, which stays stable for
     large values. A missing part makes the result missing.
     """
-    steps = [k * base for k in range(size // base)]
-
-    def parts(stat: str) -> list[Column]:
-        return [F.lag(names[stat], s).over(window) if s else F.col(names[stat]) for s in steps]
-
-    def total(cols: list[Column]) -> Column:
-        out = cols[0]
-        for c in cols[1:]:
-            out = out + c
-        return out
-
-    means = parts("mean")
-    full = means[0].isNotNull()
-    for m in means[1:]:
-        full = full & m.isNotNull()
-    mean = total(means) / len(steps)
-    squares = total(
-        [s * s * (base - 1) + (m - mean) * (m - mean) * base for s, m in zip(parts("std"), means)]
+    steps = range(0, size, base)
+    part = {stat: [_shifted(name, k) for k in steps] for stat, name in names.items()}
+    mean = f"(({' + '.join(part['mean'])}) / {len(steps)})"
+    squares = " + ".join(
+        f"{s} * {s} * {base - 1} + ({m} - {mean}) * ({m} - {mean}) * {base}"
+        for s, m in zip(part["std"], part["mean"])
     )
+    full = f"CASE WHEN {mean} IS NOT NULL THEN"
     return {
         "mean": mean,
-        "std": F.sqrt(squares / (size - 1)),
-        "min": F.when(full, F.least(*parts("min"))),
-        "max": F.when(full, F.greatest(*parts("max"))),
+        "std": f"sqrt(({squares}) / {size - 1})",
+        "min": f"{full} least({', '.join(part['min'])}) END",
+        "max": f"{full} greatest({', '.join(part['max'])}) END",
     }
 
 
@@ -83,37 +80,53 @@ def lag_features(
     keys = list(series_cols)
     reach = max([*lags, *windows, *diffs])
     chunk_hours = max(chunk_hours, reach)
+    kept = [c for c in df.columns if c != CHUNK]
     index_col = None
     if not regular:
         index_col = "__index"
         df = row_index(df, keys, ts_col, index_col=index_col)
     wide = with_halo(df, reach, keys, ts_col, chunk_hours, index_col)
-    window = Window.partitionBy(*keys, CHUNK).orderBy(ts_col)
-    value = F.col(target_col)
+    parts = [*keys, CHUNK]
+    value = f"`{target_col}`"
+    window = over(parts, f"`{ts_col}`")
 
-    first, second = {}, {}
-    for k in lags:
-        first[f"{target_col}_lag_{k}{suffix}"] = F.lag(value, k).over(window)
-    done: list[int] = []
+    def rolling(stat: str, size: int) -> str:
+        return f"{target_col}_rolling_{stat}_{size}{suffix}"
+
+    first = {f"{target_col}_lag_{k}{suffix}": f"lag({value}, {k}) {window}" for k in lags}
+    first |= {
+        f"{target_col}_diff_{k}{suffix}": f"{value} - lag({value}, {k}) {window}" for k in diffs
+    }
+    short: list[int] = []
+    joined: dict[int, int] = {}
     for size in sorted(windows):
-        base = next((b for b in reversed(done) if b > 1 and size % b == 0), None)
-        if base is None:
-            for stat, c in _frame_stats(value, window, size).items():
-                first[f"{target_col}_rolling_{stat}_{size}{suffix}"] = c
-            done.append(size)
-        else:
-            names = {s: f"{target_col}_rolling_{s}_{base}{suffix}" for s in STATS}
-            for stat, c in _joined_stats(names, window, size, base).items():
-                second[f"{target_col}_rolling_{stat}_{size}{suffix}"] = c
-    for k in diffs:
-        first[f"{target_col}_diff_{k}{suffix}"] = value - F.lag(value, k).over(window)
-
-    out = wide.withColumns(first)
-    if second:
-        out = out.withColumns(second)
-    order = [c for c in df.columns if c not in (CHUNK, "__index")]
-    order += [f"{target_col}_lag_{k}{suffix}" for k in lags]
-    order += [f"{target_col}_rolling_{s}_{n}{suffix}" for n in windows for s in STATS]
+        base = next((b for b in reversed(short) if b > 1 and size % b == 0), None)
+        if base is not None:
+            joined[size] = base
+            continue
+        short.append(size)
+        stats = _frame_stats(value, parts, ts_col, size)
+        first |= {rolling(stat, size): text for stat, text in stats.items()}
+    out = wide.selectExpr("*", *[f"{text} AS `{name}`" for name, text in first.items()])
+
+    if joined:
+        shifts = {
+            (rolling(stat, base), k)
+            for size, base in joined.items()
+            for k in range(base, size, base)
+            for stat in STATS
+        }
+        moved = [f"lag(`{n}`, {k}) {window} AS {_shifted(n, k)}" for n, k in sorted(shifts)]
+        second = [
+            f"{text} AS `{rolling(stat, size)}`"
+            for size, base in joined.items()
+            for stat, text in _joined_stats(
+                {stat: rolling(stat, base) for stat in STATS}, size, base
+            ).items()
+        ]
+        out = out.selectExpr("*", *moved).selectExpr("*", *second)
+    order = [*kept, *[f"{target_col}_lag_{k}{suffix}" for k in lags]]
+    order += [rolling(stat, size) for size in windows for stat in STATS]
     order += [f"{target_col}_diff_{k}{suffix}" for k in diffs]
     return home_rows(out).select(*order)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.operators.chunks import CHUNK, CHUNK_HOURS, add_chunk, drop_chunk
@@ -87,10 +87,10 @@ def valid_range(
     return df.withColumn(price_col, F.when(price.between(*bounds), price))
 
 
-def _clipped(c: str, mean, std, n_std: float):
-    low, high = mean - n_std * std, mean + n_std * std
-    value = F.col(c)
-    return F.when(value < low, low).when(value > high, high).otherwise(value)
+def _clipped(c: str, n_std: float) -> str:
+    low = f"(`__avg_{c}` - {n_std}D * `__std_{c}`)"
+    high = f"(`__avg_{c}` + {n_std}D * `__std_{c}`)"
+    return f"CASE WHEN `{c}` < {low} THEN {low} WHEN `{c}` > {high} THEN {high} ELSE `{c}` END"
 
 
 def outlier_counts(
@@ -115,26 +115,27 @@ def outlier_counts(
     )
 
 
+def _stats_of(cols: Sequence[str], window: str = "") -> list[str]:
+    return [
+        f"{fn}(`{c}`) {window} AS `__{short}_{c}`"
+        for c in cols
+        for short, fn in (("avg", "avg"), ("std", "stddev_samp"))
+    ]
+
+
 def _with_stats(df, cols, keys, ts_col, chunk_hours):
     """Add mean and sample deviation per group to every row."""
     if not keys:
-        return add_chunk(df, ts_col, chunk_hours).withColumns(
-            {f"__avg_{c}": df.agg(F.avg(c)).scalar() for c in cols}
-            | {f"__std_{c}": df.agg(F.stddev_samp(c)).scalar() for c in cols}
-        )
+        scalars = {f"__avg_{c}": df.agg(F.avg(c)).scalar() for c in cols}
+        scalars |= {f"__std_{c}": df.agg(F.stddev_samp(c)).scalar() for c in cols}
+        return add_chunk(df, ts_col, chunk_hours).withColumns(scalars)
     if chunk_hours is None:
-        part = Window.partitionBy(*keys)
-        return df.withColumns(
-            {f"__avg_{c}": F.avg(c).over(part) for c in cols}
-            | {f"__std_{c}": F.stddev_samp(c).over(part) for c in cols}
-        )
+        group = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)})"
+        return df.selectExpr("*", *_stats_of(cols, group))
     # The statistics reach the rows through the list of chunks, so the join key
     # of the data is (group, chunk) and no group meets in one task.
     chunked = add_chunk(df, ts_col, chunk_hours)
-    stats = chunked.groupBy(*keys).agg(
-        *[F.avg(c).alias(f"__avg_{c}") for c in cols],
-        *[F.stddev_samp(c).alias(f"__std_{c}") for c in cols],
-    )
+    stats = chunked.groupBy(*keys).agg(*[F.expr(e) for e in _stats_of(cols)])
     per_chunk = chunked.select(*keys, CHUNK).distinct().join(stats, list(keys))
     return chunked.join(per_chunk, [*keys, CHUNK])
 
@@ -143,8 +144,8 @@ def clip_columns(df, keys, cols, n_std, ts_col="ts", chunk_hours=CHUNK_HOURS):
     """``outlier_clip`` on named columns, keeping the chunk column."""
     names = add_chunk(df, ts_col, chunk_hours).columns
     marked = _with_stats(df, cols, keys, ts_col, chunk_hours)
-    clipped = {c: _clipped(c, F.col(f"__avg_{c}"), F.col(f"__std_{c}"), n_std) for c in cols}
-    return marked.select(*[clipped[c].alias(c) if c in clipped else F.col(c) for c in names])
+    clipped = {c: f"{_clipped(c, n_std)} AS `{c}`" for c in cols}
+    return marked.selectExpr(*[clipped.get(c, f"`{c}`") for c in names])
 
 
 def outlier_clip(

@@ -52,7 +52,10 @@ def display_subset(df: DataFrame) -> DataFrame:
 
 
 def detail_table(df: DataFrame, ts_col: str = "ts") -> DataFrame:
-    """Rows for display, in time order, price with two decimals."""
+    """Rows for display, in time order, price with two decimals.
+
+    Halves of the decimal form round away from zero.
+    """
     cols = [
         F.date_format(ts_col, "yyyy-MM-dd HH:mm").alias("timestamp"),
         F.round("predicted_price", 2).alias("predicted_price"),
@@ -138,10 +141,11 @@ def price_histogram(
     """
     low, high = df.agg(F.min(price_col)).scalar(), df.agg(F.max(price_col)).scalar()
     width = (high - low) / bins
-    place = F.floor(F.try_divide(F.col(price_col) - low, width)).cast("int")
+    # least() skips nulls, so a range of zero width is sent to the first bin here
+    place = F.floor(F.coalesce(F.try_divide(F.col(price_col) - low, width), F.lit(0.0)))
     return (
         df.where(F.col(price_col).isNotNull())
-        .groupBy(F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).alias("bin"))
+        .groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(
             "bin",

@@ -160,20 +160,30 @@ def metrics_by_split(scored: DataFrame, split_col: str = "split") -> DataFrame:
     return metrics(scored, [split_col])
 
 
-def run_row(by_split: DataFrame, model: str, version: int, feature_count: int) -> DataFrame:
-    """One registry row from the metrics per split."""
+def run_rows(
+    by_split: DataFrame, model: str, feature_count: int, version: int | None = None
+) -> DataFrame:
+    """Registry rows from metrics per split, one per ``version`` of the input.
+
+    Without such a column, all metrics belong to the given version.
+    """
+    rows = by_split if version is None else by_split.withColumn("version", F.lit(version))
     names = [
         F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}")
         for s in ("train", "val", "test")
         for m in ("mae", "rmse", "r2")
     ]
     samples = F.max(F.when(F.col("split") == "train", F.col("row_count")))
-    return by_split.agg(*names, samples.alias("training_samples")).select(
-        F.lit(model).alias("model"),
-        F.lit(version).alias("version"),
-        F.current_timestamp().alias("trained_at"),
-        "*",
-        F.lit(feature_count).alias("feature_count"),
+    return (
+        rows.groupBy("version")
+        .agg(*names, samples.alias("training_samples"))
+        .withColumns(
+            {
+                "model": F.lit(model),
+                "trained_at": F.current_timestamp(),
+                "feature_count": F.lit(feature_count),
+            }
+        )
     )
 
 

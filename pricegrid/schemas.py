@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 SERIES = "series_id"
 TS = "ts"
+LABEL_COL = "price"
 MONTH = "part_month"
 
 MARKET_COLS = ["price", "load_forecast", "wind_forecast", "solar_forecast"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +53,14 @@ def write_months(
     )
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(target)
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_months(
@@ -97,10 +102,11 @@ def upsert(
     """
     spark = df.sparkSession
     incoming = with_month(df, ts_col)
-    if table_exists(spark, path):
+    stored = stored_table(spark, path)
+    if stored is not None:
         touched = [r[0] for r in incoming.select(MONTH).distinct().collect()]
-        stored = spark.read.parquet(path).where(F.col(MONTH).isin(touched))
-        incoming = stored.unionByName(incoming, allowMissingColumns=True)
+        kept = stored.where(F.col(MONTH).isin(touched))
+        incoming = kept.unionByName(incoming, allowMissingColumns=True)
     latest = keep_latest(incoming, [*key_cols, MONTH], [version_col])
     write_months(latest, path, key_cols, ts_col)
 
