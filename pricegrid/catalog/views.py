@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricegrid.functions.errors import error_columns
 from pricegrid.operators.fill import gap_repair
 from pricegrid.operators.grid import hourly_grid
 from pricegrid.operators.lags import lag_features
 from pricegrid.operators.market import join_weather
 from pricegrid.operators.reports import mode_label
 from pricegrid.operators.weather import weighted_mean
-from pricegrid.functions.errors import error_columns
 from pricegrid.schemas import MARKET_COLS, WEATHER_COLS
+from pricegrid.sources.documents import literal_table
 
 ZONES = 3
 AS_OF = "2024-01-24 00:00:00"
@@ -85,7 +86,7 @@ def zone_repaired(spark: SparkSession, sf_dir: str, max_gap: int = 6) -> DataFra
 
 
 def location_weights(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LOCATION_TYPES, "location string, weight double")
+    return literal_table(spark, LOCATION_TYPES, ["location", "weight"])
 
 
 def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,12 +21,9 @@ STATS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
 def _frame_stats(value: str, parts: Sequence[str], ts_col: str, size: int) -> dict[str, str]:
-    """Statistics over the ``size`` rows before the current one, null unless full."""
+    """Raw statistics over the ``size`` rows before the current one, and their count."""
     frame = over(parts, f"`{ts_col}`", f"{size} PRECEDING AND 1 PRECEDING")
-    return {
-        stat: f"CASE WHEN count({value}) {frame} = {size} THEN {fn}({value}) {frame} END"
-        for stat, fn in STATS.items()
-    }
+    return {s: f"{fn}({value}) {frame}" for s, fn in {**STATS, "n": "count"}.items()}
 
 
 def _shifted(name: str, steps: int) -> str:
@@ -106,8 +103,16 @@ def lag_features(
             continue
         short.append(size)
         stats = _frame_stats(value, parts, ts_col, size)
-        first |= {rolling(stat, size): text for stat, text in stats.items()}
+        first |= {f"__{stat}_{size}": text for stat, text in stats.items()}
     out = wide.selectExpr("*", *[f"{text} AS `{name}`" for name, text in first.items()])
+    # a frame that is not full has no statistics
+    guarded = [
+        f"CASE WHEN `__n_{size}` = {size} THEN `__{stat}_{size}` END AS `{rolling(stat, size)}`"
+        for size in short
+        for stat in STATS
+    ]
+    if guarded:
+        out = out.selectExpr("*", *guarded)
 
     if joined:
         shifts = {

@@ -139,8 +139,9 @@ def price_histogram(
     The range is a scalar subquery, so the scan is read twice and no row leaves
     its task before counting. Empty bins are not listed.
     """
-    low, high = df.agg(F.min(price_col)).scalar(), df.agg(F.max(price_col)).scalar()
-    width = (high - low) / bins
+    span = df.agg(F.struct(F.min(price_col).alias("lo"), F.max(price_col).alias("hi"))).scalar()
+    low = span.getField("lo")
+    width = (span.getField("hi") - low) / bins
     # least() skips nulls, so a range of zero width is sent to the first bin here
     place = F.floor(F.coalesce(F.try_divide(F.col(price_col) - low, width), F.lit(0.0)))
     return (

@@ -12,6 +12,7 @@ from pricegrid.operators.market import join_market, join_weather, split_columns
 from pricegrid.operators.weather import normalise_weights, weighted_mean
 from pricegrid.plans.cleaning import clean
 from pricegrid.schemas import DISPLAY_TZ, MONTH, SERIES, TS
+from pricegrid.session import staged
 from pricegrid.sources import documents, tables
 
 
@@ -67,8 +68,12 @@ def weather_table(
 
 
 def clean_tables(market: DataFrame, weather: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Market with weather, cleaned per month, split into the two tables."""
-    merged = join_weather(market, weather)
+    """Market with weather, cleaned per month, split into the two tables.
+
+    The merged rows are staged: the axis reads their instants, the two tables
+    their own columns, and neither parses or joins the documents again.
+    """
+    merged = staged(join_weather(market, weather), "merged")
     return split_columns(clean(merged), (SERIES, TS))
 
 

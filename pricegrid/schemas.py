@@ -83,8 +83,6 @@ INTERACTION_FEATURES = [
     "hour_load_interaction",
 ]
 
-LOCATION_SCHEMA = "location string, lat double, lon double, weight double"
-
 _period = T.StructType(
     [
         T.StructField(

@@ -32,6 +32,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, task_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle settings for an input size.
+
+    Starts with one partition per ``task_bytes`` of input, so that a partition
+    fits into a task's share of memory, and lets the adaptive plan merge them.
+    """
+    parts = max(200, -(-input_bytes // task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -57,6 +71,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df, name: str):
+    """Write ``df`` once to the shared folder and read it back.
+
+    For inputs that several steps read, such as parsed documents: later reads
+    touch only the columns they need, and nothing is parsed again when an
+    executor is lost.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def checkpointed(df):
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession

@@ -16,7 +16,6 @@ from pricegrid.operators.dedupe import keep_first
 from pricegrid.operators.market import generation_by_type
 from pricegrid.schemas import (
     DISPLAY_TZ,
-    LOCATION_SCHEMA,
     LOCATIONS,
     SERIES,
     SOLAR_TYPES,
@@ -213,5 +212,19 @@ def weather_rows(docs: DataFrame, zone: str = DISPLAY_TZ) -> DataFrame:
     )
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
+    """A table of constants whose size the optimizer knows.
+
+    A frame made from a Python list counts as unboundedly large, so a join with
+    it would shuffle the other side; one made of literals is measured.
+    """
+
+    def text(value) -> str:
+        return f"{value}D" if isinstance(value, float) else "'" + str(value).replace("'", "\\'") + "'"
+
+    values = ", ".join(f"({', '.join(text(v) for v in row)})" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+
+
 def default_locations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LOCATIONS, LOCATION_SCHEMA)
+    return literal_table(spark, LOCATIONS, ["location", "lat", "lon", "weight"])
