@@ -12,6 +12,7 @@ from pricegrid.operators.chunks import (
     CHUNK_HOURS,
     HOUR_US,
     add_chunk,
+    chunk_index,
     drop_chunk,
     group_keys,
     over,
@@ -22,6 +23,51 @@ _SO_FAR = "UNBOUNDED PRECEDING AND CURRENT ROW"
 _EARLIER = "UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
+def _edge_rows(chunked, cols, keys, ts_col) -> DataFrame:
+    """What each chunk has to know from the others, as rows of its own.
+
+    Per column the last known row before the chunk and the first known row
+    behind it, with their own instants and no other column set. They come from
+    one summary row per chunk, which is all that a window over a series sees.
+    """
+    groups = [*keys, CHUNK]
+    edges = []
+    for c in cols:
+        at = f"nvl2(`{c}`, `{ts_col}`, NULL)"
+        edges += [
+            f"min_by(`{c}`, {at}) AS `__fv_{c}`",
+            f"max_by(`{c}`, {at}) AS `__lv_{c}`",
+            f"min({at}) AS `__ft_{c}`",
+            f"max({at}) AS `__lt_{c}`",
+        ]
+    carried = chunked.groupBy(*groups).agg(*[F.expr(e) for e in edges])
+    for side, edge, order in (("p", "l", CHUNK), ("n", "f", f"{CHUNK} DESC")):
+        window = over(keys, order, _EARLIER)
+        carried = carried.selectExpr(
+            "*",
+            *[
+                f"last(`__{edge}{k}_{c}`, true) {window} AS `__{side}{k}_{c}`"
+                for c in cols
+                for k in ("v", "t")
+            ],
+        )
+    types = dict(chunked.dtypes)
+    rows = [
+        f"named_struct('{ts_col}', `__{side}t_{c}`, "
+        + ", ".join(
+            f"'{o}', " + (f"`__{side}v_{c}`" if o == c else f"CAST(NULL AS {types[o]})")
+            for o in cols
+        )
+        + ")"
+        for c in cols
+        for side in ("p", "n")
+    ]
+    names = [f"`{g}`" for g in groups]
+    return carried.selectExpr(*names, f"inline(array({', '.join(rows)}))").where(
+        F.col(ts_col).isNotNull()
+    )
+
+
 def neighbours(
     df: DataFrame,
     cols: Sequence[str],
@@ -32,57 +78,40 @@ def neighbours(
 ) -> DataFrame:
     """Last known value at or before, first known value at or after each row.
 
-    Adds ``__pv_<c>``, ``__nv_<c>`` and, in microseconds, ``__pt_<c>``,
-    ``__nt_<c>``. Both directions run as frames from the start of a partition;
+    Adds ``__pv_<c>``, ``__nv_<c>`` and, if wanted, the hours since 1970 of
+    those rows as ``__pt_<c>``, ``__nt_<c>`` and of the row itself as ``__hour``
+    (whole numbers, as the rows of an axis share their minutes). Both directions run as frames from the start of a partition;
     the backward one sorts descending, since a frame that ends at the last row
-    is evaluated anew for every row. What lies beyond the chunk comes from one
-    summary row per chunk.
+    is evaluated anew for every row. What lies beyond a chunk is placed beside
+    its rows beforehand, hashed the same way, so the data is not moved for it.
     """
     chunked = add_chunk(df, ts_col, chunk_hours)
     groups = group_keys(keys, chunk_hours)
     kinds = ["v", "t"] if need_times else ["v"]
 
     def known(c: str, kind: str) -> str:
-        return f"`{c}`" if kind == "v" else f"nvl2(`{c}`, unix_micros(`{ts_col}`), NULL)"
-
-    def last(value: str, parts, order: str, frame: str) -> str:
-        return f"last({value}, true) {over(parts, order, frame)}"
+        return f"`{c}`" if kind == "v" else f"nvl2(`{c}`, __hour, NULL)"
 
     near = chunked
+    if chunk_hours is not None:
+        edges = _edge_rows(chunked, cols, keys, ts_col).repartition(*groups)
+        near = chunked.repartition(*groups).unionByName(edges, allowMissingColumns=True)
+    if need_times:
+        us = f"unix_micros(`{ts_col}`)"
+        near = near.selectExpr("*", f"({us} - pmod({us}, {HOUR_US})) / {HOUR_US} AS __hour")
     for side, order in (("p", f"`{ts_col}`"), ("n", f"`{ts_col}` DESC")):
+        window = over(groups, order, _SO_FAR)
         near = near.selectExpr(
             "*",
             *[
-                f"{last(known(c, k), groups, order, _SO_FAR)} AS `__{side}{k}_{c}`"
+                f"last({known(c, k)}, true) {window} AS `__{side}{k}_{c}`"
                 for c in cols
                 for k in kinds
             ],
         )
-    if chunk_hours is None:
-        return near
-
-    edges = []
-    for c in cols:
-        at = known(c, "t")
-        edges += [f"min_by(`{c}`, {at}) AS `__fv_{c}`", f"max_by(`{c}`, {at}) AS `__lv_{c}`"]
-        if need_times:
-            edges += [f"min({at}) AS `__ft_{c}`", f"max({at}) AS `__lt_{c}`"]
-    carried = chunked.groupBy(*groups).agg(*[F.expr(e) for e in edges])
-    for side, edge, order in (("p", "l", CHUNK), ("n", "f", f"{CHUNK} DESC")):
-        carried = carried.selectExpr(
-            "*",
-            *[
-                f"{last(f'`__{edge}{k}_{c}`', keys, order, _EARLIER)} AS `__c{side}{k}_{c}`"
-                for c in cols
-                for k in kinds
-            ],
-        )
-    found = [f"{side}{k}_{c}" for c in cols for side in ("p", "n") for k in kinds]
-    edge_rows = carried.select(*groups, *[f"__c{name}" for name in found])
-    return near.join(edge_rows, groups).selectExpr(
-        *[f"`{c}`" for c in chunked.columns],
-        *[f"coalesce(`__{name}`, `__c{name}`) AS `__{name}`" for name in found],
-    )
+    if chunk_hours is not None:
+        near = near.where(chunk_index(ts_col, chunk_hours) == F.col(CHUNK))
+    return near
 
 
 def _value_columns(df: DataFrame, cols, skip) -> list[str]:
@@ -114,14 +143,12 @@ def ffill_bfill(
     return drop_chunk(near.selectExpr(*[filled.get(c, f"`{c}`") for c in df.columns]))
 
 
-def _repaired(c: str, ts_col: str, max_gap: int) -> str:
+def _repaired(c: str, max_gap: int) -> str:
     pv, nv, pt, nt = (f"`__{k}_{c}`" for k in ("pv", "nv", "pt", "nt"))
-    hours_in = f"((unix_micros(`{ts_col}`) - {pt}) / {HOUR_US})"
-    hours_all = f"nullif(({nt} - {pt}) / {HOUR_US}, 0)"
     return (
         f"CASE WHEN `{c}` IS NOT NULL THEN `{c}` WHEN {pv} IS NULL THEN {nv} "
-        f"WHEN {nv} IS NULL THEN {pv} WHEN {nt} - {pt} <= {(max_gap + 1) * HOUR_US} "
-        f"THEN {pv} + ({nv} - {pv}) * {hours_in} / {hours_all} ELSE {pv} END AS `{c}`"
+        f"WHEN {nv} IS NULL OR {nt} - {pt} > {max_gap + 1} THEN {pv} "
+        f"ELSE {pv} + try_divide(({nv} - {pv}) * (__hour - {pt}), {nt} - {pt}) END AS `{c}`"
     )
 
 
@@ -136,7 +163,7 @@ def repair_columns(
     """``gap_repair`` on named columns, keeping the chunk column."""
     near = neighbours(df, cols, keys, ts_col, chunk_hours)
     names = add_chunk(df, ts_col, chunk_hours).columns
-    fixed = {c: _repaired(c, ts_col, max_gap_hours) for c in cols}
+    fixed = {c: _repaired(c, max_gap_hours) for c in cols}
     return near.selectExpr(*[fixed.get(c, f"`{c}`") for c in names])
 
 

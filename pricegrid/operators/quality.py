@@ -132,12 +132,36 @@ def _with_stats(df, cols, keys, ts_col, chunk_hours):
     if chunk_hours is None:
         group = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)})"
         return df.selectExpr("*", *_stats_of(cols, group))
-    # The statistics reach the rows through the list of chunks, so the join key
-    # of the data is (group, chunk) and no group meets in one task.
+    # Moments are taken per chunk and merged over the chunks of a group. The
+    # result returns to the rows by (group, chunk), so no group meets in a task.
     chunked = add_chunk(df, ts_col, chunk_hours)
-    stats = chunked.groupBy(*keys).agg(*[F.expr(e) for e in _stats_of(cols)])
-    per_chunk = chunked.select(*keys, CHUNK).distinct().join(stats, list(keys))
-    return chunked.join(per_chunk, [*keys, CHUNK])
+    moments = []
+    for c in cols:
+        moments += [
+            f"count(`{c}`) AS `__n_{c}`",
+            f"avg(`{c}`) AS `__m_{c}`",
+            f"var_pop(`{c}`) * count(`{c}`) AS `__q_{c}`",
+        ]
+    per_chunk = chunked.groupBy(*keys, CHUNK).agg(*[F.expr(e) for e in moments])
+    group = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)})"
+    merged = per_chunk.selectExpr(
+        "*",
+        *[f"sum(`__n_{c}`) {group} AS `__all_{c}`" for c in cols],
+        *[
+            f"try_divide(sum(`__n_{c}` * `__m_{c}`) {group}, sum(`__n_{c}`) {group}) AS `__avg_{c}`"
+            for c in cols
+        ],
+    ).selectExpr(
+        *[f"`{k}`" for k in keys],
+        CHUNK,
+        *[f"`__avg_{c}`" for c in cols],
+        *[
+            f"sqrt(try_divide(sum(`__q_{c}` + `__n_{c}` * (`__m_{c}` - `__avg_{c}`)"
+            f" * (`__m_{c}` - `__avg_{c}`)) {group}, nullif(`__all_{c}` - 1, 0))) AS `__std_{c}`"
+            for c in cols
+        ],
+    )
+    return chunked.join(merged, [*keys, CHUNK])
 
 
 def clip_columns(df, keys, cols, n_std, ts_col="ts", chunk_hours=CHUNK_HOURS):
