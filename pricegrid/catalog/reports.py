@@ -74,7 +74,7 @@ def _display_subset(spark, sf):
     "detail_table",
     twin(
         "timestamp, ~predicted_price, mode, ~actual_price",
-        """(SELECT strftime(ts, '%Y-%m-%d %H:%M') AS timestamp, CAST(round(CAST(CAST(predicted_price AS VARCHAR) AS DECIMAL(28,14)), 2) AS DOUBLE) AS predicted_price, mode, actual_price
+        """(SELECT strftime(ts, '%Y-%m-%d %H:%M') AS timestamp, CAST(round(CAST(CAST(predicted_price AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE) AS predicted_price, mode, actual_price
           FROM predictions)""",
         PRED,
     ),

@@ -83,7 +83,7 @@ def row_index(
     )
     inside = Window.partitionBy(*keys, CHUNK).orderBy(ts_col)
     numbered = chunked.withColumn("__rn", F.row_number().over(inside) - 1).join(
-        offsets, [*keys, CHUNK]
+        offsets, [*keys, CHUNK], "left"
     )
     out = [F.col(c) for c in df.columns if c != CHUNK]
     out.append((F.col("__offset") + F.col("__rn")).alias(index_col))

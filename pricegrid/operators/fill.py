@@ -110,7 +110,9 @@ def neighbours(
             ],
         )
     if chunk_hours is not None:
-        near = near.where(chunk_index(ts_col, chunk_hours) == F.col(CHUNK))
+        # Null-safe, since plain equality would push a null filter into this branch
+        # alone and keep its exchange from being shared with the edge rows.
+        near = near.where(chunk_index(ts_col, chunk_hours).eqNullSafe(F.col(CHUNK)))
     return near
 
 

@@ -123,8 +123,11 @@ def _stats_of(cols: Sequence[str], window: str = "") -> list[str]:
     ]
 
 
-def _with_stats(df, cols, keys, ts_col, chunk_hours):
-    """Add mean and sample deviation per group to every row."""
+def _with_stats(df, cols, keys, ts_col, chunk_hours, stats_from=None):
+    """Add mean and sample deviation per group to every row.
+
+    ``stats_from`` may name a frame of the same rows that derives only ``cols``.
+    """
     if not keys:
         scalars = {f"__avg_{c}": df.agg(F.avg(c)).scalar() for c in cols}
         scalars |= {f"__std_{c}": df.agg(F.stddev_samp(c)).scalar() for c in cols}
@@ -142,7 +145,8 @@ def _with_stats(df, cols, keys, ts_col, chunk_hours):
             f"avg(`{c}`) AS `__m_{c}`",
             f"var_pop(`{c}`) * count(`{c}`) AS `__q_{c}`",
         ]
-    per_chunk = chunked.groupBy(*keys, CHUNK).agg(*[F.expr(e) for e in moments])
+    source = chunked if stats_from is None else add_chunk(stats_from, ts_col, chunk_hours)
+    per_chunk = source.groupBy(*keys, CHUNK).agg(*[F.expr(e) for e in moments])
     group = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)})"
     merged = per_chunk.selectExpr(
         "*",
@@ -161,13 +165,17 @@ def _with_stats(df, cols, keys, ts_col, chunk_hours):
             for c in cols
         ],
     )
-    return chunked.join(merged, [*keys, CHUNK])
+    # Every chunk has its row. A left join adds no null filters to the data side,
+    # so its exchange stays the same as in the other branches and is reused.
+    return chunked.join(merged, [*keys, CHUNK], "left")
 
 
-def clip_columns(df, keys, cols, n_std, ts_col="ts", chunk_hours=CHUNK_HOURS):
+def clip_columns(
+    df, keys, cols, n_std, ts_col="ts", chunk_hours=CHUNK_HOURS, stats_from=None
+):
     """``outlier_clip`` on named columns, keeping the chunk column."""
     names = add_chunk(df, ts_col, chunk_hours).columns
-    marked = _with_stats(df, cols, keys, ts_col, chunk_hours)
+    marked = _with_stats(df, cols, keys, ts_col, chunk_hours, stats_from)
     clipped = {c: f"{_clipped(c, n_std)} AS `{c}`" for c in cols}
     return marked.selectExpr(*[clipped.get(c, f"`{c}`") for c in names])
 

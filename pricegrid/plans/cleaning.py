@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from pricegrid.operators.chunks import CHUNK_HOURS, drop_chunk
+from pricegrid.operators.chunks import CHUNK_HOURS, drop_chunk, group_keys
 from pricegrid.operators.fill import repair_columns
 from pricegrid.operators.grid import chunked_grid
 from pricegrid.operators.quality import clip_columns, valid_range
@@ -43,7 +43,10 @@ def clean(
     grid = chunked_grid(df, keys, ts_col, chunks)
     checked = valid_range(grid, price_col, bounds)
     repaired = repair_columns(checked, keys, numeric, max_gap_hours, ts_col, chunks)
-    clipped = clip_columns(
-        repaired, keys, [c for c in numeric if c != price_col], n_std, ts_col, chunks
-    )
+    clip = [c for c in numeric if c != price_col]
+    # The second pass over a long series repairs the clipped columns alone: were
+    # the price pruned from parts of it only, they could not share an exchange.
+    few = checked.select(*group_keys(keys, chunks), ts_col, *clip)
+    stats_from = repair_columns(few, keys, clip, max_gap_hours, ts_col, chunks)
+    clipped = clip_columns(repaired, keys, clip, n_std, ts_col, chunks, stats_from)
     return drop_chunk(clipped).select(*df.columns)
