@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 from pricegrid.catalog import views as v
 from pricegrid.operators.lags import lag_features
 from pricegrid.operators.weather import weighted_mean
+from pricegrid.schemas import MARKET_COLS, WEATHER_COLS
 
 QUERIES = entry.queries()
 # Summaries over everything; the rows are reduced to one per task beforehand.
@@ -21,6 +22,7 @@ WRITES = {
     "prediction_records", "stream_hourly", "stream_dedupe", "train_gbt", "score_modes",
     "feature_importance", "linear_baseline",
 }
+DATA = {*MARKET_COLS, *WEATHER_COLS}
 
 
 def plan(df):
@@ -40,19 +42,21 @@ def test_plan(name, spark, small):
     "name", ["gap_repair", "ffill_bfill", "clean_long_series", "price_rolling", "full_features"]
 )
 def test_long_windows_are_chunked(name, spark, small):
-    """Windows over a series alone see chunk summaries only, never data rows."""
+    """Windows over a series alone see chunk summaries only, never data columns."""
     text = plan(QUERIES[name](spark, small))
-    for line in text.splitlines():
-        for spec in re.findall(r"windowspecdefinition\((.*?), specifiedwindowframe", line):
-            if "__chunk" not in spec:
-                assert re.search(r"__[fl][vt]_|__n#|__offset", line), line
+    found = re.findall(r"\((\w+)#\d+L?[^()]*\) windowspecdefinition\((.*?), specifiedwindow", text)
+    assert found
+    for column, spec in found:
+        if "__chunk" not in spec:
+            assert column not in DATA, (column, spec)
 
 
 def test_repair_after_grid_needs_one_exchange_of_the_data(spark, small):
     df = QUERIES["gap_repair"](spark, small)
     df.collect()
     final = plan(df).split("Initial Plan")[0]
-    assert final.count("REPARTITION_BY_COL") == 2  # once executed, once reused
+    # the data once executed and once reused, and the few edge rows of the chunks
+    assert final.count("REPARTITION_BY_COL") == 3
     assert "ReusedExchange" in final
 
 
@@ -94,3 +98,12 @@ def test_range_filter_reaches_the_scan(spark, small, tmp_path):
     text = plan(t.read_months(spark, path, "2024-01-05 00:00:00", "2024-01-06 00:00:00"))
     assert re.search(r"PartitionFilters: \[.*part_month.*>= 2024-01", text)
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts", text)
+
+
+def test_long_cleaning_exchanges_the_data_twice(spark, small):
+    """Once for all columns, once for the statistics; fills reuse both."""
+    df = QUERIES["clean_long_series"](spark, small)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("ReusedExchange") >= 2
+    assert len(re.findall(r"Exchange hashpartitioning\(series_id#\d+L, __chunk#\d+L, \d+\), REP", final)) <= 6
