@@ -140,18 +140,21 @@ def price_histogram(
     its task before counting. Empty bins are not listed.
     """
     span = df.agg(F.struct(F.min(price_col).alias("lo"), F.max(price_col).alias("hi"))).scalar()
-    low = span.getField("lo")
-    width = (span.getField("hi") - low) / bins
     # least() skips nulls, so a range of zero width is sent to the first bin here
-    place = F.floor(F.coalesce(F.try_divide(F.col(price_col) - low, width), F.lit(0.0)))
+    place = f"floor(coalesce(try_divide(`{price_col}` - __lo, __width), 0.0D))"
     return (
         df.where(F.col(price_col).isNotNull())
-        .groupBy(F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
+        .select(price_col, span.alias("__span"))
+        .selectExpr(
+            f"`{price_col}`", "__span.lo AS __lo", f"(__span.hi - __span.lo) / {bins} AS __width"
+        )
+        .selectExpr(f"CAST(least({place}, {bins - 1}) AS INT) AS bin", "__lo", "__width")
+        .groupBy("bin", "__lo", "__width")
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(
+        .selectExpr(
             "bin",
-            (low + F.col("bin") * width).alias("bin_low"),
-            (low + (F.col("bin") + 1) * width).alias("bin_high"),
+            "__lo + bin * __width AS bin_low",
+            "__lo + (bin + 1) * __width AS bin_high",
             "row_count",
         )
     )
