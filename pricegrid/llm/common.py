@@ -3,25 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricegrid.session import staged
 
-__all__ = ["SHINGLE", "SIMILARITY", "WordHashes", "mixed", "shingle_hashes", "staged", "table"]
+__all__ = ["SHINGLE", "SIMILARITY", "signed", "staged", "table", "texts"]
 
 #: Words in a shingle, and the least similarity of near copies as a fraction 75/100.
 SHINGLE = 5
 SIMILARITY = (75, 100)
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_ODD = np.array(
-    [0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
-     0xE7037ED1A0B428DB], dtype=np.uint64)
-_CACHED_WORDS = 500_000
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,44 +26,5 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words met lately."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-def words_of(text: str) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased (only A-Z)."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values over their whole range."""
-    x = (x ^ (x >> np.uint64(30))) * _ODD[0]
-    x = (x ^ (x >> np.uint64(27))) * _ODD[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def shingle_hashes(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """Hash of every run of ``size`` words; of the whole sequence when it is shorter."""
-    n = len(hashes)
-    if not n:
-        return hashes
-    size = min(size, n)
-    last = n - size + 1
-    total = np.full(last, np.uint64(size))
-    for k in range(size):
-        total = (total * _MIX) ^ (hashes[k : k + last] * _ODD[k % len(_ODD)])
-        total ^= total >> np.uint64(29)
-    return mixed(total)
-
-
 def signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64, copy=False).view(np.int64)

@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricegrid.llm.common import SHINGLE, SIMILARITY, WordHashes, shingle_hashes, texts, words_of
+from pricegrid.llm import hashing
+from pricegrid.llm.common import SHINGLE, SIMILARITY, texts
+from pricegrid.llm.hashing import shingle_hashes
 
 #: Hamming radius, bits of a fingerprint, and blocks they are cut into.
 RADIUS, BITS, BLOCKS = 19, 64, 5
@@ -107,9 +109,8 @@ class ItemIndex:
 
     def __init__(self, rows: list[tuple[int | None, str | None]], threshold: float = THRESHOLD):
         self.threshold = threshold
-        hashes = WordHashes()
-        split = [(i, words_of(t or "")) for i, t in rows]
-        split = [(i, w, shingle_hashes(hashes.of(w))) for i, w in split if w]
+        batch = pa.record_batch([pa.array([t or "" for _, t in rows], pa.string())], names=["text"])
+        split = [(i, w, shingle_hashes(w)) for (i, _), w in zip(rows, hashing.rows(batch)) if len(w)]
         every = np.concatenate([np.unique(s) for _, _, s in split]) if split else np.zeros(0, np.uint64)
         self.shingles, held = np.unique(every, return_counts=True)
         self.weights = np.log1p(max(1, len(split)) / held)
@@ -208,11 +209,10 @@ def _item_passes(benchmark: DataFrame, per_pass: int) -> Iterator[list[tuple[int
 
 
 def _scan(batches: Iterator[pa.RecordBatch], index: ItemIndex) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-            rows += [(doc_id, *hit) for hit in index.hits(hashes.of(words_of(text)))]
+        for doc_id, words in zip(batch["doc_id"].to_pylist(), hashing.rows(batch)):
+            rows += [(doc_id, *hit) for hit in index.hits(words)]
         if rows:
             ids, items, similarity, first, words = zip(*rows)
             yield pa.RecordBatch.from_arrays(
@@ -251,9 +251,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 def _contamination(index: ItemIndex, text: Column) -> Column:
     @F.pandas_udf("boolean")
     def repeats_an_item(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hashes = WordHashes()
         for batch in batches:
-            yield pd.Series([bool(index.hits(hashes.of(words_of(t)))) for t in batch], dtype=bool)
+            column = pa.record_batch([pa.array(batch, pa.string())], names=["text"])
+            yield pd.Series([bool(index.hits(words)) for words in hashing.rows(column)], dtype=bool)
 
     return repeats_an_item(F.coalesce(text.cast("string"), F.lit("")))
 

@@ -9,6 +9,8 @@ Two documents link when ``100 * intersection >= 75 * union`` of their shingle se
 3. In a cluster, shingles are hashed into groups; the group counts are points of an
    R-tree. The intersection of two sets is at most the sum of the smaller counts,
    which discards subtrees and points; what survives is compared exactly.
+   This runs twice: on the points alone, which are small, to drop the nodes that no
+   other may link with; then on the sets of the rest.
 4. Links become components.
 """
 
@@ -22,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricegrid.llm.common import SIMILARITY, WordHashes, shingle_hashes, signed, staged, texts, words_of
+from pricegrid.llm import hashing
+from pricegrid.llm.common import SIMILARITY, signed, staged, texts
 
 #: Cells of the table of shingle counts that orders shingles, and its pieces.
 CELLS, PIECE = 1 << 20, 1 << 14
@@ -46,7 +49,10 @@ def links(a: np.ndarray, b: np.ndarray, similarity=SIMILARITY) -> bool:
 
 
 def shingle_set(words: np.ndarray) -> np.ndarray:
-    return np.unique(shingle_hashes(words))
+    """Sorted distinct shingles of a text's words."""
+    s = hashing.shingle_hashes(words)
+    s.sort()
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -54,10 +60,9 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def _sets(batches) -> Iterator[tuple[object, np.ndarray, int]]:
-    hashes = WordHashes()
     for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-            s = shingle_set(hashes.of(words_of(text)))
+        for doc_id, words in zip(batch["doc_id"].to_pylist(), hashing.rows(batch)):
+            s = shingle_set(words)
             yield doc_id, s, node_of(s) if len(s) else 0
 
 
@@ -71,6 +76,7 @@ _NODES_DDL = "doc_id long, node long, n long, piece int, counts binary"
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and at the end the task's counts of shingles per cell."""
     cells, seen, rows = np.zeros(CELLS, dtype=np.int64), set(), []
+    waiting, size = [], 0
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _NODES)], schema=_NODES)
@@ -79,12 +85,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.append((doc_id, node, len(s), None, None))
         if len(s) and node not in seen:
             seen.add(node)
-            np.add.at(cells, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
+            waiting.append((s & np.uint64(CELLS - 1)).astype(np.int64))
+            size += len(s)
+        if size >= CELLS:
+            cells += np.bincount(np.concatenate(waiting), minlength=CELLS)
+            waiting, size = [], 0
         if len(rows) >= 5_000:
             yield batch_of(rows)
             rows = []
     if rows:
         yield batch_of(rows)
+    if waiting:
+        cells += np.bincount(np.concatenate(waiting), minlength=CELLS)
     for k in range(0, CELLS, PIECE):
         if cells[k : k + PIECE].any():
             yield batch_of([(None, None, None, k // PIECE, cells[k : k + PIECE].astype("<u4").tobytes())])
@@ -237,13 +249,55 @@ class CountTree:
         return self.order[at]
 
 
-def _groups_for(sizes: np.ndarray) -> int:
-    """Groups so that a group holds about eight shingles of a usual set."""
-    return int(min(512, max(8, 2 ** int(np.log2(max(8, np.median(sizes) / 8))))))
+def groups_for(size: int) -> int:
+    """Groups for a set: a power of two, so that a group holds two to four of its shingles."""
+    return 1 << max(2, (size // 4).bit_length())
 
 
-def _vectors(sets: list[np.ndarray], groups: int) -> np.ndarray:
-    return np.stack([np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups) for s in sets]).astype(np.int32)
+def count_vector(s: np.ndarray) -> np.ndarray:
+    return np.bincount((s >> np.uint64(20)).astype(np.int64) & (groups_for(len(s)) - 1), minlength=groups_for(len(s)))
+
+
+def folded(vector: np.ndarray, groups: int) -> np.ndarray:
+    """A vector with fewer groups: each is the sum of some of the old ones."""
+    return vector.reshape(-1, groups).sum(axis=0)
+
+
+class SizeBands:
+    """Count-vector trees by set size; sets that may link are in the same band or the next.
+
+    A tree has as many groups as the smallest set of the band below would have, so
+    that vectors of all three bands that may ask it can be folded to it.
+    """
+
+    def __init__(self, vectors: list[np.ndarray], sizes: np.ndarray):
+        self.vectors, self.sizes, self.trees = vectors, sizes, {}
+        bands = np.array([int(n).bit_length() for n in sizes])
+        for band in np.unique(bands):
+            ids = np.flatnonzero(bands == band)
+            groups = groups_for(1 << max(0, int(band) - 2))
+            counts = np.stack([folded(vectors[k], groups) for k in ids])
+            self.trees[int(band)] = (ids, groups, CountTree(counts, sizes[ids]))
+
+    def search(self, vector: np.ndarray, size: int) -> np.ndarray:
+        band, found = int(size).bit_length(), []
+        for k in (band - 1, band, band + 1):
+            if k in self.trees:
+                ids, groups, tree = self.trees[k]
+                found.append(ids[tree.search(folded(vector, groups), size)])
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def within_bound(vectors: list[np.ndarray], sizes: np.ndarray, hub: int, own: int) -> np.ndarray:
+    """Which of the first ``own`` sets may link with the hub."""
+    part, whole = SIMILARITY
+    out = np.zeros(own, dtype=bool)
+    near = (whole * np.minimum(sizes[:own], sizes[hub]) >= part * np.maximum(sizes[:own], sizes[hub])).nonzero()[0]
+    for k in near:
+        groups = min(len(vectors[k]), len(vectors[hub]))
+        bound = np.minimum(folded(vectors[k], groups), folded(vectors[hub], groups)).sum()
+        out[k] = (whole + part) * bound >= part * (sizes[k] + sizes[hub])
+    return out
 
 
 class _Union:
@@ -265,18 +319,15 @@ def block_links(sets: list[np.ndarray], hub: int | None, guests: int = 0) -> tup
     """Links that connect what is connected in one block, and members not tied to the hub.
 
     The hub is compared first; members linked with it need no comparison among
-    themselves. Everything else is looked up in the tree of all points, and compared
+    themselves. Everything else is looked up in the trees of all points, and compared
     unless already connected. The last ``guests`` sets are only looked up.
     """
     sizes = np.array([len(s) for s in sets])
     own = len(sets) - guests
     union, edges = _Union(len(sets)), []
-    groups = _groups_for(sizes)
-    vectors = _vectors(sets, groups)
+    vectors = [count_vector(x) for x in sets]
     if hub is not None:
-        bound = np.minimum(vectors[:own], vectors[hub]).sum(axis=1)
-        part, whole = SIMILARITY
-        for k in np.flatnonzero((whole + part) * bound >= part * (sizes[:own] + sizes[hub])):
+        for k in np.flatnonzero(within_bound(vectors, sizes, hub, own)):
             if k != hub and links(sets[k], sets[hub]):
                 union.join(int(k), hub)
                 edges.append((int(k), hub))
@@ -284,9 +335,9 @@ def block_links(sets: list[np.ndarray], hub: int | None, guests: int = 0) -> tup
     apart = [k for k in range(own) if union.find(k) != root] if not guests else []
     queries = range(own, len(sets)) if guests else apart
     if own and len(queries):
-        tree = CountTree(vectors[:own], sizes[:own])
+        trees = SizeBands(vectors[:own], sizes[:own])
         for k in queries:
-            for j in tree.search(vectors[k], int(sizes[k])):
+            for j in trees.search(vectors[k], int(sizes[k])):
                 j = int(j)
                 if j != k and union.find(j) != union.find(k) and links(sets[j], sets[k]):
                     union.join(j, k)
@@ -294,24 +345,60 @@ def block_links(sets: list[np.ndarray], hub: int | None, guests: int = 0) -> tup
     return edges, apart
 
 
+def may_link(vectors: list[np.ndarray], sizes: np.ndarray, hub: int | None) -> np.ndarray:
+    """Which sets of a cluster some other set of it may link with, by the bound alone."""
+    out = np.zeros(len(sizes), dtype=bool)
+    if hub is not None:
+        out = within_bound(vectors, sizes, hub, len(sizes))
+        out[hub] = False
+        out[hub] = out.any()
+    if not out.all():
+        trees = SizeBands(vectors, sizes)
+        for k in np.flatnonzero(~out):
+            near = trees.search(vectors[k], int(sizes[k]))
+            if len(near) > 1 or (len(near) == 1 and near[0] != k):
+                out[k] = True
+                out[near] = True
+    return out
+
+
 _SET_DDL = "node long, shingles array<long>"
 _LINKS_DDL = "a long, b long, apart boolean"
 
 
+def _table(keys: DataFrame) -> np.ndarray:
+    """Bits of the nodes in a table of fixed size; others are let through now and then."""
+    bit = F.col("node").bitwiseAND(F.lit(MEMBER_BITS - 1))
+    table = np.zeros(MEMBER_BITS // 64, dtype=np.uint64)
+    for word, bits in (
+        keys.select(bit.alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits"))
+        .collect()  # at most MEMBER_BITS / 64 rows
+    ):
+        table[word] = np.uint64(bits % (1 << 64))
+    return table
+
+
+def _listed(batches, table: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    seen = set()
+    for _, s, node in _sets(batches):
+        bit = node & (MEMBER_BITS - 1)
+        if len(s) and node not in seen and (int(table[bit >> 6]) >> (bit & 63)) & 1:
+            seen.add(node)
+            yield s, node
+
+
 def _members(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Shingles of the nodes that the table has, each once per task."""
-    seen, nodes, sets, size = set(), [], [], 0
+    nodes, sets, size = [], [], 0
 
     def flush():
         lengths = np.cumsum([0, *map(len, sets)])
         values = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(signed(np.concatenate(sets))))
         return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), values], names=["node", "shingles"])
 
-    for _, s, node in _sets(batches):
-        bit = node & (MEMBER_BITS - 1)
-        if not len(s) or node in seen or not (int(table[bit >> 6]) >> (bit & 63)) & 1:
-            continue
-        seen.add(node)
+    for s, node in _listed(batches, table):
         nodes.append(node)
         sets.append(s)
         size += len(s)
@@ -322,6 +409,63 @@ def _members(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[p
         yield flush()
 
 
+def _points(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sizes and count vectors of the nodes that the table has, each once per task."""
+    nodes, sizes, vectors, held = [], [], [], 0
+
+    def flush():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vectors, pa.binary())],
+            names=["node", "n", "vector"],
+        )
+
+    for s, node in _listed(batches, table):
+        v = count_vector(s)
+        nodes.append(node)
+        sizes.append(len(s))
+        # one byte for each group where that is enough; the length tells which
+        vectors.append(v.astype(np.uint8 if v.max() < 256 else "<u4").tobytes())
+        held += len(vectors[-1])
+        if held >= _BATCH:
+            yield flush()
+            nodes, sizes, vectors, held = [], [], [], 0
+    if nodes:
+        yield flush()
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each cluster the nodes that some other node of it may link with."""
+
+    def kept(hub, rows):
+        names = [r[0] for r in rows]
+        sizes = np.array([r[1] for r in rows])
+        vectors = [
+            np.frombuffer(v, np.uint8 if len(v) == groups_for(n) else "<u4").astype(np.int64) for _, n, v in rows
+        ]
+        may = may_link(vectors, sizes, names.index(hub) if hub in names else None)
+        return [(hub, names[k]) for k in np.flatnonzero(may)]
+
+    def flush(out):
+        hubs, nodes = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(nodes, pa.int64())], names=["hub", "node"])
+
+    hub, rows, out = None, [], []
+    for batch in batches:
+        for h, *row in zip(*(batch[c].to_pylist() for c in ("hub", "node", "n", "vector"))):
+            if h != hub:
+                if len(rows) > 1:
+                    out += kept(hub, rows)
+                hub, rows = h, []
+            rows.append(row)
+        if len(out) > 20_000:
+            yield flush(out)
+            out = []
+    if len(rows) > 1:
+        out += kept(hub, rows)
+    if out:
+        yield flush(out)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]):
     """Rows of one (hub, block) at a time, from rows sorted by these."""
     key, rows = None, []
@@ -378,17 +522,6 @@ def find_links(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFra
     blocks in a second step; the rest is connected through the hub already.
     """
     pairs = staged(clusters(docs, levels), "jaccard-clusters")
-    bit = F.col("node").bitwiseAND(F.lit(MEMBER_BITS - 1))
-    table = np.zeros(MEMBER_BITS // 64, dtype=np.uint64)
-    for word, bits in (
-        pairs.select("node", bit.alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits"))
-        .collect()  # at most MEMBER_BITS / 64 rows
-    ):
-        table[word] = np.uint64(bits % (1 << 64))
-    sets = docs.mapInArrow(lambda it: _members(it, table), _SET_DDL).dropDuplicates(["node"])
-    sets = staged(sets, "jaccard-sets")
     sizes = nodes.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
     large = (
         pairs.join(sizes, "node")
@@ -398,6 +531,14 @@ def find_links(docs: DataFrame, nodes: DataFrame, levels: np.ndarray) -> DataFra
         .select("hub", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     )
     large = staged(large, "jaccard-large")
+    # points first, a sixteenth of the sets: most clusters met by chance, and end here
+    table = _table(pairs)
+    points = docs.mapInArrow(lambda it: _points(it, table), "node long, n long, vector binary").dropDuplicates(["node"])
+    small = pairs.join(large, "hub", "left_anti").join(points, "node").select("hub", "node", "n", "vector")
+    near = small.repartition("hub").sortWithinPartitions("hub").mapInArrow(_bounded, "hub long, node long")
+    pairs = staged(near.unionByName(pairs.join(large, "hub", "left_semi")), "jaccard-near")
+    listed = _table(pairs)
+    sets = docs.mapInArrow(lambda it: _members(it, listed), _SET_DDL).dropDuplicates(["node"])
     dealt = pairs.join(large, "hub", "left").select(
         "hub", "node", F.coalesce("blocks", F.lit(1)).alias("blocks"), F.expr("pmod(xxhash64(node), coalesce(blocks, 1))").alias("own")
     )
