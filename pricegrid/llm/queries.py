@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricegrid.llm import chat, decontaminate, exact_dedup, jaccard_join, mixing, pii, quality, toxicity, warc
+from pricegrid.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality, toxicity, warc
 from pricegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,11 @@ def op6_quality(spark, sf_dir):
     )
 
 
+@query("op7_line_dedup", line_dedup.ORACLE_SQL)
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 @query("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
