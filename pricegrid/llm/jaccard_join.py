@@ -618,3 +618,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all columns, that stand for their component.
+
+    The row with the component's smallest doc_id stays, and every row without shingles.
+    Rows that repeat a doc_id stay or go together, as one document, and stay if one of
+    them would; rows without doc_id count as such a document.
+    """
+    found = jaccard_components(docs)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    joined = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
