@@ -90,7 +90,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -
         for page_id, url, html, refers_to, is_revisit in zip(*columns):
             if out is None:
                 path = f"{root}/part-{part:05d}-{number:04d}-{stem}.warc.gz"
-                out, written, records, number = fs.open_output_stream(path), 0, 0, number + 1
+                out, written, records, number = fs.open_output_stream(path, compression=None), 0, 0, number + 1
             payload = html.encode("utf-8", "surrogatepass")
             member = gzip_member(record_bytes(page_id, url, payload, payload_digest(payload), len(payload), refers_to, is_revisit))
             out.write(member)
@@ -225,7 +225,7 @@ def _read(batches: Iterator[pa.RecordBatch], with_content: bool) -> Iterator[pa.
         for archive in batch["archive"].to_pylist():
             fs, path = pafs.FileSystem.from_uri(archive)
             rows, held = [], 0
-            with fs.open_input_stream(path) as stream:
+            with fs.open_input_stream(path, compression=None) as stream:
                 for head, block in Records(stream.read):
                     sha, size, parts = hashlib.sha1(), 0, []
                     for part in block:
