@@ -5,8 +5,8 @@ A line of at least five words is removed when an earlier line of the corpus, in
 order of (doc_id, line number), is equal or has a Jaccard similarity of 0.75 or more.
 
 1. Candidates. Any two such lines share one of the first n - ceil(0.75 n) + 1 tokens
-   in any fixed order; the order of the hashes needs no counts. Only lines that share
-   a prefix token with a different line go on, so this step loses no pair.
+   in any fixed order; the order of the hashes needs no counts. Only lines that may
+   share enough of their prefixes with a different line go on: no pair is lost.
 2. Join of the candidates. Tokens are ordered by rarity among them; prefix, positional
    and length filters leave few pairs, which are verified on the whole sets. Each
    token's lines first meet two of them, the earliest and the one with most copies:
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from pricegrid.llm.common import SHINGLE, SIMILARITY, staged
 
-#: Bits of the table that drops most other lines before the candidates' texts are dealt out.
-TABLE_BITS = 1 << 20
+#: Bits of the tables that drop most other rows before a shuffle.
+TABLE_BITS = 1 << 23
+#: Lines with a common token whose pairs are counted.
+FEW = 4
 PART, WHOLE = SIMILARITY
 
 ORACLE_SQL = f"""
@@ -84,22 +86,53 @@ def _prefix_length(n: Column) -> Column:
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
-    """Keys of the lines that share a prefix token with a different line."""
+    """Keys of the lines that share enough prefix tokens with a different line.
+
+    Prefixes are computed once and written. A token is kept if two different lines have
+    it, which an aggregate over all tokens tells; only rows of such tokens are joined.
+    Common phrases make most lines share a token or two with some other line. So where
+    at most ``FEW`` lines have a token, their pairs are counted over the tokens: of two
+    sets that share c prefix tokens, at most c and what follows one of the prefixes is
+    common. Lines of tokens that more lines have go on uncounted.
+    """
     sets = lines.select("line_key", _tokens(F.col("line")).alias("s")).where("s IS NOT NULL")
-    rows = sets.select("line_key", F.explode(F.slice("s", 1, _prefix_length(F.size("s")))).alias("token"))
+    sets = sets.select("line_key", F.size("s").alias("n"), F.slice("s", 1, _prefix_length(F.size("s"))).alias("prefix"))
+    rows = staged(sets, "line-prefix").select("line_key", "n", F.explode("prefix").alias("token"))
     shared = (
         rows.groupBy("token")
         .agg(F.min("line_key").alias("low"), F.max("line_key").alias("high"))
         .where("low <> high")
         .select("token")
     )
-    return rows.join(shared.hint("shuffle_hash"), "token", "left_semi").select("line_key").distinct()
+    shared = staged(shared, "line-shared")
+    met = rows.where(_in_table(_table(shared, "token"), "token"))
+    met = met.join(shared.hint("shuffle_hash"), "token", "left_semi").distinct()
+    met = staged(met, "line-met")
+    sizes = met.groupBy("token").agg(F.count("*").alias("lines"))
+    many = met.join(sizes.where(F.col("lines") > FEW), "token", "left_semi").select("line_key")
+    few = met.join(sizes.where(F.col("lines") <= FEW), "token", "left_semi")
+    other = few.select("token", F.col("line_key").alias("other"), F.col("n").alias("m"))
+    pairs = (
+        few.join(other, "token")
+        .where("line_key < other")
+        .groupBy("line_key", "other", "n", "m")
+        .agg(F.count("*").alias("c"))
+    )
+    after = F.greatest(F.col("n") - _prefix_length(F.col("n")), F.col("m") - _prefix_length(F.col("m")))
+    enough = (F.col("c") + after) * (WHOLE + PART) >= (F.col("n") + F.col("m")) * PART
+    length = F.least("n", "m") * WHOLE >= F.greatest("n", "m") * PART
+    near = pairs.where(enough & length).select(F.explode(F.array("line_key", "other")).alias("line_key"))
+    return many.unionByName(near).distinct()
 
 
-def _table(keys: DataFrame) -> Column:
-    """Bits of the keys as one array of a fixed size, for a test before the shuffle."""
+def _table(keys: DataFrame, name: str) -> Column:
+    """Bits of the keys as one array of a fixed size, for a test before a shuffle.
+
+    It lets some other keys through, more of them the more keys there are; the join
+    that follows is exact.
+    """
     spark, words = keys.sparkSession, TABLE_BITS // 64
-    bit = F.col("line_key").bitwiseAND(F.lit(TABLE_BITS - 1))
+    bit = F.col(name).bitwiseAND(F.lit(TABLE_BITS - 1))
     bits = (
         keys.select(F.shiftright(bit, 6).alias("id"), bit.bitwiseAND(F.lit(63)).cast("int").alias("at"))
         .groupBy("id")
@@ -110,8 +143,8 @@ def _table(keys: DataFrame) -> Column:
     return dense.agg(F.transform(cells, lambda c: c["bits"]).alias("bits")).scalar()
 
 
-def _in_table(table: Column) -> Column:
-    bit = F.col("line_key").bitwiseAND(F.lit(TABLE_BITS - 1))
+def _in_table(table: Column, name: str) -> Column:
+    bit = F.col(name).bitwiseAND(F.lit(TABLE_BITS - 1))
     word = F.get(table, F.shiftright(bit, 6).cast("int"))
     return F.call_function("shiftright", word, bit.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
 
@@ -139,7 +172,7 @@ def _near(lines: DataFrame) -> DataFrame:
     """Keys of lines that a different, earlier line matches."""
     keys = staged(_candidates(lines), "line-candidates")
     sets = (
-        lines.where(_in_table(_table(keys)))
+        lines.where(_in_table(_table(keys, "line_key"), "line_key"))
         .groupBy("line_key")
         .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("first"), F.count("*").alias("copies"), F.first("line").alias("line"))
         .join(keys, "line_key", "left_semi")
@@ -177,7 +210,9 @@ def _near(lines: DataFrame) -> DataFrame:
 def _gone(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, gone): numbers of the lines to remove, for documents that lose some."""
     lines = _lines(docs)
-    long_enough = F.size(_words(F.col("line"))) >= SHINGLE
+    line = F.col("line")
+    single = ~(line.contains("  ") | line.startswith(" ") | line.endswith(" "))
+    long_enough = F.when(single, F.size(F.split(line, " ", SHINGLE)) >= SHINGLE).otherwise(F.size(_words(line)) >= SHINGLE)
     near = staged(_near(lines), "line-near")
     every = lines.where(long_enough).select("doc_id", "text_key", "line_no", "line_key")
     place = F.struct("doc_id", "text_key", "line_no")
