@@ -11,7 +11,7 @@ from pricegrid.operators import market as mk
 from pricegrid.operators.lags import lag_by_time, lag_features
 from pricegrid.operators.splits import hash_split, split_rows
 from pricegrid.operators.weather import normalise_weights, weighted_mean
-from pricegrid.plans.features import engineer, engineer_range
+from pricegrid.plans.features import engineer, engineer_on_grid, engineer_range
 from pricegrid.plans.models import align_features, training_matrix
 from pricegrid.schemas import (
     DIFFS,
@@ -275,6 +275,25 @@ def _price_lags(spark, sf):
     return _zone_lags(spark, sf, LAGS, [], []).drop("price")
 
 
+HOLE = ("2024-01-10 00:00:00", "2024-01-12 12:00:00")
+GAPPED_SQL = f"""{v.ZONE_SQL}, gapped AS (SELECT series_id, ts, price FROM market_zone
+    WHERE ts < TIMESTAMP '{HOLE[0]}' OR ts >= TIMESTAMP '{HOLE[1]}'),
+lagged AS (SELECT g.*, a.price AS price_lag_1h, b.price AS price_lag_24h, g.price - b.price AS price_diff_24h
+  FROM gapped g LEFT JOIN gapped a ON a.series_id = g.series_id AND a.ts = g.ts - INTERVAL 1 HOUR
+  LEFT JOIN gapped b ON b.series_id = g.series_id AND b.ts = g.ts - INTERVAL 24 HOUR)"""
+
+
+@query(
+    "price_lags_gapped",
+    twin(f"{KEYS}, ~price, ~price_lag_1h, ~price_lag_24h, ~price_diff_24h", "lagged", GAPPED_SQL),
+)
+def _price_lags_gapped(spark, sf):
+    rows = v.market_zone(spark, sf).select("series_id", "ts", "price")
+    rows = rows.where(f"ts < '{HOLE[0]}' OR ts >= '{HOLE[1]}'")
+    done = engineer_on_grid(rows, chunk_hours=v.TEST_CHUNK)
+    return done.select("series_id", "ts", "price", "price_lag_1h", "price_lag_24h", "price_diff_24h")
+
+
 @query(
     "price_rolling",
     twin(f"{KEYS}, {tilde(PRICE_ROLLING)}", "lagged", v.ZONE_REPAIRED_SQL,

@@ -8,6 +8,8 @@ from pricegrid.catalog import views as v
 from pricegrid.catalog.features import FULL_COLS, FULL_SQL, KEYS, MARKET, WEATHER, full_features_of
 from pricegrid.catalog.registry import query, rounded, twin
 from pricegrid.operators.market import join_market
+from pricegrid.operators.quality import outlier_clip
+from pricegrid.plans.ingest import market_table
 from pricegrid.session import fresh_path
 from pricegrid.sources import documents as docs
 from pricegrid.sources import predictions as preds
@@ -313,9 +315,84 @@ def _stream_hourly(spark, sf):
     f"""SELECT user_id % {v.ZONES} AS series_id, event_id, ts, round(value + 0.000000001::DOUBLE, 6) + 0.0 AS value FROM events""",
 )
 def _stream_dedupe(spark, sf):
+    # Three deliveries in as many batches, the newest first, with common rows: what
+    # comes last is weeks older than what has been seen, and none of it may be lost.
     root = fresh_path(spark, "stream")
-    schema, landing = _landed(spark, sf, root)
-    rows = st.landed_rows(spark, landing, schema).select("series_id", "event_id", "ts", "value")
-    once = st.drop_repeats(rows, ["event_id"], delay="40 days")
-    st.append_stream(once, f"{root}/out", f"{root}/progress").awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    rows = v.events(spark, sf).select("series_id", "event_id", "ts", "value")
+    cuts = [("2024-01-15", "9999-01-01"), ("2024-01-05", "2024-01-20"), ("1970-01-01", "2024-01-10")]
+    for i, (low, high) in enumerate(cuts, 1):
+        part = rows.where(f"ts >= '{low}' AND ts < '{high}'").coalesce(1)
+        part.write.parquet(f"{root}/landing/delivery={i}")
+        st.upsert_stream(
+            st.landed_rows(spark, f"{root}/landing/*", rows.schema, files_per_batch=1),
+            f"{root}/out", f"{root}/progress", ("series_id", "event_id", "ts"), "ingest_ts",
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("series_id", "event_id", "ts", "value")
+
+
+@query(
+    "backfill_then_update",
+    """SELECT o_custkey AS series_id, o_orderkey, o_orderdate AS ts,
+      round((CASE WHEN o_orderdate >= TIMESTAMP '1997-06-10' THEN o_totalprice * 3 ELSE o_totalprice END)
+        + 0.000000001::DOUBLE, 6) + 0.0 AS price
+    FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'""",
+)
+def _backfill_then_update(spark, sf):
+    # A table stored without versions, an update that begins in its last month, and the
+    # same update again with corrected values.
+    rows = _orders(spark, sf)
+    path = t.table_path(fresh_path(spark, "backfill"), "orders", 1)
+    t.write_months(rows.where("ts < '1997-06-15'"), path)
+    later = rows.where("ts >= '1997-06-10' AND ts < '1998-01-01'")
+    later = later.withColumn("ingest_ts", F.lit("1998-01-02").cast("timestamp"))
+    for factor in (2, 3):
+        delivery = later.withColumn("price", F.col("price") * factor)
+        t.upsert(delivery, path, ("series_id", "o_orderkey", "ts"))
+    return spark.read.parquet(path).select("series_id", "o_orderkey", "ts", "price")
+
+
+@query(
+    "month_edge_range",
+    """SELECT series_id, ts, price, strftime(ts, '%Y-%m') AS part_month FROM
+      (SELECT o_custkey % 5 AS series_id, o_orderdate + INTERVAL 23 HOUR AS ts,
+        round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) + 0.000000001::DOUBLE, 6) + 0.0 AS price
+      FROM orders GROUP BY ALL)
+    WHERE ts >= TIMESTAMP '1997-03-31 23:00:00' AND ts <= TIMESTAMP '1997-04-30 23:00:00'""",
+)
+def _month_edge_range(spark, sf):
+    # Instants of the last hour of a day: the local month is already the next one.
+    price = (
+        v.table(spark, sf, "orders")
+        .groupBy(
+            (F.col("o_custkey") % 5).alias("series_id"),
+            (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 23 HOURS")).alias("ts"),
+        )
+        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("price"))
+    )
+    none = price.where("false")
+    load = none.select("series_id", "ts", F.col("price").alias("load_forecast"))
+    generation = none.select(
+        "series_id", "ts", F.col("price").alias("wind_forecast"), F.col("price").alias("solar_forecast")
+    )
+    path = t.table_path(fresh_path(spark, "months"), "market", 1)
+    t.write_months(market_table(price, load, generation, prefill=False), path)
+    rows = t.read_months(spark, path, "1997-03-31 23:00:00", "1997-04-30 23:00:00")
+    return rows.select("series_id", "ts", "price", "part_month")
+
+
+@query(
+    "clip_nan",
+    """WITH r AS (SELECT o_custkey % 7 AS series_id, o_orderkey, o_orderdate AS ts,
+      CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice END AS price FROM orders),
+    s AS (SELECT series_id, avg(price) AS a, stddev_samp(price) AS d FROM r GROUP BY 1)
+    SELECT series_id, o_orderkey, ts,
+      round(CASE WHEN price < a - 1.5 * d THEN a - 1.5 * d WHEN price > a + 1.5 * d THEN a + 1.5 * d ELSE price END
+        + 0.000000001::DOUBLE, 6) + 0.0 AS price
+    FROM r JOIN s USING (series_id)""",
+)
+def _clip_nan(spark, sf):
+    rows = _orders(spark, sf).withColumn("series_id", F.col("series_id") % 7)
+    broken = rows.withColumn(
+        "price", F.when(F.col("o_orderkey") % 97 == 0, F.lit(float("nan"))).otherwise(F.col("price"))
+    )
+    return outlier_clip(broken, ["price"], n_std=1.5)

@@ -8,21 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], agg) -> DataFrame:
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+def _pick(df: DataFrame, keys: Sequence[str], rank, agg) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*[agg(c, rank).alias(c) for c in rest]).select(*df.columns)
+    if not rest:
+        return df.distinct()
+    row = agg(F.struct(*rest), rank).alias("__row")
+    return df.groupBy(*keys).agg(row).select(*keys, "__row.*").select(*df.columns)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per key in arrival order.
+    """First row per key in arrival order, as a whole; nulls in ``order`` come last.
 
-    An aggregate, so copies of one key are reduced before the shuffle. ``order``
-    must not tie within a key and must not be null.
+    An aggregate, so copies of one key are reduced before the shuffle. Of rows that
+    tie in ``order`` any one stays.
     """
-    return _pick(df, keys, order, F.min_by)
+    rank = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
+    return _pick(df, keys, rank, F.min_by)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Last row per key in arrival order."""
-    return _pick(df, keys, order, F.max_by)
+    """Last row per key in arrival order, as a whole; nulls in ``order`` come first."""
+    rank = F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in order])
+    return _pick(df, keys, rank, F.max_by)

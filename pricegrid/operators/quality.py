@@ -15,6 +15,11 @@ def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols})
 
 
+def _nan_free(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    kinds = dict(df.dtypes)
+    return nan_to_null(df, [c for c in cols if kinds.get(c) in ("double", "float")])
+
+
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Cast columns to double; text that is no number becomes null, as does NaN."""
     names = [c for c in cols if c in df.columns]
@@ -102,8 +107,9 @@ def outlier_counts(
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
 ) -> DataFrame:
-    """Number of values beyond the bounds per (series, batch) and column."""
+    """Number of values beyond the bounds per (series, batch) and column; NaN is missing."""
     keys = [*series_cols, *batch_cols]
+    df = _nan_free(df, cols)
     marked = _with_stats(df, cols, keys, ts_col, chunk_hours)
     return marked.groupBy(*keys).agg(
         *[
@@ -129,9 +135,15 @@ def _with_stats(df, cols, keys, ts_col, chunk_hours, stats_from=None):
     ``stats_from`` may name a frame of the same rows that derives only ``cols``.
     """
     if not keys:
-        scalars = {f"__avg_{c}": df.agg(F.avg(c)).scalar() for c in cols}
-        scalars |= {f"__std_{c}": df.agg(F.stddev_samp(c)).scalar() for c in cols}
-        return add_chunk(df, ts_col, chunk_hours).withColumns(scalars)
+        # all moments in one aggregate, brought to the rows as one struct
+        moments = df.agg(F.struct(*[F.expr(e) for e in _stats_of(cols)]).alias("__all")).scalar()
+        parts = {f"__{s}_{c}": F.col("__all")[f"__{s}_{c}"] for c in cols for s in ("avg", "std")}
+        return (
+            add_chunk(df, ts_col, chunk_hours)
+            .withColumn("__all", moments)
+            .withColumns(parts)
+            .drop("__all")
+        )
     if chunk_hours is None:
         group = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)})"
         return df.selectExpr("*", *_stats_of(cols, group))
@@ -189,9 +201,13 @@ def outlier_clip(
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
 ) -> DataFrame:
-    """Clip values to mean +/- ``n_std`` sample deviations per (series, batch)."""
+    """Clip values to mean +/- ``n_std`` sample deviations per (series, batch).
+
+    NaN counts as missing: it becomes null and takes no part in the statistics.
+    """
     keys = [*series_cols, *batch_cols]
     names = [c for c in cols if c in df.columns]
-    return drop_chunk(clip_columns(df, keys, names, n_std, ts_col, chunk_hours)).select(
+    clean = _nan_free(df, names)
+    return drop_chunk(clip_columns(clean, keys, names, n_std, ts_col, chunk_hours)).select(
         *df.columns
     )

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pricegrid.operators.chunks import CHUNK_HOURS, drop_chunk, group_keys
 from pricegrid.operators.fill import repair_columns
 from pricegrid.operators.grid import chunked_grid
-from pricegrid.operators.quality import clip_columns, valid_range
-from pricegrid.schemas import MAX_GAP_HOURS, MONTH, OUTLIER_STD, PRICE_BOUNDS, SERIES, TS
+from pricegrid.operators.quality import clip_columns, nan_to_null, valid_range
+from pricegrid.schemas import BATCH, MAX_GAP_HOURS, MONTH, OUTLIER_STD, PRICE_BOUNDS, SERIES, TS
 
 
 def clean(
@@ -27,19 +27,24 @@ def clean(
 ) -> DataFrame:
     """Clean every (series, batch) on its own; one exchange of the data.
 
+    NaN counts as missing from the start: it is repaired like a null, and takes no
+    part in means and deviations.
+
     With the month as batch (the default) a group has at most 745 hours, so all
     steps run as windows on one placement. Without batch columns the series is
     repaired across month edges, in chunks.
     """
     keys = [*series_cols, *batch_cols]
     if bounded_batches is None:
-        bounded_batches = MONTH in batch_cols
+        bounded_batches = MONTH in batch_cols or BATCH in batch_cols
     chunks = None if bounded_batches else chunk_hours
     numeric = [
         c
         for c, t in df.dtypes
         if c not in (*keys, ts_col) and t in ("double", "float", "int", "bigint")
     ]
+    floating = [c for c in numeric if dict(df.dtypes)[c] in ("double", "float")]
+    df = nan_to_null(df, floating)
     grid = chunked_grid(df, keys, ts_col, chunks)
     checked = valid_range(grid, price_col, bounds)
     repaired = repair_columns(checked, keys, numeric, max_gap_hours, ts_col, chunks)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.functions.features import interaction_features, market_features, time_features
 from pricegrid.operators.chunks import CHUNK_HOURS
+from pricegrid.operators.grid import hourly_grid
 from pricegrid.operators.lags import lag_features
 from pricegrid.schemas import LAGS, ROLLING, SERIES, TS
 
@@ -32,19 +33,39 @@ def engineer(
     return interaction_features(out)
 
 
+def engineer_on_grid(
+    df: DataFrame, series_cols: Sequence[str] = (SERIES,), ts_col: str = TS, **options
+) -> DataFrame:
+    """``engineer`` for rows whose hours may have holes.
+
+    Lags and frames count hours: the rows are put on the gap-free hourly axis of their
+    series first, and only rows that were there come back. A missing hour gives null
+    lags and frames without statistics, whatever the chunk size. Rows off the axis of
+    full steps from a series' first instant are dropped.
+    """
+    marked = df.withColumn("__there", F.lit(True))
+    grid = hourly_grid(marked, series_cols, ts_col=ts_col)
+    done = engineer(grid, series_cols=series_cols, ts_col=ts_col, regular=True, **options)
+    return done.where("__there").drop("__there")
+
+
 def lookback_hours() -> int:
     """History needed before the first row of interest."""
     return max([*LAGS, *ROLLING])
 
 
-def engineer_range(df: DataFrame, start, end, ts_col: str = TS, **options) -> DataFrame:
+def engineer_range(
+    df: DataFrame, start, end, ts_col: str = TS, on_grid: bool = False, **options
+) -> DataFrame:
     """Features of ``[start, end]`` from rows that reach back far enough.
 
     A cut on time does not move below a window, so the input is cut with the
-    lookback first and the result is cut to the range.
+    lookback first and the result is cut to the range. ``on_grid`` is for history
+    whose hours may have holes.
     """
     first = F.lit(start).cast("timestamp")
     last = F.lit(end).cast("timestamp")
     reach = F.make_dt_interval(hours=F.lit(lookback_hours()))
     history = df.where((F.col(ts_col) >= first - reach) & (F.col(ts_col) <= last))
-    return engineer(history, ts_col=ts_col, **options).where(F.col(ts_col) >= first)
+    build = engineer_on_grid if on_grid else engineer
+    return build(history, ts_col=ts_col, **options).where(F.col(ts_col) >= first)

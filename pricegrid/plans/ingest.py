@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricegrid.functions.timezones import month_id
 from pricegrid.operators.fill import ffill_bfill
 from pricegrid.operators.market import join_market, join_weather, split_columns
 from pricegrid.operators.weather import normalise_weights, weighted_mean
 from pricegrid.plans.cleaning import clean
-from pricegrid.schemas import DISPLAY_TZ, MONTH, SERIES, TS
+from pricegrid.schemas import BATCH, DISPLAY_TZ, SERIES, TS
 from pricegrid.session import staged
 from pricegrid.sources import documents, tables
 
@@ -23,11 +24,14 @@ def market_table(
     prefill: bool = True,
     zone: str | None = DISPLAY_TZ,
 ) -> DataFrame:
-    """Joined market rows per month; ``prefill`` fills each month both ways."""
-    joined = tables.with_month(join_market(price, load, generation), TS, zone)
+    """Joined market rows per local month; ``prefill`` fills each month both ways.
+
+    The local month is the batch of the cleaning only; tables are stored by UTC month.
+    """
+    joined = join_market(price, load, generation).withColumn(BATCH, month_id(TS, zone))
     if not prefill:
         return joined
-    return ffill_bfill(joined, (SERIES,), (MONTH,), chunk_hours=None)
+    return ffill_bfill(joined, (SERIES,), (BATCH,), chunk_hours=None)
 
 
 def read_market(
@@ -74,11 +78,24 @@ def clean_tables(market: DataFrame, weather: DataFrame) -> tuple[DataFrame, Data
     their own columns, and neither parses or joins the documents again.
     """
     merged = staged(join_weather(market, weather), "merged")
-    return split_columns(clean(merged), (SERIES, TS))
+    return split_columns(clean(merged, batch_cols=(BATCH,)), (SERIES, TS))
+
 
+#: Version of rows that a backfill writes: older than any delivery.
+BACKFILL_VERSION = "1970-01-01 00:00:00"
 
-def backfill(market: DataFrame, weather: DataFrame, market_path: str, weather_path: str) -> None:
-    """All months in one job per table; existing months are replaced."""
-    left, right = clean_tables(market, weather)
-    tables.write_months(tables.as_double(left), market_path)
-    tables.write_months(tables.as_double(right), weather_path)
+
+def backfill(
+    market: DataFrame,
+    weather: DataFrame,
+    market_path: str,
+    weather_path: str,
+    version: str = BACKFILL_VERSION,
+) -> None:
+    """All months in one job per table; existing months are replaced.
+
+    Rows carry ``ingest_ts`` like those of ``daily_update``, which replaces them.
+    """
+    stamp = F.lit(version).cast("timestamp")
+    for rows, path in zip(clean_tables(market, weather), (market_path, weather_path)):
+        tables.write_months(tables.as_double(rows).withColumn("ingest_ts", stamp), path)

@@ -13,7 +13,7 @@ from pricegrid.functions.errors import error_columns
 from pricegrid.operators.reports import mode_label
 from pricegrid.operators.splits import split_rows
 from pricegrid.plans import models
-from pricegrid.plans.features import engineer, engineer_range
+from pricegrid.plans.features import engineer_on_grid, engineer_range
 from pricegrid.plans.ingest import clean_tables
 from pricegrid.schemas import (
     BACKTEST_DAYS,
@@ -69,7 +69,7 @@ def train_job(
     round and must not derive the features anew after losing an executor.
     """
     rows = split_rows(
-        engineer(history, series_cols=series_cols),
+        engineer_on_grid(history, series_cols=series_cols),
         F.lit(test_start).cast("timestamp"),
         series_cols=series_cols,
     )
@@ -97,7 +97,7 @@ def score_job(
     History reaches back far enough for every lag of the first scored row.
     """
     start, end = scoring_window(datetime.fromisoformat(as_of))
-    featured = engineer_range(history, str(start), str(end))
+    featured = engineer_range(history, str(start), str(end), on_grid=True)
     labelled = mode_label(featured, F.lit(as_of).cast("timestamp"), BACKTEST_DAYS, FORECAST_DAYS)
     scored = models.score_modes(labelled, model, keys)
     predictions.write_predictions(scored, predictions_root, run_ts)

@@ -8,6 +8,7 @@ SERIES = "series_id"
 TS = "ts"
 LABEL_COL = "price"
 MONTH = "part_month"
+BATCH = "batch_month"
 
 MARKET_COLS = ["price", "load_forecast", "wind_forecast", "solar_forecast"]
 WEATHER_COLS = [

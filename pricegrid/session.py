@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +84,19 @@ def staged(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def staged_while(df, name: str):
+    """``staged`` for the length of a block; its folder is deleted at the end."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def checkpointed(df):
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession

@@ -36,6 +36,7 @@ QUANTITY_STEPS = {"PT60M": 60}
 QUANTITY_OTHER = 15
 # --- end of fixed values ---
 
+READINGS = ["temperature_2m", "wind_speed_10m", "wind_speed_80m", "irradiance"]
 ORDER = ["__file", "__row", "__period", "__point"]
 
 
@@ -69,6 +70,11 @@ def parse_time_series(
     ).select(*keep, "__file", "__row", "__doc.MktPSRType", "__doc.Period")
 
 
+def _number(name: str) -> Column:
+    """A value of a document; both formats can spell NaN, which is missing here."""
+    return F.nanvl(F.col(name), F.lit(None).cast("double"))
+
+
 def points(series: DataFrame) -> DataFrame:
     """One row per Point with period start, resolution and arrival order."""
     origin = [c for c in series.columns if c not in ("MktPSRType", "Period")]
@@ -92,8 +98,8 @@ def points(series: DataFrame) -> DataFrame:
         "start",
         "resolution",
         F.col("q.position").alias("position"),
-        F.col("q.`price.amount`").alias("price"),
-        F.col("q.quantity").alias("quantity"),
+        _number("q.`price.amount`").alias("price"),
+        _number("q.quantity").alias("quantity"),
     )
 
 
@@ -208,6 +214,7 @@ def weather_rows(docs: DataFrame, zone: str = DISPLAY_TZ) -> DataFrame:
     return (
         docs.select(*keep, F.inline(zipped))
         .withColumn(TS, local_to_utc(local, zone))
+        .withColumns({c: _number(c) for c in READINGS})
         .drop("time")
     )
 

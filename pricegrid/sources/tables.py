@@ -11,22 +11,24 @@ from pyspark.sql import functions as F
 from pricegrid.functions.timezones import month_id
 from pricegrid.operators.dedupe import keep_latest
 from pricegrid.operators.market import join_weather
-from pricegrid.schemas import MONTH, SERIES, TS
+from pricegrid.schemas import BATCH, MONTH, SERIES, TS
+from pricegrid.session import staged_while
 
 
 def table_path(root: str, name: str, version: int) -> str:
     return f"{root.rstrip('/')}/{name}_v{version}"
 
 
-def with_month(df: DataFrame, ts_col: str = TS, zone: str | None = None) -> DataFrame:
-    return df if MONTH in df.columns else df.withColumn(MONTH, month_id(ts_col, zone))
+def with_month(df: DataFrame, ts_col: str = TS) -> DataFrame:
+    """The month folder of each row, always by its instant in UTC."""
+    return df.withColumn(MONTH, month_id(ts_col))
 
 
 def as_double(df: DataFrame, skip: Sequence[str] = (SERIES, TS, MONTH)) -> DataFrame:
-    """Store form of a feature table: every numeric column as double."""
-    numeric = ("int", "bigint", "smallint", "tinyint", "float", "decimal")
+    """Store form of a feature table: every numeric column as double, NaN as null."""
+    numeric = ("int", "bigint", "smallint", "tinyint", "float", "decimal", "double")
     casts = {
-        c: F.col(c).cast("double")
+        c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
         for c, t in df.dtypes
         if c not in skip and t.startswith(numeric)
     }
@@ -38,10 +40,13 @@ def write_months(
 ) -> None:
     """Replace the months present in ``df``; other months stay untouched.
 
+    The month is that of the instant in UTC, whatever month column the rows bring, so
+    that a range in instants finds all its rows; ``read_months`` prunes by the same rule.
+
     Rows are rebalanced by month, which splits a large month over several
     tasks and merges small ones, and sorted for row-group statistics.
     """
-    months = with_month(df, ts_col)
+    months = with_month(df, ts_col).drop(BATCH)
     order = [c for c in sort_cols if c in months.columns]
     (
         months.hint("rebalance", MONTH)
@@ -97,18 +102,27 @@ def upsert(
 ) -> None:
     """Insert rows, keeping the latest version per key; repeatable.
 
-    Only the months of the incoming rows are read and rewritten. Their names
-    are the one thing collected, one short string per month.
+    A row without version, or from a table stored without that column, is older than
+    any version; on equal versions the incoming row replaces the stored one. A key
+    that repeats within one delivery and version keeps any one of its rows, whole.
+
+    Only the months of the incoming rows are read and rewritten. The delivery is
+    written to the shared folder first, so its plan runs once, and removed at the end.
+    The names of its months are the one thing collected, one short string per month.
     """
-    spark = df.sparkSession
-    incoming = with_month(df, ts_col)
-    stored = stored_table(spark, path)
-    if stored is not None:
-        touched = [r[0] for r in incoming.select(MONTH).distinct().collect()]
-        kept = stored.where(F.col(MONTH).isin(touched))
-        incoming = kept.unionByName(incoming, allowMissingColumns=True)
-    latest = keep_latest(incoming, [*key_cols, MONTH], [version_col])
-    write_months(latest, path, key_cols, ts_col)
+    with staged_while(with_month(df, ts_col).drop(BATCH), "delivery") as incoming:
+        stored = stored_table(df.sparkSession, path)
+        rows = incoming.withColumn("__arrival", F.lit(1))
+        if version_col not in rows.columns:
+            rows = rows.withColumn(version_col, F.lit(None).cast(
+                stored.schema[version_col].dataType if stored is not None and version_col in stored.columns else "timestamp"
+            ))
+        if stored is not None:
+            touched = [r[0] for r in incoming.select(MONTH).distinct().collect()]
+            kept = stored.where(F.col(MONTH).isin(touched)).withColumn("__arrival", F.lit(0))
+            rows = kept.unionByName(rows, allowMissingColumns=True)
+        latest = keep_latest(rows, [*key_cols, MONTH], [version_col, "__arrival"])
+        write_months(latest.drop("__arrival"), path, key_cols, ts_col)
 
 
 def read_groups(

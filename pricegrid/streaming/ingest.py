@@ -57,9 +57,12 @@ def upsert_stream(
 def drop_repeats(
     rows: DataFrame, keys: Sequence[str], ts_col: str = TS, delay: str = "3 days"
 ) -> DataFrame:
-    """Drop exact re-deliveries of a key that arrive within ``delay``.
+    """Drop re-deliveries of a key that arrive within ``delay``; late rows go too.
 
-    The state holds the keys of that span only.
+    The state holds the keys of that span only, so a row older than the newest instant
+    less ``delay`` can't be told from a repeat and is dropped even if it is the first of
+    its key. Where no first delivery may be lost, use ``upsert_stream`` on the key: it
+    compares with the table and takes rows of any age.
     """
     instants = rows.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
     return instants.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
@@ -68,7 +71,11 @@ def drop_repeats(
 def hourly_totals(
     rows: DataFrame, by: Sequence[str], value_col: str, ts_col: str = TS, delay: str = "1 day"
 ) -> DataFrame:
-    """Count and sum per hour; an hour is emitted once the watermark passes it."""
+    """Count and sum per hour; an hour is emitted once, when the watermark passes it.
+
+    Rows that come later than ``delay`` are not counted. Hours that may still change
+    belong into a table kept by ``upsert_stream`` and summed when read.
+    """
     instants = rows.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
     return (
         instants.withWatermark(ts_col, delay)

@@ -4,13 +4,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401  registers the queries
+from pricegrid.catalog import registry
 from pricegrid.catalog import views as v
 from pricegrid.operators.lags import lag_features
 from pricegrid.operators.weather import weighted_mean
 from pricegrid.schemas import MARKET_COLS, WEATHER_COLS
 
-QUERIES = entry.queries()
+QUERIES = registry.QUERIES
 # Summaries over everything; the rows are reduced to one per task beforehand.
 GLOBAL = {
     "missing_stats", "error_metrics", "dashboard_metrics", "value_ranges",
@@ -19,7 +20,7 @@ GLOBAL = {
 }
 WRITES = {
     "month_roundtrip", "month_range", "upsert_latest", "fg_range_join", "engineered_table",
-    "prediction_records", "stream_hourly", "stream_dedupe", "train_gbt", "score_modes",
+    "prediction_records", "stream_hourly", "stream_dedupe", "backfill_then_update", "month_edge_range", "train_gbt", "score_modes",
     "feature_importance", "linear_baseline",
 }
 DATA = {*MARKET_COLS, *WEATHER_COLS}

@@ -11,7 +11,7 @@ from pricegrid.operators.grid import hourly_grid
 from pricegrid.operators.lags import lag_by_time, lag_features
 from pricegrid.operators.quality import outlier_clip, valid_range
 from pricegrid.plans.cleaning import clean
-from pricegrid.plans.features import engineer, engineer_range
+from pricegrid.plans.features import engineer, engineer_on_grid, engineer_range
 from pricegrid.sources.tables import with_month
 
 CHUNK = 200  # far below the length of the test series
@@ -255,3 +255,28 @@ def test_engineer_range_equals_a_cut_of_everything(spark, frame):
     whole = collect(engineer(df, chunk_hours=CHUNK))
     whole = whole[(whole.ts >= a) & (whole.ts <= b)].reset_index(drop=True)
     pd.testing.assert_frame_equal(part, whole, rtol=1e-9)
+
+
+@pytest.mark.parametrize("chunk", [200, 256, 4096])
+def test_lags_on_an_axis_with_a_hole_do_not_depend_on_the_chunk(spark, chunk):
+    hours = [h for h in range(540) if not 200 <= h < 260]
+    base = pd.Timestamp("2024-01-01")
+    pdf = pd.DataFrame(
+        {"series_id": 1, "ts": [base + pd.Timedelta(hours=h) for h in hours], "price": [float(h * h % 101) for h in hours]}
+    )
+    got = collect(engineer_on_grid(to_spark(spark, pdf), chunk_hours=chunk))
+    value = dict(zip(hours, pdf.price))
+    assert len(got) == len(hours)
+    for h, lag in zip(hours, got.price_lag_24h):
+        want = value.get(h - 24)
+        assert (want is None and pd.isna(lag)) or want == lag
+
+
+def test_nan_is_missing_everywhere(spark):
+    rows = [(1, f"2024-01-01 0{h}:00:00", float("nan") if h == 2 else 10.0 + h) for h in range(5)]
+    df = spark.createDataFrame(rows, "series_id long, ts string, load_forecast double")
+    df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+    cleaned = clean(with_month(df), price_col="load_forecast").orderBy("ts").collect()
+    assert [r.load_forecast for r in cleaned] == [10.0, 11.0, 12.0, 13.0, 14.0]
+    clipped = outlier_clip(df, ["load_forecast"]).orderBy("ts").collect()
+    assert [r.load_forecast for r in clipped] == [10.0, 11.0, None, 13.0, 14.0]

@@ -218,6 +218,21 @@ def test_upsert_twice_equals_once(spark, tmp_path):
     assert spark.read.parquet(path).where("ingest_ts = 2").count() == 120
 
 
+def test_upsert_into_a_table_stored_without_versions(spark, tmp_path):
+    path = str(tmp_path / "v_v1")
+    t.write_months(price_rows(spark, (1,)).drop("ingest_ts"), path)
+    later = price_rows(spark, (1,)).where("hour(ts) >= 12").withColumn("price", F.lit(-1.0))
+    t.upsert(later, path)
+    got = spark.read.parquet(path)
+    assert got.count() == 60 and got.where("price IS NULL").count() == 0
+    assert got.where("price = -1").count() == later.count()
+    again = later.withColumn("price", F.lit(-2.0))  # the same version delivered again
+    t.upsert(again, path)
+    assert spark.read.parquet(path).where("price = -2").count() == later.count()
+    t.upsert(later.drop("ingest_ts"), path)  # without a version it is older than any
+    assert spark.read.parquet(path).where("price = -2").count() == later.count()
+
+
 def test_month_pairing(spark):
     a = spark.createDataFrame([("2024-01",), ("2024-02",), ("2024-02",)], "part_month string")
     b = spark.createDataFrame([("2024-02",), ("2024-03",)], "part_month string")
