@@ -129,6 +129,17 @@ def _matrix(patterns: list[str]) -> np.ndarray:
     return np.frombuffer("".join(patterns).encode(), dtype=np.uint8).reshape(-1, width) - 48
 
 
+def _correlation(fired: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Correlations of the voters' votes over weighted rows, 0 with themselves."""
+    total = max(weight.sum(), 1.0)
+    centred = fired - (weight @ fired) / total
+    cov = (centred * weight[:, None]).T @ centred / total
+    sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
+    out = cov / sd[:, None] / sd[None, :]
+    np.fill_diagonal(out, 0)
+    return out
+
+
 def fit_label_model(counts: list[tuple[str, int | None, int]], rounds: int = 60, gold: float = 0.99) -> LabelModel:
     """EM over (vote pattern, label or None, rows); labels are one more voter, ``gold`` reliable.
 
@@ -143,25 +154,21 @@ def fit_label_model(counts: list[tuple[str, int | None, int]], rounds: int = 60,
     v, weight = _matrix(patterns), np.array([c[2] for c in counts], float)
     label = np.array([-1 if c[1] is None else c[1] for c in counts])
     known = np.where(label == 1, np.log(gold / (1 - gold)), np.where(label == 0, -np.log(gold / (1 - gold)), 0.0))
-    p = np.clip(0.5 + 0.2 * ((v == 1).sum(1) - (v == 0).sum(1)), 0.02, 0.98)
-    p = np.where(label >= 0, np.where(label == 1, gold, 1 - gold), p)
-    say, model = np.ones(v.shape[1]), None
     onehot = np.stack([(v == k) for k in range(3)], axis=2).astype(float)  # rows x voters x vote
+    fired = onehot[:, :, 1] - onehot[:, :, 0]
+    # near copies of a voter count as one from the start, or they would outvote the rest
+    copies = np.clip((_correlation(fired, weight) - 0.7) / 0.3, 0, 1)
+    say, model = 1 / (1 + copies.sum(axis=1)), None
+    p = np.clip(0.5 + 0.2 * (fired @ say), 0.02, 0.98)
+    p = np.where(label >= 0, np.where(label == 1, gold, 1 - gold), p)
     for step in range(rounds):
         pos, neg = weight * p, weight * (1 - p)
         rates = np.stack([np.tensordot(w, onehot, 1) + 0.5 for w in (neg, pos)], axis=1)
         rates /= rates.sum(axis=2, keepdims=True)
         prior = float(np.clip(pos.sum() / weight.sum(), 1e-4, 1 - 1e-4))
-        corr = np.zeros((v.shape[1],) * 2)
+        corr = copies
         if step >= 3:
-            fired = onehot[:, :, 1] - onehot[:, :, 0]
-            for w in (neg, pos):
-                total = max(w.sum(), 1.0)
-                centred = fired - (w @ fired) / total
-                cov = (centred * w[:, None]).T @ centred / total
-                sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
-                corr = np.maximum(corr, cov / sd[:, None] / sd[None, :])
-            np.fill_diagonal(corr, 0)
+            corr = np.maximum(corr, np.maximum(_correlation(fired, neg), _correlation(fired, pos)))
             say = 1 / (1 + np.clip(corr, 0, 1).sum(axis=1))
         model = LabelModel(prior, rates, say, corr)
         q = model.posterior(patterns)
