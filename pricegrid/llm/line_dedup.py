@@ -5,7 +5,8 @@ A line of at least five words is removed when an earlier line of the corpus, in
 order of (doc_id, line number), is equal or has a Jaccard similarity of 0.75 or more.
 
 1. Candidates. Any two such lines share one of the first n - ceil(0.75 n) + 1 tokens
-   in any fixed order; the order of the hashes needs no counts. Only lines that may
+   in any fixed order; this step takes runs that begin with long words first, then the
+   order of hashes, neither of which needs counts. Only lines that may
    share enough of their prefixes with a different line go on: no pair is lost.
 2. Join of the candidates. Tokens are ordered by rarity among them; prefix, positional
    and length filters leave few pairs, which are verified on the whole sets. Each
@@ -43,12 +44,10 @@ near AS (SELECT DISTINCT line FROM p WHERE {WHOLE} * shared >= {PART} * (n + m -
 gone AS (SELECT l.doc_id, l.text, l.line_no FROM l JOIN c USING (line) LEFT JOIN near ON near.line = l.line
       WHERE near.line IS NOT NULL OR l.doc_id <> c.first.doc_id OR l.line_no <> c.first.line_no)
 SELECT docs.doc_id, len(string_split(coalesce(docs.text, ''), chr(10))) AS n_lines,
-  coalesce(g.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS text_sha256
+  coalesce(len(g.removed), 0) AS n_removed, coalesce(g.removed, []) AS removed
 FROM documents docs
-LEFT JOIN (SELECT doc_id, text, count(*) AS n FROM gone GROUP BY ALL) g ON g.doc_id = docs.doc_id AND g.text = coalesce(docs.text, '')
-LEFT JOIN (SELECT l.doc_id, l.text AS whole, string_agg(l.line, chr(10) ORDER BY l.line_no) AS text
-           FROM l ANTI JOIN gone USING (doc_id, text, line_no) GROUP BY ALL) k
-  ON k.doc_id = docs.doc_id AND k.whole = coalesce(docs.text, '')"""
+LEFT JOIN (SELECT doc_id, text, list(CAST(line_no - 1 AS INTEGER) ORDER BY line_no) AS removed FROM gone GROUP BY ALL) g
+  ON g.doc_id = docs.doc_id AND g.text = coalesce(docs.text, '')"""
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -68,17 +67,30 @@ def _words(line: Column) -> Column:
 
 def _tokens(line: Column) -> Column:
     """Sorted hashes of a line's distinct runs of five words; null for shorter lines."""
-    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
+    hashes = F.transform(_words(line), _hash)
     # one lambda over a one-element array names the hashes, so they are computed once
     named = F.transform(F.array(hashes), lambda h: F.when(F.size(h) >= SHINGLE, _runs(h)))
     return F.sort_array(F.array_distinct(F.element_at(named, 1)))
 
 
+def _hash(word: Column) -> Column:
+    """60 bits of a hash below a class of the word's length, 0 for the longest."""
+    short = 7 - F.least(F.octet_length(word), F.lit(14)).bitwiseAND(F.lit(14)) / 2
+    return F.shiftleft(short.cast("long"), 60).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 4))
+
+
 def _runs(h: Column) -> Column:
-    return F.transform(
-        F.slice(h, 1, F.size(h) - (SHINGLE - 1)),
-        lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, SHINGLE)]),
-    )
+    """Hashes of runs, in the order of their first word's length class.
+
+    Long words are rare, so this order puts most runs last that lines share by chance,
+    before any are counted.
+    """
+
+    def token(x, i):
+        run = F.xxhash64(x, *[F.get(h, i + k) for k in range(1, SHINGLE)])
+        return x.bitwiseAND(F.lit(7 << 60)).bitwiseOR(F.shiftrightunsigned(run, 4))
+
+    return F.transform(F.slice(h, 1, F.size(h) - (SHINGLE - 1)), token)
 
 
 def _prefix_length(n: Column) -> Column:
@@ -262,11 +274,22 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_lines, n_removed, text_sha256`` (of what stays) of every document, dropped ones too."""
+    """``doc_id, n_lines, n_removed, removed`` of every row, emptied documents too.
+
+    ``removed`` has the numbers of the lines that :func:`dedup_lines` takes out, from 0
+    and ascending. Texts are not moved.
+    """
+    gone = _gone(docs).toDF("__id", "__key", "__gone")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return _cleaned(docs.select("doc_id", "text")).select(
+    rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("__own"),
         F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+    )
+    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
+    return joined.select(
+        "doc_id",
+        "n_lines",
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.sha2(F.col("__kept").cast("binary"), 256).alias("text_sha256"),
+        F.coalesce(F.sort_array("__gone"), F.array().cast("array<int>")).alias("removed"),
     )

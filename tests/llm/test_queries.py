@@ -19,6 +19,8 @@ def db(small):
 
 def rows(frame):
     def show(v):
+        if hasattr(v, "__len__") and not isinstance(v, str):
+            return str([int(x) for x in v])
         return "-" if v is None or v != v else str(int(v)) if isinstance(v, float) else str(v)
 
     frame = frame[sorted(frame.columns)].astype(object)
