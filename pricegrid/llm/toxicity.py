@@ -32,7 +32,7 @@ INSULTS = (
 ).split()
 
 _STRIP = ".,;:!?\"'()[]{}<>*#%&$|-_=/\\"
-_STEMS = (4, 5, 6)
+_STEMS = (4, 5, 6, 7, 8)
 _SECOND_PERSON = re.compile(r"\b(?:you|you're|u|your)(?: are| r)? (?:a |an |so |such )?([a-z]+)")
 _MASKED = re.compile(r"\b[a-z][*#@$]{2,}[a-z]?\b")
 
@@ -47,6 +47,12 @@ def features_of(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in _STEMS if len(word) >= k)]
 
 
+def signature(words: set[str]) -> int:
+    """The same for copies and for most near copies: a hash of the words with the lowest hashes."""
+    low = sorted(zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words)[:4]
+    return (zlib.crc32(repr(low).encode()) >> 1) << 32 | (low[0] if low else 0)
+
+
 class _Known(dict):
     """word -> numbers of the lexicon entries that it or a stem of it matches."""
 
@@ -64,7 +70,7 @@ class _Known(dict):
 
 # Voters: 1 votes toxic, 0 clean, 2 abstains.
 _GROUPS = 2  # the learned lexicon is dealt by kind of entry and hash over several voters
-LEXICON_VOTERS = [f"{kind}_{k}" for kind in ("word", "stem4", "stem5", "stem6") for k in range(_GROUPS)]
+LEXICON_VOTERS = [f"{kind}_{k}" for kind in ("word", *(f"stem{n}" for n in _STEMS)) for k in range(_GROUPS)]
 VOTERS = ["insults", *LEXICON_VOTERS, "several", "second_person", "masked", "shouting", "long_and_none"]
 
 
@@ -73,20 +79,20 @@ def _voter_of(entry: str) -> int:
     return kind * _GROUPS + zlib.crc32(entry.encode()) % _GROUPS
 
 
-def votes(text: str, words: set[str], hits: set[int], voter_of: list[int]) -> str:
-    """One character per voter."""
+def votes(text: str, words: set[str], found: list[tuple[int, ...]], voter_of: list[int]) -> str:
+    """One character per voter; ``found`` has the lexicon entries of each word that has some."""
     insulted = not words.isdisjoint(INSULTS)
-    lexical = {voter_of[h] for h in hits}
+    lexical = {voter_of[h] for hits in found for h in hits}
     caps = sum(w.isupper() and len(w) > 2 for w in words_in_case(text)) if "!" in text else 0
     lowered = text.lower()
     person = any(w in _INSULT_SET for w in _SECOND_PERSON.findall(lowered)) if "you" in lowered else False
     out = ["1" if insulted else "2"]
     out += ["1" if k in lexical else "2" for k in range(len(LEXICON_VOTERS))]
-    out.append("1" if len(hits) >= 6 else ("0" if not hits and not insulted else "2"))
+    out.append("1" if len(found) >= 3 else ("0" if not found and not insulted else "2"))
     out.append("1" if person else "2")
     out.append("1" if _MASKED.search(lowered) else "2")
     out.append("1" if caps >= 3 and insulted else "2")
-    out.append("0" if len(text) > 400 and not hits and not insulted else "2")
+    out.append("0" if len(text) > 400 and not found and not insulted else "2")
     return "".join(out)
 
 
@@ -179,20 +185,52 @@ def fit_label_model(counts: list[tuple[str, int | None, int]], rounds: int = 60,
     return model
 
 
+def soft_labels(model: LabelModel, patterns: list[str], toxic: list[int]) -> np.ndarray:
+    """Posterior labels of labelled rows: the votes', moved by the label as a strong vote.
+
+    The votes move a label's odds of 100 to 1 by at most ten times either way.
+    """
+    if not patterns:
+        return np.zeros(0)
+    q = np.clip(model.posterior(patterns), 1e-9, 1 - 1e-9)
+    odds = np.clip(np.log(q / (1 - q)), -2.3, 2.3) + np.where(np.array(toxic) > 0, 4.6, -4.6)
+    return 1 / (1 + np.exp(-odds))
+
+
 # --- classifier --------------------------------------------------------------
 
 
-def fit_linear(rows: list[list[int]], target: np.ndarray, width: int, steps: int = 400, ridge: float = 2e-5):
+def word_rows(rows: list[list], target: np.ndarray) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+    """Each document's features, and beside it those of each of its words alone.
+
+    Signs of toxicity come together in most toxic documents, so whole documents alone
+    would leave each sign with a part of the evidence; one sign has to do by itself.
+    """
+    out, labels, weights = [], [], []
+    for found, y in zip(rows, target):
+        out.append(sorted({h for hits in found for h in hits}))
+        labels.append(y)
+        weights.append(1.0)
+        if len(found) > 1:
+            out += [list(hits) for hits in found]
+            labels += [y] * len(found)
+            weights += [1.0 / len(found)] * len(found)
+    return out, np.array(labels), np.array(weights)
+
+
+def fit_linear(rows: list[list[int]], target: np.ndarray, width: int, weight: np.ndarray | None = None,
+               steps: int = 400, ridge: float = 2e-5):
     """Logistic regression on sets of feature numbers and soft labels (Adam, fixed steps)."""
+    weight = np.ones(len(rows)) if weight is None else weight
     lengths = np.array([len(r) for r in rows])
     cols = np.concatenate([np.array(r, dtype=np.int64) for r in rows]) if lengths.sum() else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(rows)), lengths)
     w = np.zeros(width + 1)
     m, s = np.zeros_like(w), np.zeros_like(w)
-    n = max(1, len(rows))
+    n = max(1.0, weight.sum())
     for t in range(1, steps + 1):
         z = np.bincount(owner, w[cols], len(rows)) + w[-1]
-        err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
+        err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target)
         grad = np.append(np.bincount(cols, err[owner], width), err.sum()) / n
         grad[:-1] += ridge * w[:-1]
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad**2
@@ -235,6 +273,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+@F.pandas_udf("long")
+def _signature(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: signature(words_in(t))).astype("int64")
+
+
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     toxic, clean = Counter(), Counter()
 
@@ -261,11 +304,11 @@ def _evidence(batches: Iterator[pa.RecordBatch], lexicon: dict[str, int]) -> Ite
         patterns, features = [], []
         for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
             words = words_in(text)
-            hits = {h for w in words for h in known[w]}
-            patterns.append(votes(text, words, hits, voter_of))
-            features.append(sorted(hits) if label is not None else None)
+            found = sorted({known[w] for w in words} - {()})
+            patterns.append(votes(text, words, found, voter_of))
+            features.append(found if label is not None else None)
         yield pa.RecordBatch.from_arrays(
-            [batch["toxic"], pa.array(patterns, pa.string()), pa.array(features, pa.list_(pa.int32()))],
+            [batch["toxic"], pa.array(patterns, pa.string()), pa.array(features, pa.list_(pa.list_(pa.int32())))],
             names=["toxic", "votes", "features"],
         )
 
@@ -293,8 +336,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, supp
     )
     rows = texts(docs).where(~held_out(F.col("doc_id")))
     small = F.broadcast(sample)  # at most sample_rows rows of 12 bytes
+    # copies of a toxic document would make signs of its rare words: one of them counts
     counted = (
         rows.join(small, "doc_id")
+        .select("text", "toxic", _signature(F.col("text")).alias("signature"))
+        .dropDuplicates(["signature", "toxic"])
         .select("text", "toxic")
         .mapInArrow(_entries, "entry string, in_toxic long, in_clean long")
         .groupBy("entry")
@@ -313,20 +359,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, supp
     evidence = staged(
         rows.join(small, "doc_id", "left")
         .select("text", "toxic")
-        .mapInArrow(lambda it: _evidence(it, lexicon), "toxic int, votes string, features array<int>"),
+        .mapInArrow(lambda it: _evidence(it, lexicon), "toxic int, votes string, features array<array<int>>"),
         "toxicity-evidence",
     )
     counts = [tuple(r) for r in evidence.groupBy("votes", "toxic").count().collect()]
     model = fit_label_model([(p, None if y is None else int(y > 0), n) for p, y, n in counts])
     shown = evidence.where("toxic IS NOT NULL").groupBy("votes", "toxic", "features").count().collect()
     shown.sort(key=lambda r: (r["votes"], r["toxic"], r["features"]))
-    q = model.posterior([r["votes"] for r in shown]) if shown else np.zeros(0)
-    gold = np.array([4.6 if r["toxic"] else -4.6 for r in shown])
-    target = 1 / (1 + np.exp(-np.clip(np.log(np.clip(q, 1e-9, 1 - 1e-9) / (1 - np.clip(q, 1e-9, 1 - 1e-9))) + gold, -30, 30)))
+    target = soft_labels(model, [r["votes"] for r in shown], [r["toxic"] for r in shown])
     repeated = [r["features"] for r in shown for _ in range(r["count"])]
     target = np.repeat(target, [r["count"] for r in shown]) if shown else target
     if repeated:
-        weights, bias = fit_linear(repeated, target, max(1, len(lexicon)))
+        features, soft, weight = word_rows(repeated, target)
+        weights, bias = fit_linear(features, soft, max(1, len(lexicon)), weight)
     else:
         # no label at all: insults as entries, weighted by what the label model says
         lexicon = {w: k for k, w in enumerate(INSULTS)}
