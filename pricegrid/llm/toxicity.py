@@ -273,9 +273,13 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-@F.pandas_udf("long")
-def _signature(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: signature(words_in(t))).astype("int64")
+def _signature(text: Column) -> Column:
+    # declared here, not with the module: executors import it without a session
+    @F.pandas_udf("long")
+    def text_signature(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda t: signature(words_in(t))).astype("int64")
+
+    return text_signature(text)
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
