@@ -266,7 +266,8 @@ def checked_revisits(records: DataFrame) -> DataFrame:
     there = responses.select(
         F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes", F.lit(True).alias("there")
     )
-    found = records.join(there, ["refers_to", "payload_digest", "payload_bytes"], "left")
+    # what archives hold can't be told from the small table of their names: never broadcast it
+    found = records.join(there.hint("merge"), ["refers_to", "payload_digest", "payload_bytes"], "left")
     wrong = (F.col("record_type") == "revisit") & F.col("there").isNull() & F.col("refers_to").isNotNull()
     return found.withColumn(
         "record_type",
