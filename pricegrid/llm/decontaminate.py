@@ -166,11 +166,15 @@ class ItemIndex:
         return [(i, *v) for i, v in sorted(best.items(), key=lambda x: (x[0] is None, x[0] or 0))]
 
     def _windows(self, s, known, span, n_words, best) -> None:
+        # most texts share a phrase or two with some item, which is not enough for any
+        own = self.weight(s[known])
+        total = float(own.sum()) + 1e-9
+        sizes = [i for i in self.sizes if min(i.size, SHINGLE) == span and i.least <= total]
+        if not sizes:
+            return
         weight = self.weight(s)
         shared = np.concatenate([[0.0], np.cumsum(np.where(known, weight, 0.0))])
-        for index in self.sizes:
-            if min(index.size, SHINGLE) != span:
-                continue
+        for index in sizes:
             width = min(index.size, n_words) - span + 1  # shingles of a window
             starts = np.flatnonzero(shared[width:] - shared[:-width] >= index.least - 1e-9)
             # windows are worked on in pieces, so a text full of passages needs no more memory
