@@ -43,10 +43,13 @@ def read_market(
     series_pattern: str | None = None,
     **options,
 ) -> DataFrame:
-    """Market rows from files; the series comes from a name or from the path."""
+    """Market rows from files; the series comes from a name or from the path.
+
+    A kind without a single readable document is an error.
+    """
 
     def rows(path: str) -> DataFrame:
-        ts = documents.read_time_series(spark, path)
+        ts = documents.required(documents.read_time_series(spark, path), str(path))
         named = (
             documents.with_series(ts, series_pattern)
             if series_pattern

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricegrid.functions.timezones import local_to_utc, position_time
-from pricegrid.operators.dedupe import keep_first
+from pricegrid.operators.dedupe import keep_latest
 from pricegrid.operators.market import generation_by_type
 from pricegrid.schemas import (
     DISPLAY_TZ,
@@ -37,7 +37,7 @@ QUANTITY_OTHER = 15
 # --- end of fixed values ---
 
 READINGS = ["temperature_2m", "wind_speed_10m", "wind_speed_80m", "irradiance"]
-ORDER = ["__file", "__row", "__period", "__point"]
+ORDER = ["__delivered", "__file", "__row", "__period", "__point"]
 
 
 def read_time_series(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -50,6 +50,7 @@ def read_time_series(spark: SparkSession, path: str | Sequence[str]) -> DataFram
         .select(
             "MktPSRType",
             "Period",
+            F.col("_metadata.file_modification_time").alias("__delivered"),
             F.col("_metadata.file_path").alias("__file"),
             F.monotonically_increasing_id().alias("__row"),
         )
@@ -59,15 +60,34 @@ def read_time_series(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 def parse_time_series(
     df: DataFrame, text_col: str, file_col: str, row_col: str, keep: Sequence[str] = (SERIES,)
 ) -> DataFrame:
-    """The same from a text column holding one TimeSeries element per row."""
+    """The same from a text column holding one TimeSeries element per row.
+
+    The file column names the delivery; later names are later deliveries.
+    """
     schema = TIME_SERIES_SCHEMA.simpleString().replace("price.amount", "`price.amount`")
     parsed = F.from_xml(F.col(text_col), schema)
     return df.select(
         *keep,
+        F.lit(None).cast("timestamp").alias("__delivered"),
         F.col(file_col).cast("string").alias("__file"),
         F.col(row_col).cast("long").alias("__row"),
         parsed.alias("__doc"),
-    ).select(*keep, "__file", "__row", "__doc.MktPSRType", "__doc.Period")
+    ).select(*keep, "__delivered", "__file", "__row", "__doc.MktPSRType", "__doc.Period")
+
+
+def rejected_documents(series: DataFrame) -> DataFrame:
+    """Elements that gave no period: text that does not parse, or nothing in it.
+
+    From ``read_time_series`` or ``parse_time_series``; ``points`` has no row of them.
+    """
+    return series.where(F.col("Period").isNull() | (F.size("Period") == 0)).select("__file", "__row")
+
+
+def required(df: DataFrame, what: str) -> DataFrame:
+    """``df``, or an error if it has no row at all."""
+    if df.isEmpty():
+        raise ValueError(f"no data in {what}")
+    return df
 
 
 def _number(name: str) -> Column:
@@ -147,26 +167,42 @@ def _keys(pts: DataFrame) -> list[str]:
     return [SERIES, TS] if SERIES in pts.columns else [TS]
 
 
+def _newest(timed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of each instant the latest delivery, and of that document the first point."""
+    order = timed.withColumns({f"__back{k}": -F.col(c) for k, c in enumerate(ORDER[2:])})
+    return keep_latest(order, keys, [*ORDER[:2], "__back0", "__back1", "__back2"])
+
+
 def price_rows(pts: DataFrame, strict: bool = False) -> DataFrame:
-    """Prices; of repeated instants the first delivered stays."""
+    """Prices; the latest delivery of an instant counts, and the first point in it."""
     keys = _keys(pts)
     timed = _timed(pts, "price", "price", strict).select(*keys, "price", *ORDER)
-    return keep_first(timed, keys, ORDER).select(*keys, "price")
+    return _newest(timed, keys).select(*keys, "price")
 
 
 def load_rows(pts: DataFrame, strict: bool = False) -> DataFrame:
-    """Loads; of repeated instants the first delivered stays."""
+    """Loads; the latest delivery of an instant counts, and the first point in it."""
     keys = _keys(pts)
     timed = _timed(pts, "quantity", "quantity", strict).select(
         *keys, F.col("quantity").alias("load_forecast"), *ORDER
     )
-    return keep_first(timed, keys, ORDER).select(*keys, "load_forecast")
+    return _newest(timed, keys).select(*keys, "load_forecast")
 
 
 def generation_rows(pts: DataFrame, strict: bool = False) -> DataFrame:
-    """Wind and solar sums; repeated points add up, other types are dropped."""
+    """Wind and solar sums; other types are dropped.
+
+    Points of one instant and type add up inside a file. A file delivered again
+    replaces the earlier one for the instants and types it has, and adds nothing.
+    """
+    keys = _keys(pts)
     wanted = pts.where(F.col("psr_type").isin([*WIND_TYPES, *SOLAR_TYPES]))
-    return generation_by_type(_timed(wanted, "quantity", "quantity", strict), _keys(pts))
+    per_file = (
+        _timed(wanted, "quantity", "quantity", strict)
+        .groupBy(*keys, "psr_type", "__delivered", "__file")
+        .agg(F.sum("quantity").alias("quantity"))
+    )
+    return generation_by_type(keep_latest(per_file, [*keys, "psr_type"], ["__delivered", "__file"]), keys)
 
 
 def with_series(df: DataFrame, path_pattern: str) -> DataFrame:

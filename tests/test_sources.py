@@ -1,6 +1,7 @@
 """Documents, tables, predictions, streams and models on small own fixtures."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -78,6 +79,31 @@ def test_prices(spark, write):
     ]
 
 
+def test_documents_delivered_again_replace_the_earlier_ones(spark, write):
+    hour = "2026-01-01T00:00Z"
+
+    def doc(a, b):
+        return document(series(period(hour, "PT60M", [(1, a), (1, b), (2, 9.0)]), "B18"))
+
+    first, second = write("a.xml", doc(10.0, 4.0)), write("b.xml", doc(11.0, 5.0))
+    os.utime(first, (1, 1))
+    os.utime(second, (2, 2))
+    wind = rows(stamp(docs.generation_rows(read_points(spark, first, second)).drop("solar_forecast")))
+    assert wind == [("2026-01-01 00:00:00", 16.0), ("2026-01-01 01:00:00", 9.0)]
+    load = rows(stamp(docs.load_rows(read_points(spark, first, second))))
+    assert load == [("2026-01-01 00:00:00", 11.0), ("2026-01-01 01:00:00", 9.0)]
+
+
+def test_documents_that_do_not_parse_are_told(spark, write):
+    text = [("z", "<TimeSeries><Period><Point>", "f1", 1), ("z", series(period("2026-01-01T00:00Z", "PT60M", [(1, 1.0)])), "f2", 2)]
+    df = spark.createDataFrame(text, "series_id string, doc string, file string, row long")
+    parsed = docs.parse_time_series(df, "doc", "file", "row")
+    assert [r["__file"] for r in docs.rejected_documents(parsed).collect()] == ["f1"]
+    assert docs.points(parsed).count() == 1
+    with pytest.raises(ValueError, match="no data in"):
+        docs.required(docs.read_time_series(spark, write("broken.xml", "<a></a>")), "broken.xml")
+
+
 def test_strict_resolution_goes_to_the_rejected(spark, write):
     body = series(
         period("2026-01-06T00:00Z", "P1D", [(2, 7.0)], "price.amount")
