@@ -149,21 +149,22 @@ def mixed_rows(rows: DataFrame, names: list[str], budget: int | None, weights, e
         .otherwise(F.lit(0)).cast("long").alias("whole"),
         F.when(F.col("tokens") > 0, F.col("budget") % F.col("tokens")).otherwise(F.lit(0)).alias("rest"),
     )
-    # the number of leaves is that of the tree's names, not of the documents; the size is left to the planner
-    placed = rows.join(plan, names).withColumn(
+    # Later steps are keyed by the leaf as one value: they deal the rows anew instead of
+    # building on this join, so the adaptive plan may split it at a hot leaf.
+    placed = rows.join(plan, names).withColumn("leaf", F.struct(*names)).withColumn(
         "place", epoch_order(seed, F.col("whole"), F.col("doc_id"))
     ).withColumn("range", (F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * ranges / F.lit(2**32)).cast("int"))
-    sums = placed.where("rest > 0").groupBy(*names, "range").agg(F.sum("tokens").alias("in_range"), F.max("rest").alias("rest"))
-    running = Window.partitionBy(*names).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.where("rest > 0").groupBy("leaf", "range").agg(F.sum("tokens").alias("in_range"), F.max("rest").alias("rest"))
+    running = Window.partitionBy("leaf").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     edges = (
         sums.withColumn("before", F.coalesce(F.sum("in_range").over(running), F.lit(0)))
         .where("before <= rest AND before + in_range > rest")
-        .groupBy(*names)
+        .groupBy("leaf")
         .agg(F.min("range").alias("edge"), F.min_by("before", "range").alias("edge_before"))
     )
-    cut = placed.join(edges, names, "left")
+    cut = placed.join(edges, "leaf", "left")
     at_edge = cut.where("rest > 0 AND range = edge")
-    up_to = Window.partitionBy(*names, "range").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
+    up_to = Window.partitionBy(F.struct("leaf", "range")).orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
     taken = at_edge.withColumn("upto", F.col("edge_before") + F.sum("tokens").over(up_to)).withColumn(
         "extra", (F.col("upto") <= F.col("rest")).cast("long")
     ).drop("upto")
@@ -174,5 +175,5 @@ def mixed_rows(rows: DataFrame, names: list[str], budget: int | None, weights, e
         others.unionByName(taken)
         .withColumn("copies", F.col("whole") + F.col("extra"))
         .where("copies > 0")
-        .drop("whole", "rest", "place", "range", "edge", "edge_before", "extra")
+        .drop("leaf", "whole", "rest", "place", "range", "edge", "edge_before", "extra")
     )
