@@ -7,8 +7,9 @@ order of (doc_id, line number), is equal or has a Jaccard similarity of 0.75 or
 1. Candidates. Any two such lines share one of the first n - ceil(0.75 n) + 1 tokens
    in any fixed order; the order of the hashes needs no counts. Only lines that may
    share enough of their prefixes with a different line go on: no pair is lost.
-2. Join of the candidates. Tokens are ordered by rarity among them; prefix, positional
-   and length filters leave few pairs, which are verified on the whole sets. Each
+2. Join of the candidates. Tokens are ordered by rarity: those that at most ``MANY``
+   candidates have come first, by hash, then the others by their count. Prefix,
+   positional and length filters leave few pairs, verified on the whole sets. Each
    token's lines first meet two of them, the earliest and the one with most copies:
    a line that matches one of these is settled. Only lines that did not match meet the
    other earlier lines of their tokens.
@@ -25,6 +26,8 @@ from pricegrid.llm.common import SHINGLE, SIMILARITY, staged
 TABLE_BITS = 1 << 23
 #: Lines with a common token whose pairs are counted.
 FEW = 4
+#: Candidate lines with a common token beyond which the token counts as common.
+MANY = 32
 PART, WHOLE = SIMILARITY
 
 ORACLE_SQL = f"""
@@ -83,8 +86,11 @@ def _prefix_length(n: Column) -> Column:
     return n - F.ceil(n * PART / F.lit(WHOLE)).cast("int") + 1
 
 
-def _candidates(lines: DataFrame) -> DataFrame:
-    """Keys of the lines that share enough prefix tokens with a different line.
+def _candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shared prefix tokens, and keys of the lines that share enough of them with another.
+
+    The first are rows ``(token, line_key, n, i)``, with the size of the set and the
+    place of the token in it from 1.
 
     Prefixes are computed once and written. A token is kept if two different lines have
     it, which an aggregate over all tokens tells; only rows of such tokens are joined.
@@ -95,7 +101,7 @@ def _candidates(lines: DataFrame) -> DataFrame:
     """
     sets = lines.select("line_key", _tokens(F.col("line")).alias("s")).where("s IS NOT NULL")
     sets = sets.select("line_key", F.size("s").alias("n"), F.slice("s", 1, _prefix_length(F.size("s"))).alias("prefix"))
-    rows = staged(sets, "line-prefix").select("line_key", "n", F.explode("prefix").alias("token"))
+    rows = staged(sets, "line-prefix").select("line_key", "n", F.posexplode("prefix").alias("i", "token"))
     shared = (
         rows.groupBy("token")
         .agg(F.min("line_key").alias("low"), F.max("line_key").alias("high"))
@@ -104,7 +110,7 @@ def _candidates(lines: DataFrame) -> DataFrame:
     )
     shared = staged(shared, "line-shared")
     met = rows.where(_in_table(_table(shared, "token"), "token"))
-    met = met.join(shared.hint("shuffle_hash"), "token", "left_semi").distinct()
+    met = met.join(shared.hint("shuffle_hash"), "token", "left_semi").select("token", "line_key", "n", F.expr("i + 1").alias("i")).distinct()
     met = staged(met, "line-met")
     sizes = met.groupBy("token").agg(F.count("*").alias("lines"))
     many = met.join(sizes.where(F.col("lines") > FEW), "token", "left_semi").select("line_key")
@@ -120,7 +126,7 @@ def _candidates(lines: DataFrame) -> DataFrame:
     enough = (F.col("c") + after) * (WHOLE + PART) >= (F.col("n") + F.col("m")) * PART
     length = F.least("n", "m") * WHOLE >= F.greatest("n", "m") * PART
     near = pairs.where(enough & length).select(F.explode(F.array("line_key", "other")).alias("line_key"))
-    return many.unionByName(near).distinct()
+    return met, many.unionByName(near).distinct()
 
 
 def _table(keys: DataFrame, name: str) -> Column:
@@ -168,7 +174,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _near(lines: DataFrame) -> DataFrame:
     """Keys of lines that a different, earlier line matches."""
-    keys = staged(_candidates(lines), "line-candidates")
+    met, keys = _candidates(lines)
+    keys = staged(keys, "line-candidates")
     sets = (
         lines.where(_in_table(_table(keys, "line_key"), "line_key"))
         .groupBy("line_key")
@@ -177,14 +184,20 @@ def _near(lines: DataFrame) -> DataFrame:
         .select("line_key", "first", "copies", _tokens(F.col("line")).alias("s"))
     )
     sets = staged(sets, "line-sets")
-    each = sets.select("line_key", F.size("s").alias("n"), F.explode("s").alias("token"))
-    known = each.groupBy("token").agg(F.count("*").alias("lines")).where("lines > 1")
-    # tokens of a single line come first in the order of rarity and meet nobody
-    ranked = each.join(known, "token").selectExpr(
+    met = met.join(keys, "line_key", "left_semi")
+    # Tokens of many lines come last in the order. That changes the prefix of the lines
+    # that have one in it; their next tokens move up, and only these sets are taken apart.
+    common = staged(met.groupBy("token").agg(F.count("*").alias("lines")).where(F.col("lines") > MANY), "line-common")
+    moved = met.join(common.select("token"), "token", "left_semi").select("line_key").distinct()
+    moved = staged(moved, "line-moved")
+    each = sets.join(moved, "line_key", "left_semi").select("line_key", F.size("s").alias("n"), F.explode("s").alias("token"))
+    ranked = each.join(common, "token", "left").selectExpr(
         "token", "line_key", "n",
-        "n - count(*) OVER (PARTITION BY line_key) + row_number() OVER (PARTITION BY line_key ORDER BY lines, token) AS i",
+        "row_number() OVER (PARTITION BY line_key ORDER BY coalesce(lines, 0), token) AS i",
     )
-    rows = ranked.where(F.col("i") <= _prefix_length(F.col("n"))).join(sets.select("line_key", "first", "copies"), "line_key")
+    ranked = ranked.where(F.col("i") <= _prefix_length(F.col("n")))
+    rows = met.join(moved, "line_key", "left_anti").select("token", "line_key", "n", "i").unionByName(ranked)
+    rows = rows.join(sets.select("line_key", "first", "copies"), "line_key")
     rows = staged(rows, "line-prefixes")
 
     me = F.struct("first", "line_key", "n", "i")

@@ -62,8 +62,9 @@ EDGES = [
 ]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_lines_equal_brute_force(spark, documents, seed):
+@pytest.mark.parametrize("seed,many", [(1, 32), (2, 3)])
+def test_lines_equal_brute_force(spark, documents, seed, many, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MANY", many)
     rows = corpus(seed) + EDGES
     want = brute(rows)
     report = line_dedup.line_report(documents(rows).repartition(4)).collect()
