@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 
 from pricegrid.llm.common import staged, texts
 
-#: Labelled rows that the lexicon and the classifier are fitted on, at most.
+#: Labelled rows that the lexicon is learned from and that EM knows labels of, at most.
 SAMPLE_ROWS = 16_000
-#: Entries of the learned lexicon, at most, and labelled toxic documents an entry needs.
-LEXICON, SUPPORT = 4096, 5
+#: Groups of documents with the same votes, label and signs that the classifier is fitted on, at most.
+GROUPS = 40_000
+#: Entries of the learned lexicon, at most, and labelled toxic documents an entry needs;
+#: with few labels one in PER_SUPPORT toxic documents, but two.
+LEXICON, SUPPORT, PER_SUPPORT = 4096, 5, 25
 #: Times more frequent in toxic documents than in others (smoothed) for an entry.
 LIFT = 12.0
 THRESHOLD = 0.7
@@ -97,6 +100,23 @@ def votes(text: str, words: set[str], found: list[tuple[int, ...]], voter_of: li
 
 
 _INSULT_SET = frozenset(INSULTS)
+_INSULT_AT = {w: k for k, w in enumerate(INSULTS)}
+
+
+def signs_of(words: set[str], known: _Known, first: int) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
+    """Lexicon entries of the words that have some, and the same with fixed insults numbered from ``first``."""
+    found = {known[w] for w in words} - {()}
+    insults = words & _INSULT_SET
+    if not insults:
+        return sorted(found), sorted(found)
+    signs = {known[w] for w in words - insults} - {()}
+    signs |= {(*known[w], first + _INSULT_AT[w]) for w in insults}
+    return sorted(found), sorted(signs)
+
+
+def vote_features(pattern: str, first: int) -> list[int]:
+    """Feature numbers of the votes given, two for each voter, from ``first`` on."""
+    return [first + 2 * j + (v == "1") for j, v in enumerate(pattern) if v != "2"]
 
 
 def words_in_case(text: str) -> set[str]:
@@ -185,36 +205,60 @@ def fit_label_model(counts: list[tuple[str, int | None, int]], rounds: int = 60,
     return model
 
 
-def soft_labels(model: LabelModel, patterns: list[str], toxic: list[int]) -> np.ndarray:
-    """Posterior labels of labelled rows: the votes', moved by the label as a strong vote.
+def calibration(log_odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the votes' log odds that fit labels best, drawn to 1 and 0.
 
-    The votes move a label's odds of 100 to 1 by at most ten times either way.
+    Correlated voters have a reduced say, so their log odds are right in order but too
+    small. The pull counts as little as one document, so without labels nothing changes.
+    """
+    x = np.stack([log_odds, np.ones(len(log_odds))], axis=1)
+    at = start = np.array([1.0, 0.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        grad = x.T @ (weight * (p - toxic)) + (at - start)
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(2)
+        at = np.clip(at - np.clip(np.linalg.solve(curve, grad), -0.5, 0.5), [0.2, -5.0], [5.0, 5.0])
+    return float(at[0]), float(at[1])
+
+
+def soft_labels(model: LabelModel, patterns: list[str], toxic: list[int | None], count: np.ndarray,
+                gold: float = 0.99) -> np.ndarray:
+    """Posterior of each group from its votes, and from its label where it has one.
+
+    A label is one more voter, ``gold`` reliable as in EM: votes that say more than
+    it does can outvote it. Groups without a label have the votes' posterior.
     """
     if not patterns:
         return np.zeros(0)
     q = np.clip(model.posterior(patterns), 1e-9, 1 - 1e-9)
-    odds = np.clip(np.log(q / (1 - q)), -2.3, 2.3) + np.where(np.array(toxic) > 0, 4.6, -4.6)
-    return 1 / (1 + np.exp(-odds))
+    odds = np.log(q / (1 - q))
+    known = np.array([y is not None for y in toxic])
+    label = np.array([float(bool(y) and y > 0) for y in toxic])
+    slope, shift = calibration(odds[known], label[known], count[known])
+    sure = np.log(gold / (1 - gold))
+    odds = slope * odds + shift + np.where(known, np.where(label > 0, sure, -sure), 0.0)
+    return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
 # --- classifier --------------------------------------------------------------
 
 
-def word_rows(rows: list[list], target: np.ndarray) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
-    """Each document's features, and beside it those of each of its words alone.
+def word_rows(rows: list[list], voted: list[list[int]], target: np.ndarray,
+              count: np.ndarray) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+    """Each group's signs and votes, and beside it the signs of each of its words alone.
 
     Signs of toxicity come together in most toxic documents, so whole documents alone
     would leave each sign with a part of the evidence; one sign has to do by itself.
     """
     out, labels, weights = [], [], []
-    for found, y in zip(rows, target):
-        out.append(sorted({h for hits in found for h in hits}))
+    for found, given, y, n in zip(rows, voted, target, count):
+        out.append(sorted({h for hits in found for h in hits} | set(given)))
         labels.append(y)
-        weights.append(1.0)
+        weights.append(float(n))
         if len(found) > 1:
             out += [list(hits) for hits in found]
             labels += [y] * len(found)
-            weights += [1.0 / len(found)] * len(found)
+            weights += [n / len(found)] * len(found)
     return out, np.array(labels), np.array(weights)
 
 
@@ -241,18 +285,20 @@ def fit_linear(rows: list[list[int]], target: np.ndarray, width: int, weight: np
 @dataclass(frozen=True)
 class ToxicityModel:
     lexicon: dict[str, int]
-    weights: np.ndarray
+    weights: np.ndarray  # lexicon entries, then fixed insults, then two for each voter
     bias: float
     labels: LabelModel
 
     def scores(self, batch: pd.Series) -> np.ndarray:
         known = _Known(self.lexicon)
+        voter_of = _voters_of(self.lexicon)
+        width = len(self.lexicon)
         out = np.empty(len(batch))
         for i, text in enumerate(batch):
-            hits = set()
-            for w in words_in(text or ""):
-                if f := known[w]:
-                    hits.update(f)
+            words = words_in(text or "")
+            found, signs = signs_of(words, known, width)
+            hits = {h for each in signs for h in each}
+            hits.update(vote_features(votes(text or "", words, found, voter_of), width + len(INSULTS)))
             out[i] = self.bias + (self.weights[sorted(hits)].sum() if hits else 0.0)
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
@@ -301,33 +347,54 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _voters_of(lexicon: dict[str, int]) -> list[int]:
+    return [_voter_of(e) for e in sorted(lexicon, key=lexicon.get)]
+
+
 def _evidence(batches: Iterator[pa.RecordBatch], lexicon: dict[str, int]) -> Iterator[pa.RecordBatch]:
     known = _Known(lexicon)
-    voter_of = [_voter_of(e) for e in sorted(lexicon, key=lexicon.get)]
+    voter_of = _voters_of(lexicon)
     for batch in batches:
         patterns, features = [], []
-        for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+        for text in batch["text"].to_pylist():
             words = words_in(text)
-            found = sorted({known[w] for w in words} - {()})
+            found, signs = signs_of(words, known, len(lexicon))
             patterns.append(votes(text, words, found, voter_of))
-            features.append(found if label is not None else None)
+            features.append(signs)
         yield pa.RecordBatch.from_arrays(
             [batch["toxic"], pa.array(patterns, pa.string()), pa.array(features, pa.list_(pa.list_(pa.int32())))],
             names=["toxic", "votes", "features"],
         )
 
 
+def _groups(evidence: DataFrame, most: int) -> tuple[list, np.ndarray]:
+    """Rows with the same votes, label and signs as one, with their numbers.
+
+    Beyond ``most`` groups the largest are taken, of the smallest size taken those with
+    the lowest hash; these stand for the documents of the groups left out.
+    """
+    grouped = evidence.groupBy("votes", "toxic", "features").agg(F.count("*").alias("n"))
+    key = F.xxhash64("votes", "toxic", "features")
+    rows = grouped.orderBy(F.desc("n"), key, "votes", "toxic", "features").limit(most).collect()
+    n = np.array([r["n"] for r in rows], float)
+    if len(rows) == most and most:
+        last = n == n[-1]
+        n[last] *= 1 + max(0.0, evidence.count() - n.sum()) / n[last].sum()
+    order = sorted(range(len(rows)), key=lambda k: (rows[k]["votes"], repr(rows[k]["toxic"]), rows[k]["features"]))
+    return [rows[k] for k in order], n[order]
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, support: int = SUPPORT) -> ToxicityModel:
     """Fit voters, label model and classifier.
 
     Labels come only from rows that :func:`held_out` leaves, at most ``sample_rows`` of
-    them (the lowest by a hash of the identifier); the learned lexicon and the linear
-    classifier use these. The label model uses the votes on every document that is not
-    held out: rows are counted per vote pattern, and there are at most as many
-    patterns as the voters can form, not as many as documents.
+    them (the lowest by a hash of the identifier); the learned lexicon uses these. The
+    label model and the classifier use every document that is not held out, labelled or
+    not: rows are counted per vote pattern for the one, and per votes, label and signs
+    for the other, which learns the posteriors of at most ``GROUPS`` groups.
 
     Null labels are skipped, several labels of one document count as toxic if one is;
-    without labels the lexicon stays empty and the insult list votes alone.
+    without labels the lexicon stays empty and the fixed voters alone say what is toxic.
     """
     sample = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -352,6 +419,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, supp
     )
     base = sample.agg(F.sum("toxic"), F.count("*")).first()
     positive, negative = float(base[0] or 0), float((base[1] or 0) - (base[0] or 0))
+    support = min(support, max(2, int(positive // PER_SUPPORT)))
     lift = ((F.col("in_toxic") + 0.5) / (positive + 1)) / ((F.col("in_clean") + 0.5) / (negative + 1))
     entries = (
         counted.where((F.col("in_toxic") >= support) & (lift >= LIFT))
@@ -368,18 +436,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, supp
     )
     counts = [tuple(r) for r in evidence.groupBy("votes", "toxic").count().collect()]
     model = fit_label_model([(p, None if y is None else int(y > 0), n) for p, y, n in counts])
-    shown = evidence.where("toxic IS NOT NULL").groupBy("votes", "toxic", "features").count().collect()
-    shown.sort(key=lambda r: (r["votes"], r["toxic"], r["features"]))
-    target = soft_labels(model, [r["votes"] for r in shown], [r["toxic"] for r in shown])
-    repeated = [r["features"] for r in shown for _ in range(r["count"])]
-    target = np.repeat(target, [r["count"] for r in shown]) if shown else target
-    if repeated:
-        features, soft, weight = word_rows(repeated, target)
-        weights, bias = fit_linear(features, soft, max(1, len(lexicon)), weight)
+    shown, count = _groups(evidence, GROUPS)
+    width = len(lexicon) + len(INSULTS) + 2 * len(VOTERS)
+    if positive:
+        target = soft_labels(model, [r["votes"] for r in shown], [r["toxic"] for r in shown], count)
+        voted = [vote_features(r["votes"], len(lexicon) + len(INSULTS)) for r in shown]
+        rows_of, soft, weight = word_rows([r["features"] for r in shown], voted, target, count)
+        weights, bias = fit_linear(rows_of, soft, width, weight)
     else:
-        # no label at all: insults as entries, weighted by what the label model says
-        lexicon = {w: k for k, w in enumerate(INSULTS)}
-        weights, bias = np.full(len(INSULTS), 4.0), -3.0
+        # nothing labelled toxic: EM has no hold on which class is which, so insults count alike
+        weights, bias = np.zeros(width), -3.0
+        weights[len(lexicon) : len(lexicon) + len(INSULTS)] = 4.0
     return ToxicityModel(lexicon, weights, bias, model)
 
 

@@ -84,3 +84,42 @@ def test_label_model_finds_accuracies_and_discounts_copies():
     assert model.say[3] < 0.5 < model.say[0]
     q = model.posterior(["".join(map(str, v)) for v in votes])
     assert np.mean((q > 0.5) == truth) > 0.93
+
+
+def learned_from(docs, doc_id):
+    """Identifiers whose labels are learned from, from ``doc_id`` on."""
+    import zlib
+
+    out = []
+    while len(out) < docs:
+        if zlib.crc32(str(doc_id).encode()) % 3 != 1:
+            out.append(doc_id)
+        doc_id += 1
+    return out
+
+
+def test_unlabelled_documents_teach_fixed_insults(spark, documents):
+    rows, labels = corpus(600)
+    rows = [(i, t.replace("idiot", "zorkaaa")) for i, t in rows]
+    unlabelled = [(k, f"word{k % 80} zorkaaa zorkbbb zorkccc you moron word3") for k in learned_from(120, 20_000)]
+    asked = [(90_001, "word1 word2 moron word5"), (90_002, "word1 word2 word5")]
+    got = {r.doc_id: r for r in toxicity.toxicity(documents(rows + unlabelled + asked), as_labels(spark, labels)).collect()}
+    # before, only entries learned from labels had a weight, and both scores were equal
+    assert got[90_001].score > 10 * got[90_002].score
+
+
+def test_few_labels_give_a_lexicon(spark, documents):
+    ids = learned_from(130, 0)
+    signs = ["qwert", "asdfg", "yxcvb", "poiuz", "lkjhg"]
+    rows = [(i, f"word{k % 80} word{k % 7} {signs[k % 5] if k < 15 else ''}") for k, i in enumerate(ids)]
+    labels = [(i, 1, int(k < 15)) for k, i in enumerate(ids)]
+    model = toxicity.fit(documents(rows), as_labels(spark, labels))
+    assert set(signs) <= set(model.lexicon)
+
+
+def test_sure_votes_can_outvote_a_label():
+    width = len(toxicity.VOTERS)
+    fired, none = "1" * width, "2" * width
+    model = toxicity.fit_label_model([(fired, 1, 500), (none, 0, 2000)])
+    q = toxicity.soft_labels(model, [fired, none, fired], [1, 0, 0], np.array([500.0, 2000.0, 1.0]))
+    assert q[0] > 0.99 and q[1] < 0.01 and q[2] > 0.5
