@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.llm import hashing
-from pricegrid.llm.common import SHINGLE, SIMILARITY, texts
+from pricegrid.llm.common import SHINGLE, SIMILARITY, signed, texts
 from pricegrid.llm.hashing import shingle_hashes
 
 #: Hamming radius, bits of a fingerprint, and blocks they are cut into.
@@ -100,21 +100,61 @@ class _SizeIndex:
         return near[_popcount(self.prints[near] ^ fingerprint) <= RADIUS]
 
 
-class ItemIndex:
-    """Fingerprints and shingles of one pass's items.
+@dataclass(frozen=True)
+class Weights:
+    """Weights of shingles over the whole benchmark, whatever pass an item is in.
 
     A shingle's weight is log(1 + items / items that hold it), so phrases that many
-    items share say less; shingles of no item weigh as those of one.
+    items share say less; shingles of no item weigh as those of one. Only shingles of
+    two items or more are listed.
     """
 
-    def __init__(self, rows: list[tuple[int | None, str | None]], threshold: float = THRESHOLD):
+    items: int
+    shared: np.ndarray  # sorted
+    held: np.ndarray
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        held = np.ones(len(hashes))
+        if len(self.shared):
+            at = np.minimum(np.searchsorted(self.shared, hashes), len(self.shared) - 1)
+            known = self.shared[at] == hashes
+            held[known] = self.held[at[known]]
+        return np.log1p(max(1, self.items) / held)
+
+
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's distinct shingles, and a null for the item itself."""
+    for batch in batches:
+        for words in hashing.rows(batch):
+            if len(words):
+                distinct = signed(np.unique(shingle_hashes(words)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.array(distinct, pa.int64()), pa.nulls(1, pa.int64())])], names=["shingle"]
+                )
+
+
+def benchmark_weights(benchmark: DataFrame) -> Weights:
+    """One aggregate over all items; what comes to the driver are the shingles of several items."""
+    items = benchmark.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    counted = items.mapInArrow(_item_shingles, "shingle long").groupBy("shingle").agg(F.count("*").alias("held"))
+    found = counted.where("shingle IS NULL OR held > 1").toArrow()
+    total = found.filter(pa.compute.is_null(found["shingle"]))["held"].to_pylist()
+    shared = found.filter(pa.compute.is_valid(found["shingle"]))
+    names = shared["shingle"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(names)
+    return Weights(sum(total), names[order], shared["held"].to_numpy().astype(np.int64)[order])
+
+
+class ItemIndex:
+    """Fingerprints and shingles of one pass's items, with the weights of all items."""
+
+    def __init__(self, rows: list[tuple[int | None, str | None]], weights: Weights, threshold: float = THRESHOLD):
         self.threshold = threshold
+        self.weights = weights
         batch = pa.record_batch([pa.array([t or "" for _, t in rows], pa.string())], names=["text"])
         split = [(i, w, shingle_hashes(w)) for (i, _), w in zip(rows, hashing.rows(batch)) if len(w)]
         every = np.concatenate([np.unique(s) for _, _, s in split]) if split else np.zeros(0, np.uint64)
-        self.shingles, held = np.unique(every, return_counts=True)
-        self.weights = np.log1p(max(1, len(split)) / held)
-        self.foreign = float(np.log1p(max(1, len(split))))
+        self.shingles = np.unique(every)
         self.spans = sorted({min(SHINGLE, len(w)) for _, w, _ in split})
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[(self.shingles >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
@@ -131,12 +171,7 @@ class ItemIndex:
             self.sizes.append(index)
 
     def weight(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), self.foreign)
-        if len(self.shingles):
-            at = np.minimum(np.searchsorted(self.shingles, hashes), len(self.shingles) - 1)
-            known = self.shingles[at] == hashes
-            out[known] = self.weights[at[known]]
-        return out
+        return self.weights.of(hashes)
 
     def known(self, hashes: np.ndarray) -> np.ndarray:
         """Which hashes are shingles of an item."""
@@ -184,8 +219,8 @@ class ItemIndex:
     def _compare(self, s, weight, starts, width, index, span, best) -> None:
         at = starts[:, None] + np.arange(width)[None, :]
         uniq, inverse = np.unique(at, return_inverse=True)
-        signed = _signs(s[uniq]) * weight[uniq][:, None].astype(np.float32)
-        prints = _packed(signed[inverse.reshape(at.shape)].sum(axis=1))
+        votes = _signs(s[uniq]) * weight[uniq][:, None].astype(np.float32)
+        prints = _packed(votes[inverse.reshape(at.shape)].sum(axis=1))
         for start, fingerprint in zip(starts, prints):
             for k in index.within(fingerprint):
                 item = index.items[k]
@@ -233,7 +268,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     ``doc_id, item_id, similarity, first_word, n_words`` with the best window (the
     first of equal ones). Items are the query set: they are taken in groups of
     ``per_pass``, each held against all documents in one scan without a shuffle, so
-    the index that goes to the tasks has a fixed bound. Two texts as similar as the
+    the index that goes to the tasks has a fixed bound, but for the shingles of two
+    items or more: their weights count all items, so results don't depend on the
+    groups, and go with each pass (16 bytes each). Two texts as similar as the
     threshold have fingerprints further apart than the radius about once in 250
     pairs; equal ones never.
 
@@ -243,8 +280,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     documents give repeated rows. Other columns are ignored.
     """
     found = None
+    weights = benchmark_weights(benchmark)
     for group in _item_passes(benchmark, per_pass):
-        index = ItemIndex(group, threshold)
+        index = ItemIndex(group, weights, threshold)
         part = texts(docs).mapInArrow(lambda it, index=index: _scan(it, index), HITS)
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -265,6 +303,7 @@ def _contamination(index: ItemIndex, text: Column) -> Column:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                          per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no window repeats an item."""
+    weights = benchmark_weights(benchmark)
     for group in _item_passes(benchmark, per_pass):
-        docs = docs.where(~_contamination(ItemIndex(group, threshold), F.col("text")))
+        docs = docs.where(~_contamination(ItemIndex(group, weights, threshold), F.col("text")))
     return docs

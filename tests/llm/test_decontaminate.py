@@ -114,3 +114,23 @@ def test_index_returns_every_fingerprint_within_the_radius():
             f = f ^ np.uint64(1 << int(b))
         want = np.flatnonzero(np.bitwise_count(index.prints ^ f) <= decontaminate.RADIUS)
         assert index.within(f).tolist() == want.tolist()
+
+
+@pytest.mark.parametrize("per_pass", [2000, 10, 7])
+def test_weights_are_those_of_the_whole_benchmark(spark, documents, per_pass):
+    """Twenty items begin alike; the groups they fall into must not matter."""
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(16)]
+    items = [(k, " ".join(common + rng.choices([f"r{j}" for j in range(400)], k=14))) for k in range(20)]
+    items.append((20, " ".join(rng.choices([f"r{j}" for j in range(400)], k=30))))
+    docs = []
+    for k, text in items:
+        own = text.split()
+        docs += [(3 * k, text), (3 * k + 1, " ".join(["x", "y", *own[2:]])), (3 * k + 2, " ".join([*own[:-2], "x", "y"]))]
+    want = brute(docs, items)
+    got = decontaminate.contaminated(documents(docs), frame(spark, items).coalesce(1), per_pass=per_pass).collect()
+    found = {(r.doc_id, r.item_id): r.similarity for r in got}
+    assert set(found) <= set(want) and all(abs(found[k] - want[k]) < 1e-9 for k in found)
+    assert {(3 * k, k) for k, _ in items} <= set(found)
+    left = decontaminate.without_contaminated(documents(docs), frame(spark, items).coalesce(1), per_pass=per_pass)
+    assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {d for d, _ in found}
