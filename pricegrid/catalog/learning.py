@@ -13,8 +13,6 @@ from pricegrid.operators.splits import split_rows
 from pricegrid.plans import models as m
 from pricegrid.session import checkpointed
 
-ROUNDS = 20
-
 
 def _labelled(spark, sf):
     rows = split_rows(full_features_of(spark, sf), v.as_of(), chunk_hours=v.TEST_CHUNK)
@@ -23,7 +21,7 @@ def _labelled(spark, sf):
 
 
 def _fit(rows):
-    return m.train(rows, maxIter=ROUNDS, maxDepth=5)
+    return m.train(rows)
 
 
 @query("train_gbt")
