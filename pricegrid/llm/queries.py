@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricegrid.llm import chat, decontaminate, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality, toxicity, warc
+from pricegrid.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    filter_audit,
+    importance,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    pii,
+    quality,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from pricegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +227,71 @@ SELECT {columns} FROM chosen WHERE copies > 0"""
 @query("op10_mixing", "WITH " + mixing_sql().strip())
 def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), None, WEIGHTS, levels(), MIX_EPOCHS, MIX_SEED)
+
+
+@query(
+    "op11_suffix_dedup",
+    """
+WITH d AS (SELECT DISTINCT coalesce(doc_id, -9223372036854775808) AS id, coalesce(text, '') AS text FROM documents),
+x AS (SELECT id, sha256(text) AS key, hex(encode(text)) AS hx, octet_length(encode(text)) AS n FROM d),
+s AS (SELECT id, key, i, substr(hx, CAST(2 * i + 1 AS INTEGER), 200) AS piece FROM (
+  SELECT *, unnest(range(0, n - 99)) AS i FROM x WHERE n >= 100)),
+late AS (SELECT id, key, i FROM (
+  SELECT *, row_number() OVER (PARTITION BY piece ORDER BY id, key, i) AS nth FROM s) WHERE nth > 1),
+edge AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY id, key ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM late),
+span AS (SELECT id, key, min(i) AS a, max(i) + 100 AS b FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY id, key ORDER BY i) AS nr FROM edge) GROUP BY id, key, nr),
+gap AS (SELECT id, key, a, b, coalesce(lag(b) OVER (PARTITION BY id, key ORDER BY a), 0) AS before FROM span),
+cut AS (SELECT id, key, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+    string_agg(substr(hx, CAST(2 * before + 1 AS INTEGER), CAST(2 * (a - before) AS INTEGER)), '' ORDER BY a) AS kept
+  FROM gap JOIN x USING (id, key) GROUP BY id, key)
+SELECT docs.doc_id, CAST(x.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN tail IS NULL THEN hx ELSE kept || substr(hx, CAST(2 * tail + 1 AS INTEGER)) END)) AS kept_sha256
+FROM documents docs
+JOIN x ON x.id = coalesce(docs.doc_id, -9223372036854775808) AND x.key = sha256(coalesce(docs.text, ''))
+LEFT JOIN cut ON cut.id = x.id AND cut.key = x.key""",
+)
+def op11_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
+def _features(name: str) -> str:
+    return rf"""SELECT * FROM (SELECT *, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM {name})"""
+
+
+@query(
+    "op12_importance",
+    rf"""
+WITH f AS ({_features("(SELECT doc_id, row_number() OVER () AS r, text FROM documents)")}),
+g AS ({_features("benchmark")}),
+crc AS (SELECT list(list_reduce([n] || range(0, 8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY n) AS lut
+  FROM range(0, 256) r(n)),
+words AS (SELECT word, hex(encode(word)) AS hx FROM (SELECT word FROM f UNION SELECT word FROM g)),
+b AS (SELECT word, xor(list_reduce([4294967295] || list_transform(range(0, len(hx) // 2), lambda i:
+      CAST(16 * (strpos('0123456789ABCDEF', substr(hx, CAST(2 * i + 1 AS INTEGER), 1)) - 1)
+        + strpos('0123456789ABCDEF', substr(hx, CAST(2 * i + 2 AS INTEGER), 1)) - 1 AS BIGINT)),
+    lambda c, x: xor(c >> 8, lut[CAST((xor(c, x) & 255) + 1 AS INTEGER)])), 4294967295) % {importance.BUCKETS} AS bucket
+  FROM words, crc),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN b USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM g JOIN b USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1.0::DOUBLE) * (SELECT sum(s) + {importance.BUCKETS} FROM s)::DOUBLE)
+  / ((s + 1.0::DOUBLE) * (SELECT coalesce(sum(t), 0) + {importance.BUCKETS} FROM t)::DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT r, count(*) AS n, sum(gain) AS weight FROM f JOIN b USING (word) JOIN gains USING (bucket) GROUP BY r),
+h AS (SELECT doc_id, r, CAST('0x' || left(sha256('{importance.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) AS h
+  FROM (SELECT doc_id, row_number() OVER () AS r FROM documents)),
+x AS (SELECT doc_id, coalesce(n, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+  CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM h LEFT JOIN w USING (r)),
+o AS (SELECT *, CASE WHEN n_features >= {importance.LEAST_WORDS} THEN row_number() OVER (
+  PARTITION BY n_features >= {importance.LEAST_WORDS} ORDER BY score DESC, doc_id NULLS FIRST) END AS nth FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN nth <= (SELECT count(nth) * {importance.SHARE[0]} // {importance.SHARE[1]} FROM o) THEN nth END AS rank
+FROM o""",
+)
+def op12_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_filter_audit", filter_audit.ORACLE_SQL)
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
