@@ -72,6 +72,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Removes a query's shuffle files when it ends; the rows are written by then.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df, path: str) -> None:
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def staged(df, name: str):
     """Write ``df`` once to the shared folder and read it back.
 
@@ -80,7 +94,7 @@ def staged(df, name: str):
     executor is lost.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    _write(df, path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -90,7 +104,7 @@ def staged_while(df, name: str):
     spark = df.sparkSession
     path = fresh_path(spark, name)
     try:
-        df.write.parquet(path)
+        _write(df, path)
         yield spark.read.parquet(path)
     finally:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
