@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pricegrid.functions.errors import error_columns
 from pricegrid.operators.reports import mode_label
 from pricegrid.operators.splits import split_rows
-from pricegrid.plans import models
+from pricegrid.plans import boosting, models
 from pricegrid.plans.features import engineer_on_grid, engineer_range
 from pricegrid.plans.ingest import clean_tables
 from pricegrid.schemas import (
@@ -84,9 +84,40 @@ def train_job(
     return model
 
 
+def boost_job(
+    history: DataFrame,
+    test_start: str,
+    model_root: str,
+    runs_path: str,
+    name: str,
+    version: int,
+    settings: boosting.Settings = boosting.LEVEL_WISE,
+    series_cols: Sequence[str] = (SERIES,),
+) -> DataFrame:
+    """``train_job`` with the regularised trees of ``boosting``; returns the stored nodes.
+
+    Training ends once the validation error has not improved for ``settings.patience``
+    rounds, and the registered errors are those of the best round, scored from the table.
+    """
+    rows = split_rows(
+        engineer_on_grid(history, series_cols=series_cols),
+        F.lit(test_start).cast("timestamp"),
+        series_cols=series_cols,
+    )
+    rows = checkpointed(rows)
+    model = boosting.fit(rows, settings=settings)
+    boosting.save_nodes(boosting.model_nodes(rows.sparkSession, model), model_root, name, version)
+    nodes = boosting.load_nodes(rows.sparkSession, model_root, name, version)
+    scored = boosting.score_nodes(rows, nodes, ["split", LABEL_COL])
+    scored = scored.withColumnRenamed(LABEL_COL, "actual_price").withColumns(error_columns())
+    by_split = models.metrics_by_split(scored)
+    models.register(models.run_rows(by_split, name, len(model.features), version), runs_path)
+    return nodes
+
+
 def score_job(
     history: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | DataFrame,
     as_of: str,
     predictions_root: str,
     run_ts: str,
@@ -94,11 +125,15 @@ def score_job(
 ) -> DataFrame:
     """Score the days before and after ``as_of`` and write the records.
 
-    History reaches back far enough for every lag of the first scored row.
+    ``model`` is a fitted pipeline, or the nodes of boosted trees. History reaches
+    back far enough for every lag of the first scored row.
     """
     start, end = scoring_window(datetime.fromisoformat(as_of))
     featured = engineer_range(history, str(start), str(end), on_grid=True)
     labelled = mode_label(featured, F.lit(as_of).cast("timestamp"), BACKTEST_DAYS, FORECAST_DAYS)
-    scored = models.score_modes(labelled, model, keys)
+    if isinstance(model, DataFrame):
+        scored = models.score_modes_with(labelled, lambda df, keep: boosting.score_nodes(df, model, keep), keys)
+    else:
+        scored = models.score_modes(labelled, model, keys)
     predictions.write_predictions(scored, predictions_root, run_ts)
     return scored

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -143,7 +143,14 @@ def score_modes(
     df: DataFrame, model: PipelineModel, keys: Sequence[str] = (SERIES, TS)
 ) -> DataFrame:
     """Score labelled rows (see ``mode_label``) and add the errors."""
-    scored = score(df, model, [*keys, "mode", LABEL])
+    return score_modes_with(df, lambda rows, keep: score(rows, model, keep), keys)
+
+
+def score_modes_with(
+    df: DataFrame, scorer: Callable[[DataFrame, Sequence[str]], DataFrame], keys: Sequence[str] = (SERIES, TS)
+) -> DataFrame:
+    """``score_modes`` with any ``scorer(df, keep)`` that adds ``predicted_price``."""
+    scored = scorer(df, [*keys, "mode", LABEL])
     return scored.withColumnRenamed(LABEL, "actual_price").withColumns(error_columns())
 
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.operators.reports import mode_label
 from pricegrid.operators.splits import split_rows
-from pricegrid.plans import ingest, jobs
+from pricegrid.plans import boosting, ingest, jobs
 from pricegrid.plans import models as m
 from pricegrid.sources import documents as docs
 from pricegrid.sources import predictions as preds
@@ -341,6 +342,20 @@ def test_train_score_save(spark, market, tmp_path):
     assert len(top) == 10 and [x.importance for x in top] == sorted((x.importance for x in top), reverse=True)
 
 
+def test_boost_score_save(spark, market, tmp_path):
+    settings = replace(boosting.LEVEL_WISE, rounds=6, rate=0.4, depth=3)
+    nodes = jobs.boost_job(
+        market, "2024-01-25 00:00:00", str(tmp_path / "models"), str(tmp_path / "runs"), "boosted", 3, settings
+    )
+    row = m.newest_run(spark.read.parquet(str(tmp_path / "runs")), "boosted").first()
+    assert row.version == 3 and row.training_samples > 400 and row.val_mae < 12
+    stored = boosting.load_nodes(spark, str(tmp_path / "models"), "boosted", 3)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, nodes.collect()))
+    assert "price_diff_1h" not in {r.feature for r in stored.collect()}
+    scored = jobs.score_job(market, stored, "2024-01-25 00:00:00", str(tmp_path / "predictions"), "r1")
+    assert scored.count() == 24 * 9 + 1 and scored.where("abs_error is null").count() == 0
+
+
 def test_other_families(spark, market):
     rows_ = split_rows(market, F.lit("2024-01-25").cast("timestamp"))
     for family, params in (("forest", {"numTrees": 5, "maxDepth": 4}), ("linear", {})):
