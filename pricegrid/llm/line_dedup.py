@@ -1,8 +1,10 @@
 """Line deduplication: an exact set-similarity join in DataFrame operations only.
 
-A line's tokens are its distinct runs of five words; words are what blanks separate.
-A line of at least five words is removed when an earlier line of the corpus, in the
-order of (doc_id, line number), is equal or has a Jaccard similarity of 0.75 or more.
+A line's tokens are its distinct runs of five words; words are what blanks separate. The
+words of a shorter line are its one token. A line with words is removed when an earlier
+line of the corpus, in the order of (doc_id, line number), is equal or has a Jaccard
+similarity of 0.75 or more. Lines and tokens are named by 64-bit hashes: among n
+different lines two get one name with a chance of about n^2 / 2^65.
 
 1. Candidates. Any two such lines share one of the first n - ceil(0.75 n) + 1 tokens
    in any fixed order; the order of the hashes needs no counts. Only lines that may
@@ -17,10 +19,13 @@ order of (doc_id, line number), is equal or has a Jaccard similarity of 0.75 or
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.llm.common import SHINGLE, SIMILARITY, staged
+from pricegrid.session import staged_while
 
 #: Bits of the tables that drop most other rows before a shuffle.
 TABLE_BITS = 1 << 23
@@ -35,10 +40,11 @@ WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM d),
 c AS (SELECT line, min({{'doc_id': doc_id, 'text': hash(text), 'line_no': line_no}}) AS first FROM l
-      WHERE len(list_filter(string_split(line, ' '), lambda x: x <> '')) >= {SHINGLE} GROUP BY line),
+      WHERE len(list_filter(string_split(line, ' '), lambda x: x <> '')) > 0 GROUP BY line),
 s AS (SELECT line, first, list_filter(string_split(line, ' '), lambda x: x <> '') AS w FROM c),
-t AS (SELECT line, first, list_distinct(list_transform(range(1, len(w) - {SHINGLE - 2}),
-        lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))) AS tokens FROM s),
+t AS (SELECT line, first, CASE WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - {SHINGLE - 2}),
+          lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))) END AS tokens FROM s),
 e AS (SELECT line, first, len(tokens) AS n, unnest(tokens) AS token FROM t),
 p AS (SELECT a.line, a.n AS n, b.n AS m, count(*) AS shared FROM e a JOIN e b ON a.token = b.token AND b.first < a.first
       GROUP BY a.line, a.n, b.line, b.n),
@@ -68,17 +74,17 @@ def _words(line: Column) -> Column:
 
 
 def _tokens(line: Column) -> Column:
-    """Sorted hashes of a line's distinct runs of five words; null for shorter lines."""
+    """Sorted hashes of a line's distinct runs of five words; null for lines without words."""
     hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
     # one lambda over a one-element array names the hashes, so they are computed once
-    named = F.transform(F.array(hashes), lambda h: F.when(F.size(h) >= SHINGLE, _runs(h)))
+    named = F.transform(F.array(hashes), lambda h: F.when(F.size(h) > 0, _runs(h)))
     return F.sort_array(F.array_distinct(F.element_at(named, 1)))
 
 
 def _runs(h: Column) -> Column:
+    size = F.lit(SHINGLE)
     return F.transform(
-        F.slice(h, 1, F.size(h) - (SHINGLE - 1)),
-        lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, SHINGLE)]),
+        F.sequence(F.lit(1), F.greatest(F.size(h) - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(h, i, size))
     )
 
 
@@ -86,32 +92,30 @@ def _prefix_length(n: Column) -> Column:
     return n - F.ceil(n * PART / F.lit(WHOLE)).cast("int") + 1
 
 
-def _candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _candidates(rows: DataFrame, held: ExitStack) -> tuple[DataFrame, DataFrame]:
     """Shared prefix tokens, and keys of the lines that share enough of them with another.
 
-    The first are rows ``(token, line_key, n, i)``, with the size of the set and the
-    place of the token in it from 1.
+    ``rows`` has ``line_key, n, prefix``. The first are rows ``(token, line_key, n, i)``,
+    with the size of the set and the place of the token in it from 1.
 
-    Prefixes are computed once and written. A token is kept if two different lines have
-    it, which an aggregate over all tokens tells; only rows of such tokens are joined.
-    Common phrases make most lines share a token or two with some other line. So where
-    at most ``FEW`` lines have a token, their pairs are counted over the tokens: of two
-    sets that share c prefix tokens, at most c and what follows one of the prefixes is
-    common. Lines of tokens that more lines have go on uncounted.
+    A token is kept if two different lines have it, which an aggregate over all tokens
+    tells; only rows of such tokens are joined. Common phrases make most lines share a
+    token or two with some other line. So where at most ``FEW`` lines have a token, their
+    pairs are counted over the tokens: of two sets that share c prefix tokens, at most c
+    and what follows one of the prefixes is common. Lines of tokens that more lines have
+    go on uncounted.
     """
-    sets = lines.select("line_key", _tokens(F.col("line")).alias("s")).where("s IS NOT NULL")
-    sets = sets.select("line_key", F.size("s").alias("n"), F.slice("s", 1, _prefix_length(F.size("s"))).alias("prefix"))
-    rows = staged(sets, "line-prefix").select("line_key", "n", F.posexplode("prefix").alias("i", "token"))
+    rows = rows.where("prefix IS NOT NULL").select("line_key", "n", F.posexplode("prefix").alias("i", "token"))
     shared = (
         rows.groupBy("token")
         .agg(F.min("line_key").alias("low"), F.max("line_key").alias("high"))
         .where("low <> high")
         .select("token")
     )
-    shared = staged(shared, "line-shared")
+    shared = held.enter_context(staged_while(shared, "line-shared"))
     met = rows.where(_in_table(_table(shared, "token"), "token"))
     met = met.join(shared.hint("shuffle_hash"), "token", "left_semi").select("token", "line_key", "n", F.expr("i + 1").alias("i")).distinct()
-    met = staged(met, "line-met")
+    met = held.enter_context(staged_while(met, "line-met"))
     sizes = met.groupBy("token").agg(F.count("*").alias("lines"))
     many = met.join(sizes.where(F.col("lines") > FEW), "token", "left_semi").select("line_key")
     few = met.join(sizes.where(F.col("lines") <= FEW), "token", "left_semi")
@@ -172,24 +176,34 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _near(lines: DataFrame) -> DataFrame:
+def _later(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """Keys of the later lines of pairs that are similar; ``met`` has a row per shared prefix token."""
+    pairs = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j"))
+    return _verified(pairs.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier")).distinct(), sets)
+
+
+def _near(lines: DataFrame, narrow: DataFrame, owners: DataFrame, held: ExitStack) -> DataFrame:
     """Keys of lines that a different, earlier line matches."""
-    met, keys = _candidates(lines)
-    keys = staged(keys, "line-candidates")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return held.enter_context(staged_while(df, name))
+
+    met, keys = _candidates(narrow, held)
+    keys = kept(keys, "line-candidates")
     sets = (
         lines.where(_in_table(_table(keys, "line_key"), "line_key"))
         .groupBy("line_key")
-        .agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("first"), F.count("*").alias("copies"), F.first("line").alias("line"))
+        .agg(F.first("line").alias("line"))
         .join(keys, "line_key", "left_semi")
-        .select("line_key", "first", "copies", _tokens(F.col("line")).alias("s"))
+        .select("line_key", _tokens(F.col("line")).alias("s"))
     )
-    sets = staged(sets, "line-sets")
+    sets = kept(sets, "line-sets")
     met = met.join(keys, "line_key", "left_semi")
     # Tokens of many lines come last in the order. That changes the prefix of the lines
     # that have one in it; their next tokens move up, and only these sets are taken apart.
-    common = staged(met.groupBy("token").agg(F.count("*").alias("lines")).where(F.col("lines") > MANY), "line-common")
+    common = kept(met.groupBy("token").agg(F.count("*").alias("lines")).where(F.col("lines") > MANY), "line-common")
     moved = met.join(common.select("token"), "token", "left_semi").select("line_key").distinct()
-    moved = staged(moved, "line-moved")
+    moved = kept(moved, "line-moved")
     each = sets.join(moved, "line_key", "left_semi").select("line_key", F.size("s").alias("n"), F.explode("s").alias("token"))
     ranked = each.join(common, "token", "left").selectExpr(
         "token", "line_key", "n",
@@ -197,78 +211,76 @@ def _near(lines: DataFrame) -> DataFrame:
     )
     ranked = ranked.where(F.col("i") <= _prefix_length(F.col("n")))
     rows = met.join(moved, "line_key", "left_anti").select("token", "line_key", "n", "i").unionByName(ranked)
-    rows = rows.join(sets.select("line_key", "first", "copies"), "line_key")
-    rows = staged(rows, "line-prefixes")
+    rows = rows.join(owners.join(keys, "line_key", "left_semi"), "line_key")
+    rows = kept(rows, "line-prefixes")
 
     me = F.struct("first", "line_key", "n", "i")
     pivots = rows.groupBy("token").agg(
         F.min(me).alias("earliest"), F.max_by(me, F.struct("copies", F.negative(F.xxhash64("line_key").cast("double")))).alias("common")
     )
     pivots = pivots.select("token", F.explode(F.array_distinct(F.array("earliest", "common"))).alias("p"))
-    met = rows.join(pivots.select("token", "p.*").toDF("token", "q_first", "q_key", "m", "j"), "token")
-    met = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j"))
-    settled = staged(
-        _verified(met.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier")).distinct(), sets),
-        "line-settled",
-    )
+    other = ["token", "q_first", "q_key", "m", "j"]
+    pivots = pivots.select("token", "p.*").toDF(*other)
+    settled = kept(_later(rows.join(pivots, "token"), sets), "line-settled")
     open_ = rows.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
-    others = rows.select("token", F.col("first").alias("q_first"), F.col("line_key").alias("q_key"), F.col("n").alias("m"), F.col("i").alias("j"))
-    met = open_.join(others, "token").where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j"))
-    rest = _verified(met.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier")).distinct(), sets)
+    others = rows.select("token", "first", "line_key", "n", "i").toDF(*other)
+    rest = _later(open_.join(others, "token"), sets)
     return settled.unionByName(rest).distinct().withColumnRenamed("later", "line_key")
 
 
 def _gone(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, gone): numbers of the lines to remove, for documents that lose some."""
     lines = _lines(docs)
-    line = F.col("line")
-    single = ~(line.contains("  ") | line.startswith(" ") | line.endswith(" "))
-    long_enough = F.when(single, F.size(F.split(line, " ", SHINGLE)) >= SHINGLE).otherwise(F.size(_words(line)) >= SHINGLE)
-    near = staged(_near(lines), "line-near")
-    every = lines.where(long_enough).select("doc_id", "text_key", "line_no", "line_key")
     place = F.struct("doc_id", "text_key", "line_no")
-    repeated = (
-        every.groupBy("line_key")
-        .agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-        .join(near.withColumn("near", F.lit(True)), "line_key", "left")
-        .where("copies > 1 OR near")
-        .select("line_key", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    )
-    hit = every.join(repeated, "line_key").where(F.col("near") | (place != F.col("first")))
-    return hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
+    with ExitStack() as held:
+        wordy = lines.where(F.length(F.translate("line", " ", "")) > 0)
+        sets = wordy.select("doc_id", "text_key", "line_no", "line_key", _tokens(F.col("line")).alias("s"))
+        n = F.size("s")
+        narrow = sets.select("doc_id", "text_key", "line_no", "line_key", n.alias("n"), F.slice("s", 1, _prefix_length(n)).alias("prefix"))
+        narrow = held.enter_context(staged_while(narrow, "line-prefix"))
+        owners = narrow.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+        owners = held.enter_context(staged_while(owners, "line-owners"))
+        near = held.enter_context(staged_while(_near(lines, narrow, owners, held), "line-near"))
+        repeated = (
+            owners.join(near.withColumn("near", F.lit(True)), "line_key", "left")
+            .where("copies > 1 OR near")
+            .select("line_key", "first", F.coalesce("near", F.lit(False)).alias("near"))
+        )
+        every = narrow.select("doc_id", "text_key", "line_no", "line_key")
+        hit = every.join(repeated, "line_key").where(F.col("near") | (place != F.col("first")))
+        return staged(hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone")), "line-gone")
 
 
 def _cleaned(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__lines``, ``__gone`` and the ``__kept`` text."""
-    gone = _gone(docs).toDF("__id", "__key", "__gone")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = docs.join(
-        gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__key")), "left"
-    )
+    """``d``, a struct of each row of ``docs``, with its ``gone`` lines and the ``kept`` text."""
+    gone = _gone(docs).toDF("id", "key", "gone")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    text = F.coalesce(F.col("d.text").cast("string"), F.lit(""))
+    joined = rows.join(gone, F.col("d.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("key")), "left")
     parts = F.split(text, "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     kept = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
-    return joined.withColumn("__kept", F.when(F.col("__gone").isNull(), text).otherwise(kept))
+    return joined.select("d", "gone", F.when(F.col("gone").isNull(), text).otherwise(kept).alias("kept"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that repeat earlier ones, all columns kept in their order.
 
     A document that loses its last line is dropped, one without any text stays. Where
-    there is a column ``n_chars`` it is counted anew. Lines of fewer than five words
-    stay. Null text counts as empty and stays null; null doc_id comes first in the
-    order. Rows with equal doc_id and text are one document delivered again: they keep
-    and lose the same lines. A line of any length is one set of tokens.
+    there is a column ``n_chars`` it is counted anew. Blank lines stay. Null text counts
+    as empty and stays null; null doc_id comes first in the order. Rows with equal doc_id
+    and text are one document delivered again: they keep and lose the same lines. A line
+    of any length is one set of tokens.
     """
-    done = _cleaned(docs).where("__gone IS NULL OR __kept <> ''")
+    done = _cleaned(docs).where("gone IS NULL OR kept <> ''")
     columns = []
     for name in docs.columns:
+        own = F.col("d").getField(name)
         if name == "text":
-            columns.append(F.when(F.col("text").isNotNull(), F.col("__kept")).alias("text"))
+            own = F.when(own.isNotNull(), F.col("kept"))
         elif name == "n_chars":
-            columns.append(F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length("__kept")).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-        else:
-            columns.append(F.col(f"`{name}`"))
+            own = F.when(F.col("gone").isNull(), own).otherwise(F.length("kept")).cast(docs.schema["n_chars"].dataType)
+        columns.append(own.alias(name))
     return done.select(*columns)
 
 

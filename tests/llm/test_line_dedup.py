@@ -7,7 +7,7 @@ from pricegrid.llm import line_dedup
 
 def tokens(line):
     w = [x for x in line.split(" ") if x]
-    return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
 
 
 def brute(rows):
@@ -97,3 +97,11 @@ def test_empty_table(spark, documents):
 def test_no_python_in_the_plan(spark, documents, capsys):
     line_dedup.line_report(documents(EDGES)).explain()
     assert "Python" not in capsys.readouterr().out and "Arrow" not in capsys.readouterr().out
+
+
+def test_short_lines_and_clashing_names(spark, documents):
+    rows = [(1, "Home\nAbout us\n \none two three four five"), (2, "About  us\nHome\nhome\n\n"), (3, "Home"), (4, "Home\nand more here")]
+    docs = documents(rows).withColumnRenamed("score", "gone").withColumnRenamed("node", "__id").withColumnRenamed("source", "d")
+    done = line_dedup.dedup_lines(docs)
+    assert done.columns == docs.columns
+    assert {r.doc_id: r.text for r in done.collect()} == {1: rows[0][1], 2: "home\n\n", 4: "and more here"}
