@@ -628,6 +628,7 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     them would; rows without doc_id count as such a document.
     """
     found = jaccard_components(docs)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    joined = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))  # no name clashes with id
+    joined = rows.join(stay, F.col("d.doc_id").cast("long").eqNullSafe(F.col("id")), "left_semi")
+    return joined.select(*[F.col("d").getField(c).alias(c) for c in docs.columns])

@@ -26,6 +26,8 @@ LEXICON, SUPPORT, PER_SUPPORT = 4096, 5, 25
 #: Times more frequent in toxic documents than in others (smoothed) for an entry.
 LIFT = 12.0
 THRESHOLD = 0.7
+#: False alarms that a missed toxic document outweighs; moves the scores, not their order.
+MISS_COST = 4.0
 
 # Common English insults, for the first voter.
 INSULTS = (
@@ -266,7 +268,7 @@ def fit_linear(rows: list[list[int]], target: np.ndarray, width: int, weight: np
                steps: int = 400, ridge: float = 2e-5):
     """Logistic regression on sets of feature numbers and soft labels (Adam, fixed steps)."""
     weight = np.ones(len(rows)) if weight is None else weight
-    lengths = np.array([len(r) for r in rows])
+    lengths = np.array([len(r) for r in rows], dtype=np.int64)
     cols = np.concatenate([np.array(r, dtype=np.int64) for r in rows]) if lengths.sum() else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(rows)), lengths)
     w = np.zeros(width + 1)
@@ -384,14 +386,16 @@ def _groups(evidence: DataFrame, most: int) -> tuple[list, np.ndarray]:
     return [rows[k] for k in order], n[order]
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, support: int = SUPPORT) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, support: int = SUPPORT,
+        groups: int = GROUPS, entries_most: int = LEXICON) -> ToxicityModel:
     """Fit voters, label model and classifier.
 
     Labels come only from rows that :func:`held_out` leaves, at most ``sample_rows`` of
     them (the lowest by a hash of the identifier); the learned lexicon uses these. The
     label model and the classifier use every document that is not held out, labelled or
     not: rows are counted per vote pattern for the one, and per votes, label and signs
-    for the other, which learns the posteriors of at most ``GROUPS`` groups.
+    for the other, which learns the posteriors of at most ``groups`` groups. The lexicon
+    has at most ``entries_most`` entries.
 
     Null labels are skipped, several labels of one document count as toxic if one is;
     without labels the lexicon stays empty and the fixed voters alone say what is toxic.
@@ -424,7 +428,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, supp
     entries = (
         counted.where((F.col("in_toxic") >= support) & (lift >= LIFT))
         .orderBy(F.desc("in_toxic"), "in_clean", "entry")
-        .limit(LEXICON)
+        .limit(entries_most)
         .collect()
     )
     lexicon = {r["entry"]: k for k, r in enumerate(entries)}
@@ -436,15 +440,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, supp
     )
     counts = [tuple(r) for r in evidence.groupBy("votes", "toxic").count().collect()]
     model = fit_label_model([(p, None if y is None else int(y > 0), n) for p, y, n in counts])
-    shown, count = _groups(evidence, GROUPS)
+    shown, count = _groups(evidence, groups)
     width = len(lexicon) + len(INSULTS) + 2 * len(VOTERS)
-    if positive:
+    if positive and shown:
         target = soft_labels(model, [r["votes"] for r in shown], [r["toxic"] for r in shown], count)
         voted = [vote_features(r["votes"], len(lexicon) + len(INSULTS)) for r in shown]
         rows_of, soft, weight = word_rows([r["features"] for r in shown], voted, target, count)
         weights, bias = fit_linear(rows_of, soft, width, weight)
+        # half the loss is about single words, which leaves whole documents too low; and
+        # toxic documents are few, which draws all scores towards 0
+        whole = [sorted({h for hits in r["features"] for h in hits} | set(v)) for r, v in zip(shown, voted)]
+        known = np.array([r["toxic"] is not None for r in shown])
+        if known.any():
+            odds = np.array([bias + weights[hits].sum() for hits in whole])[known]
+            marked = np.array([float((r["toxic"] or 0) > 0) for r in shown])[known]
+            slope, shift = calibration(odds, marked, count[known] * np.where(marked > 0, MISS_COST, 1.0))
+            weights, bias = slope * weights, slope * bias + shift
     else:
-        # nothing labelled toxic: EM has no hold on which class is which, so insults count alike
+        # nothing labelled toxic, or no document to learn from: EM has no hold on which class is which, so insults count alike
         weights, bias = np.zeros(width), -3.0
         weights[len(lexicon) : len(lexicon) + len(INSULTS)] = 4.0
     return ToxicityModel(lexicon, weights, bias, model)

@@ -53,3 +53,21 @@ def test_pipeline_keeps_columns_and_only_drops_rows(spark, small):
             assert done.columns == docs.columns
         docs, ids = done, now
     assert docs.where("copies < 1").count() == 0
+
+
+def test_pipeline_on_odd_rows(spark, small, tmp_path):
+    """Nulls, repeated rows, clashing names, and no rows at all."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(40)
+    for c in ("domain", "tokens", "__id", "__gone", "gone", "d", "p", "id", "leaf", "h", "key"):
+        docs = docs.withColumn(c, docs["source"])
+    odd = spark.createDataFrame([(None, None, None, None, None), (7, "", "en", "src1", 0)], docs.schema[:5])
+    docs = docs.unionByName(docs.limit(3)).unionByName(odd, allowMissingColumns=True)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert set(done.columns) == {*docs.columns, "copies"} and 0 < done.count() <= 45
+    docs.where("false").write.mode("overwrite").parquet(f"{tmp_path}/none/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0

@@ -62,6 +62,24 @@ def test_without_labels_or_documents(spark, documents):
     assert toxicity.toxicity(documents([]), none).count() == 0
 
 
+def test_no_documents_to_learn_from(spark, documents):
+    rows, labels = corpus(300)
+    marks = as_labels(spark, labels)
+    assert toxicity.toxicity(documents([]), marks).count() == 0
+    assert toxicity.without_toxic(documents([]), marks).count() == 0
+    learned = set(learned_from(300, 0))
+    only_held_out = [(i, t) for i, t in rows if i not in learned] + [(40_000, None)]
+    only_held_out = [r for r in only_held_out if r[0] not in set(learned_from(1, r[0]))]
+    got = toxicity.toxicity(documents(only_held_out), marks).collect()
+    assert len(got) == len(only_held_out) and all(0 <= r.score <= 1 and r.held_out for r in got)
+
+
+def test_bounds_are_parameters(spark, documents):
+    rows, labels = corpus(600)
+    model = toxicity.fit(documents(rows), as_labels(spark, labels), entries_most=3, groups=50)
+    assert len(model.lexicon) <= 3
+
+
 def test_filter_keeps_columns(spark, documents):
     rows, labels = corpus(300)
     docs = documents(rows)
