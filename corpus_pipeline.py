@@ -1,7 +1,10 @@
 """A corpus pipeline of five stages: toxicity, lines, near copies, benchmarks, mixing.
 
 Every stage takes the documents its predecessor kept and returns documents; ``run``
-writes each stage's result to the shared folder and reads it back for the next.
+writes each stage's result to the shared folder and reads it back for the next. Null
+texts count as empty, rows without doc_id are rows like others, texts of any length are
+taken whole, columns beyond those of documents are carried along whatever their names,
+and an empty table gives an empty result. Ties are settled as the operators state.
 """
 
 from __future__ import annotations
@@ -34,13 +37,19 @@ def drop_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents chosen for the target weights, each with its domain, tokens and copies."""
+    """Documents chosen for the target weights, each with its domain, tokens and copies.
+
+    Columns of the documents with these three names are replaced, all others are kept.
+    """
     chosen = mixing.mix(docs, None, queries.WEIGHTS, queries.levels(), queries.MIX_EPOCHS, queries.MIX_SEED)
-    picked = chosen.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.first("domain").alias("domain"), F.first("tokens").alias("tokens"), F.max("copies").alias("copies")
+    added = ["domain", "tokens", "copies"]
+    picked = chosen.groupBy(F.col("doc_id").cast("long").alias("id")).agg(
+        F.struct(F.first("domain").alias("domain"), F.first("tokens").alias("tokens"), F.max("copies").alias("copies")).alias("p")
     )
-    joined = docs.join(picked, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")))
-    return joined.select("doc_id", "text", "lang", "source", "n_chars", "domain", "tokens", "copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    joined = rows.join(picked, F.col("d.doc_id").cast("long").eqNullSafe(F.col("id")))
+    own = [F.col("d").getField(c).alias(c) for c in docs.columns if c not in added]
+    return joined.select(*own, *[F.col("p").getField(c).alias(c) for c in added])
 
 
 STAGES = [
