@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricegrid.catalog import views as v
 from pricegrid.catalog.features import FULL_COLS, FULL_SQL, KEYS, MARKET, WEATHER, full_features_of
 from pricegrid.catalog.registry import query, rounded, twin
+from pricegrid.functions.timezones import utc_to_local
 from pricegrid.operators.market import join_market
 from pricegrid.operators.quality import outlier_clip
 from pricegrid.plans.ingest import market_table
@@ -237,34 +238,48 @@ def _market_documents(spark, sf):
 )
 def _weather_documents(spark, sf):
     # Readings taken as local hours; one document per series, location and month.
+    return docs.parse_weather(_weather_texts(t.with_month(v.weather_readings(spark, sf)), "ts"), "doc")
+
+
+def _weather_texts(readings, time_col):
+    """One document per series, location and month, its hours in the order of ``ts``."""
     hour = F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        "ts",
+        F.date_format(time_col, "yyyy-MM-dd'T'HH:mm").alias("time"),
         "temperature_2m", "wind_speed_10m", "wind_speed_80m",
         F.col("irradiance").alias("direct_normal_irradiance"),
-    )
-    text = (
-        t.with_month(v.weather_readings(spark, sf))
-        .groupBy("series_id", "location", "part_month")
-        .agg(F.collect_list(hour).alias("h"))
-        .select(
-            "series_id",
-            "location",
-            F.to_json(
-                F.struct(
-                    F.struct(
-                        *[
-                            F.col(f"h.{c}").alias(c)
-                            for c in (
-                                "time", "temperature_2m", "wind_speed_10m", "wind_speed_80m",
-                                "direct_normal_irradiance",
-                            )
-                        ]
-                    ).alias("hourly")
-                )
-            ).alias("doc"),
-        )
-    )
-    return docs.parse_weather(text, "doc")
+    )
+    fields = ["time", "temperature_2m", "wind_speed_10m", "wind_speed_80m", "direct_normal_irradiance"]
+    hours = readings.groupBy("series_id", "location", "part_month").agg(F.array_sort(F.collect_list(hour)).alias("h"))
+    hourly = F.struct(*[F.col(f"h.{c}").alias(c) for c in fields]).alias("hourly")
+    return hours.select("series_id", "location", "part_month", F.to_json(F.struct(hourly)).alias("doc"))
+
+
+# Readings moved into autumn, so that the repeated night of 27 October is among them.
+AUTUMN_DAYS = 285
+
+
+@query(
+    "weather_deliveries",
+    twin(
+        "series_id, location, ts, ~temperature_2m, ~wind_speed_10m, ~wind_speed_80m, ~irradiance",
+        f"""(SELECT * REPLACE (ts + INTERVAL {AUTUMN_DAYS} DAY AS ts), count(*) OVER (PARTITION BY series_id, location,
+            CASE WHEN ts + INTERVAL {AUTUMN_DAYS} DAY IN (TIMESTAMP '2024-10-27 00:00:00', TIMESTAMP '2024-10-27 01:00:00')
+              THEN TIMESTAMP '2024-10-27 00:00:00' ELSE ts + INTERVAL {AUTUMN_DAYS} DAY END) AS nights FROM weather_readings)""",
+        v.READINGS_SQL,
+        where="nights = 2 OR ts NOT IN (TIMESTAMP '2024-10-27 00:00:00', TIMESTAMP '2024-10-27 01:00:00')",
+    ),
+)
+def _weather_deliveries(spark, sf):
+    """Documents in local time with the repeated hour, delivered twice, and broken ones."""
+    moved = v.weather_readings(spark, sf).withColumn("ts", F.col("ts") + F.make_dt_interval(days=F.lit(AUTUMN_DAYS)))
+    local = t.with_month(moved).withColumn("local", utc_to_local("ts"))
+    texts = _weather_texts(local, "local")
+    wrong = _weather_texts(local.withColumn("temperature_2m", F.col("temperature_2m") + 5), "local")
+    broken = texts.withColumn("doc", F.substring("doc", 1, 20))
+    files = [(wrong, "1"), (texts, "2"), (broken, "3")]
+    delivered = [rows.withColumn("file", F.lit(name)) for rows, name in files]
+    return docs.parse_weather(delivered[0].unionByName(delivered[1]).unionByName(delivered[2]), "doc", file_col="file")
 
 
 @query(

@@ -33,6 +33,29 @@ def local_to_utc(
     return out.otherwise(instant)
 
 
+def is_repeated(local: str | Column, zone: str = DISPLAY_TZ) -> Column:
+    """Whether a zone-less local time occurs twice in the zone."""
+    return _col(local).isNotNull() & local_to_utc(local, zone, "null").isNull()
+
+
+def occurrences(times: Column, parsed, zone: str = DISPLAY_TZ) -> Column:
+    """For the local times of a document in its order, which occurrence each one is.
+
+    0 is the first instant of a repeated hour, and any hour that is not repeated; 1 is
+    the later instant: the same local time stands further ahead in the document. Null
+    where a repeated hour stands there only once, so the order does not tell. ``parsed``
+    makes a local time of an entry. Only repeated hours, two a year, are looked up.
+    """
+
+    def one(time: Column, i: Column) -> Column:
+        ahead = F.array_position(times, time) <= i
+        behind = F.array_position(F.slice(times, i + 2, F.size(times)), time) > 0
+        told = F.when(ahead, 1).when(behind, 0)
+        return F.when(is_repeated(parsed(time), zone), told).otherwise(0)
+
+    return F.transform(times, one)
+
+
 def utc_to_local(ts: str | Column, zone: str = DISPLAY_TZ) -> Column:
     """Zone-less local time of an instant, for presentation."""
     return F.from_utc_timestamp(_col(ts), zone)

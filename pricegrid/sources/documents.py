@@ -10,8 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pricegrid.functions.timezones import local_to_utc, position_time
+from pricegrid.functions.timezones import local_to_utc, occurrences, position_time
 from pricegrid.operators.dedupe import keep_latest
 from pricegrid.operators.market import generation_by_type
 from pricegrid.schemas import (
@@ -210,49 +211,102 @@ def with_series(df: DataFrame, path_pattern: str) -> DataFrame:
     return df.withColumn(SERIES, F.regexp_extract("__file", path_pattern, 1))
 
 
-def read_weather(
+def read_weather_documents(
     spark: SparkSession, path: str | Sequence[str], location_pattern: str = r"([^/]+)\.json$"
 ) -> DataFrame:
-    """One row per location and local hour from JSON files named by location."""
-    docs = (
-        spark.read.schema(WEATHER_DOCUMENT_SCHEMA)
+    """One row per JSON file named by location: its readings, or the text that is no document."""
+    schema = T.StructType([*WEATHER_DOCUMENT_SCHEMA.fields, T.StructField("__broken", T.StringType())])
+    return (
+        spark.read.schema(schema)
         .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", "__broken")
         .json(path)
         .select(
             F.regexp_extract(
                 F.url_decode(F.col("_metadata.file_path")), location_pattern, 1
             ).alias("location"),
             "hourly",
+            "__broken",
+            F.col("_metadata.file_modification_time").alias("__delivered"),
+            F.col("_metadata.file_path").alias("__file"),
         )
     )
-    return weather_rows(docs)
+
+
+def read_weather(
+    spark: SparkSession, path: str | Sequence[str], location_pattern: str = r"([^/]+)\.json$"
+) -> DataFrame:
+    """One row per location and instant; files that do not parse are in ``rejected_weather``."""
+    return weather_rows(read_weather_documents(spark, path, location_pattern))
+
+
+def parse_weather_documents(
+    df: DataFrame, text_col: str, keep: Sequence[str] = (SERIES, "location"), file_col: str | None = None
+) -> DataFrame:
+    """The same from a text column holding one document per row.
+
+    The file column names the delivery; later names are later deliveries.
+    """
+    schema = T.StructType([*WEATHER_DOCUMENT_SCHEMA.fields, T.StructField("__broken", T.StringType())])
+    doc = F.from_json(F.col(text_col), schema, {"columnNameOfCorruptRecord": "__broken"})
+    file = F.col(file_col).cast("string") if file_col else F.lit(None).cast("string")
+    rows = df.select(*keep, doc.alias("d"), F.col(text_col).alias("t"), file.alias("__file"))
+    return rows.select(
+        *keep,
+        "d.hourly",
+        F.coalesce("d.__broken", F.when(F.col("d.hourly").isNull(), F.coalesce("t", F.lit("")))).alias("__broken"),
+        F.lit(None).cast("timestamp").alias("__delivered"),
+        "__file",
+    )
 
 
 def parse_weather(
-    df: DataFrame, text_col: str, keep: Sequence[str] = (SERIES, "location")
+    df: DataFrame, text_col: str, keep: Sequence[str] = (SERIES, "location"), file_col: str | None = None
 ) -> DataFrame:
-    """The same from a text column holding one document per row."""
-    doc = F.from_json(F.col(text_col), WEATHER_DOCUMENT_SCHEMA)
-    return weather_rows(df.select(*keep, doc.alias("d")).select(*keep, "d.hourly"))
+    return weather_rows(parse_weather_documents(df, text_col, keep, file_col))
+
+
+def rejected_weather(docs: DataFrame) -> DataFrame:
+    """Documents without readings: text that does not parse, or no times in it.
+
+    From ``read_weather_documents`` or ``parse_weather_documents``; ``weather_rows`` has
+    no row of them.
+    """
+    times = F.col("hourly.time")
+    return docs.where(times.isNull() | (F.size(times) == 0)).drop("hourly")
 
 
 def weather_rows(docs: DataFrame, zone: str = DISPLAY_TZ) -> DataFrame:
-    """Parallel arrays to rows; local hours become instants."""
-    keep = [c for c in docs.columns if c != "hourly"]
+    """Parallel arrays to rows, one per key and instant; local hours become instants.
+
+    A repeated local hour in autumn is told by the order in its document: the second
+    one is the later instant. Where it stands there only once its row is left out, as
+    either instant may be meant. Of several deliveries of an instant the latest counts.
+    """
+    origin = [c for c in ("__delivered", "__file") if c in docs.columns]
+    keep = [c for c in docs.columns if c not in ("hourly", "__broken", *origin)]
+    times = F.col("hourly.time")
+
+    def parsed(time: Column) -> Column:
+        return F.to_timestamp_ntz(time, F.lit(LOCAL_FORMAT))
+
     zipped = F.arrays_zip(
-        F.col("hourly.time").alias("time"),
+        times.alias("time"),
         F.col("hourly.temperature_2m").alias("temperature_2m"),
         F.col("hourly.wind_speed_10m").alias("wind_speed_10m"),
         F.col("hourly.wind_speed_80m").alias("wind_speed_80m"),
         F.col("hourly.direct_normal_irradiance").alias("irradiance"),
+        occurrences(times, parsed, zone).alias("__nth"),
     )
-    local = F.to_timestamp_ntz(F.col("time"), F.lit(LOCAL_FORMAT))
-    return (
-        docs.select(*keep, F.inline(zipped))
-        .withColumn(TS, local_to_utc(local, zone))
+    first = local_to_utc(parsed(F.col("time")), zone)
+    rows = (
+        docs.select(*keep, *origin, F.inline(zipped))
+        .where("__nth IS NOT NULL")
+        .withColumn(TS, first + F.make_dt_interval(hours=F.col("__nth")))
         .withColumns({c: _number(c) for c in READINGS})
-        .drop("time")
+        .select(*keep, *origin, TS, *READINGS)
     )
+    return keep_latest(rows, [*keep, TS], origin or [TS]).select(*keep, *READINGS, TS)
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:

@@ -176,6 +176,24 @@ def test_weather(spark, write):
     assert rows(picked) == [("2026-03-29 00:00:00", 2.2, 0.0), ("2026-03-29 01:00:00", 3.2, 0.0)]
 
 
+def test_weather_deliveries_and_repeated_hour(spark, write):
+    night = ["2024-10-27T01:00", "2024-10-27T02:00", "2024-10-27T02:00", "2024-10-27T03:00"]
+    first = write("w1/Stockholm.json", weather(night, 50.0))
+    os.utime(first, (1, 1))
+    paths = [first, write("w2/Stockholm.json", weather(night, 10.0)), write("w2/Uppsala.json", weather(night[1:2] + night[3:], 3.0)),
+             write("w2/Torn.json", weather(night, 0.0)[:60]), write("w2/Empty.json", "{}")]
+    readings = docs.read_weather(spark, paths)
+    got = stamp(readings).select("location", "ts", "temperature_2m")
+    assert rows(got) == [
+        ("Stockholm", "2024-10-26 23:00:00", 10.0), ("Stockholm", "2024-10-27 00:00:00", 11.0),
+        ("Stockholm", "2024-10-27 01:00:00", 12.0), ("Stockholm", "2024-10-27 02:00:00", 13.0),
+        ("Uppsala", "2024-10-27 02:00:00", 4.0),  # its single 02:00 may be either
+    ]
+    bad = docs.rejected_weather(docs.read_weather_documents(spark, paths)).collect()
+    assert {r.location for r in bad} == {"Torn", "Empty"}
+    assert [bool(r["__broken"]) for r in bad if r.location == "Torn"] == [True]
+
+
 def test_backfill_from_files(spark, write, tmp_path):
     start = "2026-01-30T23:00Z"
     hours = range(1, 73)
