@@ -163,6 +163,13 @@ def importance(model: PipelineModel, spark: SparkSession, top: int | None = 10)
     return rows.limit(top) if top is not None else rows
 
 
+def coefficients(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """``feature, coefficient`` of a linear model, and its ``intercept``."""
+    last = model.stages[-1]
+    rows = [*zip(model_inputs(model), last.coefficients.toArray().tolist()), ("intercept", float(last.intercept))]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
 def metrics_by_split(scored: DataFrame, split_col: str = "split") -> DataFrame:
     return metrics(scored, [split_col])
 
