@@ -77,14 +77,17 @@ def _tokens(line: Column) -> Column:
     """Sorted hashes of a line's distinct runs of five words; null for lines without words."""
     hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
     # one lambda over a one-element array names the hashes, so they are computed once
-    named = F.transform(F.array(hashes), lambda h: F.when(F.size(h) > 0, _runs(h)))
+    named = F.transform(
+        F.array(hashes),
+        lambda h: F.when(F.size(h) >= SHINGLE, _runs(h)).when(F.size(h) > 0, F.array(F.xxhash64(h))),
+    )
     return F.sort_array(F.array_distinct(F.element_at(named, 1)))
 
 
 def _runs(h: Column) -> Column:
-    size = F.lit(SHINGLE)
     return F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(h) - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(h, i, size))
+        F.slice(h, 1, F.size(h) - (SHINGLE - 1)),
+        lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, SHINGLE)]),
     )
 
 
@@ -165,31 +168,30 @@ def _fits(n: str, i: str, m: str, j: str) -> Column:
     return length & position
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Keys of the later lines of those pairs that are similar enough."""
-    later = sets.select(F.col("line_key").alias("later"), F.col("s").alias("a"))
-    earlier = sets.select(F.col("line_key").alias("earlier"), F.col("s").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - both
-    return (
-        pairs.join(later, "later").join(earlier, "earlier").where(both * WHOLE >= union * PART).select("later").distinct()
-    )
-
+def _later(met: DataFrame, sets: DataFrame, held: ExitStack) -> DataFrame:
+    """Keys of the later lines of pairs that are similar; ``met`` has a row per shared prefix token.
 
-def _later(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """Keys of the later lines of pairs that are similar; ``met`` has a row per shared prefix token."""
+    Pairs are written first. Most lines have none, and a table of known size can be
+    broadcast, so only the sets of lines with pairs are shuffled.
+    """
     pairs = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j"))
-    return _verified(pairs.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier")).distinct(), sets)
+    pairs = pairs.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier")).distinct()
+    pairs = held.enter_context(staged_while(pairs, "line-pairs"))
+    later = held.enter_context(staged_while(pairs.select("later").distinct(), "line-pair-keys"))
+    earlier = held.enter_context(staged_while(pairs.select("earlier").distinct(), "line-pair-keys"))
+    a = sets.select(F.col("line_key").alias("later"), F.col("s").alias("a")).join(later, "later", "left_semi")
+    b = sets.select(F.col("line_key").alias("earlier"), F.col("s").alias("b")).join(earlier, "earlier", "left_semi")
+    both = F.size(F.array_intersect("a", "b"))
+    union = F.size("a") + F.size("b") - both
+    return pairs.join(a, "later").join(b, "earlier").where(both * WHOLE >= union * PART).select("later").distinct()
 
 
-def _near(lines: DataFrame, narrow: DataFrame, owners: DataFrame, held: ExitStack) -> DataFrame:
-    """Keys of lines that a different, earlier line matches."""
+def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame, held: ExitStack) -> DataFrame:
+    """Keys of lines that a different, earlier line matches, from what :func:`_candidates` gives."""
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         return held.enter_context(staged_while(df, name))
 
-    met, keys = _candidates(narrow, held)
-    keys = kept(keys, "line-candidates")
     sets = (
         lines.where(_in_table(_table(keys, "line_key"), "line_key"))
         .groupBy("line_key")
@@ -221,10 +223,10 @@ def _near(lines: DataFrame, narrow: DataFrame, owners: DataFrame, held: ExitStac
     pivots = pivots.select("token", F.explode(F.array_distinct(F.array("earliest", "common"))).alias("p"))
     other = ["token", "q_first", "q_key", "m", "j"]
     pivots = pivots.select("token", "p.*").toDF(*other)
-    settled = kept(_later(rows.join(pivots, "token"), sets), "line-settled")
+    settled = kept(_later(rows.join(pivots, "token"), sets, held), "line-settled")
     open_ = rows.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
     others = rows.select("token", "first", "line_key", "n", "i").toDF(*other)
-    rest = _later(open_.join(others, "token"), sets)
+    rest = _later(open_.join(others, "token"), sets, held)
     return settled.unionByName(rest).distinct().withColumnRenamed("later", "line_key")
 
 
@@ -237,17 +239,20 @@ def _gone(docs: DataFrame) -> DataFrame:
         sets = wordy.select("doc_id", "text_key", "line_no", "line_key", _tokens(F.col("line")).alias("s"))
         n = F.size("s")
         narrow = sets.select("doc_id", "text_key", "line_no", "line_key", n.alias("n"), F.slice("s", 1, _prefix_length(n)).alias("prefix"))
-        narrow = held.enter_context(staged_while(narrow, "line-prefix"))
-        owners = narrow.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-        owners = held.enter_context(staged_while(owners, "line-owners"))
-        near = held.enter_context(staged_while(_near(lines, narrow, owners, held), "line-near"))
+        with ExitStack() as early:  # the prefixes go once the candidates are known
+            wide = early.enter_context(staged_while(narrow, "line-prefix"))
+            narrow = held.enter_context(staged_while(wide.select("doc_id", "text_key", "line_no", "line_key"), "line-places"))
+            owners = narrow.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+            owners = held.enter_context(staged_while(owners, "line-owners"))
+            met, keys = _candidates(wide, held)
+            keys = held.enter_context(staged_while(keys, "line-candidates"))
+        near = held.enter_context(staged_while(_near(lines, met, keys, owners, held), "line-near"))
         repeated = (
             owners.join(near.withColumn("near", F.lit(True)), "line_key", "left")
             .where("copies > 1 OR near")
             .select("line_key", "first", F.coalesce("near", F.lit(False)).alias("near"))
         )
-        every = narrow.select("doc_id", "text_key", "line_no", "line_key")
-        hit = every.join(repeated, "line_key").where(F.col("near") | (place != F.col("first")))
+        hit = narrow.join(repeated, "line_key").where(F.col("near") | (place != F.col("first")))
         return staged(hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone")), "line-gone")
 
 
