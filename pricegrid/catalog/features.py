@@ -439,6 +439,10 @@ def _split_rows(spark, sf):
     return split_rows(rows, v.as_of(), chunk_hours=v.TEST_CHUNK)
 
 
-@query("hash_split")
+HASH_SQL = """(SELECT *, CASE WHEN CAST('0x' || substr(md5(series_id || '|' || CAST(ts AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 2000
+  THEN 'test' ELSE 'train' END AS split FROM market_zone)"""
+
+
+@query("hash_split", twin(f"{KEYS}, {MARKET}, split", HASH_SQL, v.ZONE_SQL))
 def _hash_split(spark, sf):
     return hash_split(v.market_zone(spark, sf), ["series_id", "ts"])

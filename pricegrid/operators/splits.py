@@ -39,8 +39,9 @@ def split_rows(
 def hash_split(
     df: DataFrame, keys: Sequence[str], test_share: float = 0.2, label_col: str = "split"
 ) -> DataFrame:
-    """Repeatable random split by the hash of a key; independent of row order."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(10_000))
+    """Repeatable random split by the MD5 of a key's text; independent of row order and engine."""
+    text = F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in keys])
+    bucket = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % 10_000
     return df.withColumn(
         label_col, F.when(bucket < round(test_share * 10_000), "test").otherwise("train")
     )
