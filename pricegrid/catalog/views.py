@@ -47,11 +47,11 @@ def _money(*types: str) -> Column:
     ).cast("double")
 
 
-def _market(spark: SparkSession, sf_dir: str, by_zone: bool) -> DataFrame:
-    keys = [F.col("series_id")] if by_zone else []
+def market_of(rows: DataFrame, keys: list[Column]) -> DataFrame:
+    """Hourly market columns of events, per key."""
     purchases = F.count(F.when(F.col("event_type") == "purchase", 1))
     return (
-        events(spark, sf_dir)
+        rows
         .groupBy(*keys, F.col("hour_ts").alias("ts"))
         .agg(
             F.try_divide(_money("purchase"), purchases).alias("price"),
@@ -63,13 +63,13 @@ def _market(spark: SparkSession, sf_dir: str, by_zone: bool) -> DataFrame:
 
 
 def market_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _market(spark, sf_dir, by_zone=False).select(
+    return market_of(events(spark, sf_dir), []).select(
         F.lit("all").alias("series_id"), "ts", *MARKET_COLS
     )
 
 
 def market_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _market(spark, sf_dir, by_zone=True)
+    return market_of(events(spark, sf_dir), [F.col("series_id")])
 
 
 def zone_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +168,7 @@ def _sql_money(types: str) -> str:
     )
 
 
-def _sql_market(name: str, keys: str) -> str:
+def sql_market(name: str, keys: str) -> str:
     return f"""{name} AS (
   SELECT {keys} date_trunc('hour', ts) AS ts,
     {_sql_money("'purchase'")} / nullif(count(CASE WHEN event_type = 'purchase' THEN 1 END), 0) AS price,
@@ -178,8 +178,8 @@ def _sql_market(name: str, keys: str) -> str:
   FROM events GROUP BY ALL)"""
 
 
-MARKET_SQL = _sql_market("market_hourly", "'all' AS series_id,")
-ZONE_SQL = _sql_market("market_zone", f"user_id % {ZONES} AS series_id,")
+MARKET_SQL = sql_market("market_hourly", "'all' AS series_id,")
+ZONE_SQL = sql_market("market_zone", f"user_id % {ZONES} AS series_id,")
 
 READINGS_SQL = f"""weather_readings AS (
   SELECT user_id % {ZONES} AS series_id, date_trunc('hour', ts) AS ts, event_type AS location,
