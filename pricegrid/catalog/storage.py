@@ -15,6 +15,7 @@ from pricegrid.session import fresh_path
 from pricegrid.sources import documents as docs
 from pricegrid.sources import predictions as preds
 from pricegrid.sources import tables as t
+from pricegrid.sources import versions
 from pricegrid.streaming import ingest as st
 
 ORDERS = """SELECT o_custkey AS series_id, o_orderkey, o_orderdate AS ts, round(o_totalprice + 0.000000001::DOUBLE, 6) + 0.0 AS price,
@@ -83,6 +84,36 @@ def _upsert_latest(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "published_versions",
+    """WITH r AS (SELECT o_custkey AS series_id, o_orderkey, o_orderdate AS ts, o_totalprice AS price,
+      strftime(o_orderdate, '%Y-%m') AS part_month FROM orders),
+    first AS (SELECT 1 AS version, * FROM r WHERE ts < TIMESTAMP '1997-07-10'),
+    second AS (SELECT 2 AS version, * REPLACE (CASE WHEN ts >= TIMESTAMP '1997-06-20' THEN price * 2 ELSE price END
+      AS price) FROM r WHERE ts < TIMESTAMP '1997-08-05')
+    SELECT version, part_month, count(*) AS row_count, round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE)
+      + 0.000000001::DOUBLE, 6) + 0.0 AS total
+    FROM (SELECT * FROM first UNION ALL SELECT * FROM second) GROUP BY ALL""",
+)
+def _published_versions(spark, sf):
+    # The first version is opened before the update and read after it.
+    rows = _orders(spark, sf)
+    path = t.table_path(fresh_path(spark, "published"), "orders", 1)
+    versions.create(spark, path)
+    key = ("series_id", "o_orderkey", "ts")
+    stamp = F.lit("1997-08-05").cast("timestamp")
+    t.upsert(rows.where("ts < '1997-07-10'"), path, key)
+    before = t.read_months(spark, path)
+    later = rows.where("ts >= '1997-06-20' AND ts < '1997-08-05'")
+    t.upsert(later.withColumn("price", F.col("price") * 2).withColumn("ingest_ts", stamp), path, key)
+    both = [before, t.read_months(spark, path)]
+    both = [b.select(F.lit(n).alias("version"), "part_month", "price") for n, b in enumerate(both, 1)]
+    money = F.sum(F.col("price").cast("decimal(18,2)")).cast("double")
+    return both[0].unionByName(both[1]).groupBy("version", "part_month").agg(
+        F.count(F.lit(1)).alias("row_count"), money.alias("total")
+    )
+
+
 RANGE = ("2024-01-05 06:00:00", "2024-01-20 18:00:00")
 RANGE_WHERE = f"ts >= TIMESTAMP '{RANGE[0]}' AND ts <= TIMESTAMP '{RANGE[1]}'"
 INNER_SQL = f"""{v.ZONE_SQL}, {v.WEATHER_SQL},

@@ -13,6 +13,7 @@ from pricegrid.operators.dedupe import keep_latest
 from pricegrid.operators.market import join_weather
 from pricegrid.schemas import BATCH, MONTH, SERIES, TS
 from pricegrid.session import staged_while
+from pricegrid.sources import versions
 
 
 def table_path(root: str, name: str, version: int) -> str:
@@ -44,10 +45,14 @@ def write_months(
     that a range in instants finds all its rows; ``read_months`` prunes by the same rule.
 
     Rows are rebalanced by month, which splits a large month over several
-    tasks and merges small ones, and sorted for row-group statistics.
+    tasks and merges small ones, and sorted for row-group statistics. A table made by
+    ``versions.create`` gets a new version, any other one has its folders replaced.
     """
     months = with_month(df, ts_col).drop(BATCH)
     order = [c for c in sort_cols if c in months.columns]
+    if versions.is_published(df.sparkSession, path):
+        versions.publish(months, path, versions.pinned(df.sparkSession, path), order)
+        return
     (
         months.hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, *order)
@@ -60,6 +65,8 @@ def write_months(
 
 def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, or None before its first write."""
+    if versions.is_published(spark, path):
+        return versions.read_version(spark, path)
     try:
         return spark.read.parquet(path)
     except AnalysisException as missing:
@@ -75,13 +82,22 @@ def read_months(
     end=None,
     months: Sequence[str] | None = None,
     ts_col: str = TS,
+    version: int | None = None,
 ) -> DataFrame:
     """Table rows of the closed range, pruned by month folder and by instant.
 
     A predicate on the instant alone does not prune folders, so the matching
-    months are added (in UTC, as written by ``write_months``).
+    months are added (in UTC, as written by ``write_months``). A published table is
+    read as of its latest version or the one given, whatever is published afterwards.
     """
-    df = spark.read.parquet(path)
+    if versions.is_published(spark, path):
+        df = versions.read_version(spark, path, version)
+        if df is None:
+            raise ValueError(f"nothing is published at {path}")
+    elif version is not None:
+        raise ValueError(f"{path} keeps no versions")
+    else:
+        df = spark.read.parquet(path)
     if months is not None:
         df = df.where(F.col(MONTH).isin(list(months)))
     if start is not None:
@@ -109,20 +125,53 @@ def upsert(
     Only the months of the incoming rows are read and rewritten. The delivery is
     written to the shared folder first, so its plan runs once, and removed at the end.
     The names of its months are the one thing collected, one short string per month.
+
+    A table made by ``versions.create`` gets a new version: readers keep the one they
+    opened, a job that dies changes nothing, and if another writer has published one of
+    these months meanwhile, the delivery is merged again with what is stored then.
     """
+    spark = df.sparkSession
     with staged_while(with_month(df, ts_col).drop(BATCH), "delivery") as incoming:
-        stored = stored_table(df.sparkSession, path)
-        rows = incoming.withColumn("__arrival", F.lit(1))
-        if version_col not in rows.columns:
-            rows = rows.withColumn(version_col, F.lit(None).cast(
-                stored.schema[version_col].dataType if stored is not None and version_col in stored.columns else "timestamp"
-            ))
-        if stored is not None:
-            touched = [r[0] for r in incoming.select(MONTH).distinct().collect()]
-            kept = stored.where(F.col(MONTH).isin(touched)).withColumn("__arrival", F.lit(0))
-            rows = kept.unionByName(rows, allowMissingColumns=True)
-        latest = keep_latest(rows, [*key_cols, MONTH], [version_col, "__arrival"])
-        write_months(latest.drop("__arrival"), path, key_cols, ts_col)
+        if not versions.is_published(spark, path):
+            stored = stored_table(spark, path)
+            touched = _months_of(incoming) if stored is not None else []
+            latest = _latest(incoming, stored, touched, key_cols, version_col)
+            write_months(latest, path, key_cols, ts_col)
+            return
+        touched = _months_of(incoming)
+        while True:
+            base = versions.pinned(spark, path)
+            stored = versions.read_version(spark, path, base, touched)
+            latest = _latest(incoming, stored, touched, key_cols, version_col)
+            try:
+                versions.publish(latest, path, base, key_cols, touched)
+                return
+            except versions.Superseded:
+                continue
+
+
+def _months_of(rows: DataFrame) -> list[str]:
+    return [r[0] for r in rows.select(_folder_month()).distinct().collect()]
+
+
+def _folder_month():
+    """The month as its folder spells it; rows without an instant have a folder too."""
+    return F.coalesce(F.col(MONTH), F.lit(versions.NO_MONTH))
+
+
+def _latest(
+    incoming: DataFrame, stored: DataFrame | None, touched: list[str], key_cols: Sequence[str], version_col: str
+) -> DataFrame:
+    """The delivery merged with the stored rows of its months."""
+    rows = incoming.withColumn("__arrival", F.lit(1))
+    if version_col not in rows.columns:
+        kept = stored is not None and version_col in stored.columns
+        kind = stored.schema[version_col].dataType if kept else "timestamp"
+        rows = rows.withColumn(version_col, F.lit(None).cast(kind))
+    if stored is not None:
+        old = stored.where(_folder_month().isin(touched)).withColumn("__arrival", F.lit(0))
+        rows = old.unionByName(rows, allowMissingColumns=True)
+    return keep_latest(rows, [*key_cols, MONTH], [version_col, "__arrival"]).drop("__arrival")
 
 
 def read_groups(
