@@ -44,11 +44,21 @@ class Group:
             self.owners.append(owner)
 
 
+#: What a node takes beside its label: the node, its place at the parent, its group
+#: with owners and digest (bytes, measured on CPython).
+_NODE_BYTES = 700
+#: The same for the mark that a subtree leaves behind.
+_MARK_BYTES = 300
+
+
 class _Node:
-    __slots__ = ("label", "children", "group", "deferred")
+    """``held`` and ``strings``: estimated bytes and terminal nodes of the whole subtree."""
+
+    __slots__ = ("label", "children", "group", "deferred", "held", "strings")
 
-    def __init__(self, label: bytes):
+    def __init__(self, label: bytes, held: int = 0, strings: int = 0):
         self.label, self.children, self.group, self.deferred = label, {}, None, False
+        self.held, self.strings = held, strings
 
 
 class Trie:
@@ -56,26 +66,27 @@ class Trie:
 
     def __init__(self):
         self.root = _Node(b"")
-        self.held = 0
+
+    @property
+    def held(self) -> int:
+        """Estimated bytes of all labels, nodes and groups."""
+        return self.root.held
 
     def insert(self, key: bytes) -> _Node | None:
-        """The terminal node of ``key``; None where its subtree has left the trie."""
-        node, at = self.root, 0
-        while True:
-            if node.deferred:
-                return None
-            if at == len(key):
-                break
+        """The terminal node of ``key``, with its group; None where its subtree has left the trie."""
+        node, at, trail, grown = self.root, 0, [self.root], 0
+        while not node.deferred and at < len(key):
             child = node.children.get(key[at])
             if child is None:
                 child = _Node(key[at:])
-                self.held += len(child.label) + 200
+                grown = child.held = len(child.label) + _NODE_BYTES
                 node.children[key[at]] = child
                 node, at = child, len(key)
                 break
             label = child.label
             if key.startswith(label, at):
                 node, at = child, at + len(label)
+                trail.append(node)
                 continue
             common = 1
             limit = min(len(label), len(key) - at)
@@ -85,40 +96,67 @@ class Trie:
             common = min(common, limit)
             while common < limit and label[common] == key[at + common]:
                 common += 1
-            middle = _Node(label[:common])
+            middle = _Node(label[:common], child.held + _NODE_BYTES, child.strings)
             child.label = label[common:]
+            child.held -= common
             middle.children[child.label[0]] = child
             node.children[key[at]] = middle
-            self.held += 200
+            for above in trail:
+                above.held += _NODE_BYTES
             node, at = middle, at + common
+            trail.append(node)
+        if node.deferred:
+            return None
+        new = node.group is None
+        if new:
+            node.group = Group()
+        if trail[-1] is not node:
+            node.strings += new
+        for above in trail:
+            above.held += grown
+            above.strings += new
         return node
 
-    def terminals(self, start: _Node | None = None, prefix: bytes = b"") -> Iterator[tuple[bytes, Group]]:
-        stack = [(start or self.root, prefix)]
-        while stack:
-            node, path = stack.pop()
-            path += node.label
-            if node.group is not None:
-                yield path, node.group
-            stack += [(c, path) for c in node.children.values()]
+    def terminals(self) -> Iterator[tuple[bytes, Group]]:
+        """Whole strings with their groups, one at a time."""
+        return _terminals(self.root, b"")
+
+    def defer_largest(self) -> Iterator[tuple[bytes, Group]] | None:
+        """Take the largest subtree out that leaves some string behind.
 
-    def defer_largest(self) -> list[tuple[bytes, Group]]:
-        """Take the largest subtree out that leaves some string behind; its node stays as a mark.
+        A mark with the first byte of its label stays: later strings that lead there have
+        left the trie as well, so equal ones are never parted.
 
-        Empty when a single string is left, which is kept however long it is.
+        The strings are spelled out one at a time, since their common prefix is held
+        once but would be written many times. None when a single string is left, which
+        is kept however long it is.
         """
-        total = sum(1 for _ in self.terminals())
-        path, node = b"", self.root
-        while open_ := [c for c in node.children.values() if not c.deferred]:
-            found = {id(c): list(self.terminals(c, path)) for c in open_}
-            weight = {i: sum(len(k) + 200 for k, _ in rows) for i, rows in found.items()}
-            child = max(open_, key=lambda c: weight[id(c)])
-            if len(found[id(child)]) < total:
-                self.held = max(0, self.held - weight[id(child)])
-                child.children, child.group, child.deferred = {}, None, True
-                return found[id(child)]
-            path, node = path + child.label, child
-        return []
+        path, trail = b"", [self.root]
+        while open_ := [c for c in trail[-1].children.values() if c.strings]:
+            child = max(open_, key=lambda c: c.held)
+            if child.strings < self.root.strings:
+                out = _Node(child.label)
+                out.children, out.group = child.children, child.group
+                freed, strings = child.held - 1 - _MARK_BYTES, child.strings
+                child.label, child.children, child.group, child.deferred = child.label[:1], {}, None, True
+                child.held, child.strings = 1 + _MARK_BYTES, 0
+                for above in trail:
+                    above.held -= freed
+                    above.strings -= strings
+                return _terminals(out, path)
+            path += child.label
+            trail.append(child)
+        return None
+
+
+def _terminals(start: _Node, prefix: bytes) -> Iterator[tuple[bytes, Group]]:
+    stack = [(start, prefix)]
+    while stack:
+        node, path = stack.pop()
+        path += node.label
+        if node.group is not None:
+            yield path, node.group
+        stack += [(c, path) for c in node.children.values()]
 
 
 def _local(batches: Iterator[pa.RecordBatch], budget: int, digest) -> Iterator[pa.RecordBatch]:
@@ -134,13 +172,10 @@ def _local(batches: Iterator[pa.RecordBatch], budget: int, digest) -> Iterator[p
 
     def release():
         nonlocal trie, ids
-        groups = [(path, g) for path, g in trie.terminals()]
-        trie, out = Trie(), []
-        for path, g in groups:
+        for path, g in trie.terminals():
             owner, sha = ids[id(g)]
-            out.append((None, owner, sha, g.low, g.high, g.size, path))
-        ids = {}
-        return out
+            yield None, owner, sha, g.low, g.high, g.size, path
+        trie, ids = Trie(), {}
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _LOCAL)], schema=_LOCAL)
@@ -160,10 +195,10 @@ def _local(batches: Iterator[pa.RecordBatch], budget: int, digest) -> Iterator[p
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
             raw = text.encode("utf-8", "surrogatepass").lower()
             node = trie.insert(raw)
-            if node.group is None:
-                node.group, serial = Group(), serial + 1
-                ids[id(node.group)] = (base + serial, digest(raw))
             group = node.group
+            if id(group) not in ids:
+                serial += 1
+                ids[id(group)] = (base + serial, digest(raw))
             group.add(doc_id, doc_id, 1)
             owner, sha = ids[id(group)]
             rows.append((doc_id, owner, sha, None, None, None, None))
@@ -182,33 +217,35 @@ def _owned(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.Record
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _OWNED)], schema=_OWNED)
 
-    def put_off():
-        rows = []
-        for path, g in trie.defer_largest():
+    def put_off(subtree):
+        for path, g in subtree:
             sha = shas.pop(id(g))
             # one row carries the counts, the others only their owner
-            rows += [(o, g.low if k == 0 else None, g.high if k == 0 else None, g.size if k == 0 else 0, sha, path)
-                     for k, o in enumerate(g.owners)]
-        return rows
+            for k, owner in enumerate(g.owners):
+                first = (g.low, g.high, g.size) if k == 0 else (None, None, 0)
+                yield owner, *first, sha, path
 
     for batch in batches:
         columns = [batch[c].to_pylist() for c in ("owner", "low", "high", "size", "sha", "bytes")]
         for owner, low, high, n, sha, raw in zip(*columns):
             node = trie.insert(raw)
+            leaving = iter(())
             if node is None:
-                away.append((owner, low, high, n, sha, raw))
-                size += len(raw)
+                leaving = iter([(owner, low, high, n, sha, raw)])
             else:
-                if node.group is None:
-                    node.group = Group()
                 shas.setdefault(id(node.group), sha)
                 node.group.add(low, high, n, owner)
-            while trie.held > budget and (rows := put_off()):
-                away += rows
-                size += sum(len(r[5]) for r in rows)
-            if size > _BATCH_BYTES:
-                yield batch_of(away)
-                away, size = [], 0
+            while True:
+                for row in leaving:
+                    away.append(row)
+                    size += len(row[5]) + _NODE_BYTES
+                    if size > _BATCH_BYTES:
+                        yield batch_of(away)
+                        away, size = [], 0
+                subtree = trie.defer_largest() if trie.held > budget else None
+                if subtree is None:
+                    break
+                leaving = put_off(subtree)
     if away:
         yield batch_of(away)
     rows = []

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import pyarrow as pa
@@ -71,3 +72,59 @@ def test_trie_defers_all_but_one_string_and_settles_each_round():
         rounds += 1
     assert rounds > 1 and len(owners) == len(keys)
     assert all(owners[k] == keys.count(key) for k, key in enumerate(keys))
+
+
+def sizes(node):
+    """Bytes and strings of a subtree, counted anew."""
+    own = exact_dedup._MARK_BYTES if node.deferred else exact_dedup._NODE_BYTES
+    parts = [sizes(c) for c in node.children.values()]
+    held = len(node.label) + own + sum(p[0] for p in parts)
+    strings = (node.group is not None) + sum(p[1] for p in parts)
+    assert (node.held, node.strings) == (held, strings)
+    return held, strings
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_subtree_sizes_stay_right(seed):
+    rng = random.Random(seed)
+    trie, away, seen = exact_dedup.Trie(), [], []
+    for k in range(600):
+        key = bytes(rng.choices(b"abc", k=rng.randint(0, 14)))
+        seen.append(key)
+        node = trie.insert(key)
+        if node is None:
+            away.append(key)
+        else:
+            node.group.add(k, k, 1)
+        if rng.random() < 0.05 and (out := trie.defer_largest()) is not None:
+            away += [path for path, g in out for _ in range(g.size)]
+        for child in trie.root.children.values():
+            sizes(child)
+        assert trie.root.strings == len(list(trie.terminals()))
+    assert sorted(away + [p for p, g in trie.terminals() for _ in range(g.size)]) == sorted(seen)
+    assert not set(away) & {p for p, _ in trie.terminals()}
+
+
+@pytest.mark.parametrize("prefix,tail,budget", [(100_000, 2_000, 1 << 20), (0, 30, 1 << 20), (2_000, 5, 1 << 20)])
+def test_memory_stays_within_the_bound(prefix, tail, budget):
+    rng = random.Random(4)
+    common = bytes(rng.choices(b"xyz", k=prefix))
+    keys = [common + rng.randbytes(tail) for _ in range(3000)]
+    kinds = exact_dedup._OWNED
+
+    def batches():
+        for k, key in enumerate(keys):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], f.type) for v, f in zip((k, k, k, 1, "0" * 64, key), kinds)], names=["owner", "low", "high", "size", "sha", "bytes"]
+            )
+
+    tracemalloc.start()
+    settled = away = 0
+    for out in exact_dedup._owned(batches(), budget):
+        away += out.num_rows - out["bytes"].null_count
+        settled += out["bytes"].null_count
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert settled + away == len(keys) and settled > 100
+    # the bound, and two batches of rows on their way out
+    assert peak < 1.3 * budget + 3 * exact_dedup._BATCH_BYTES
