@@ -110,17 +110,21 @@ _SPOKEN_PART = re.compile(
 )
 _SPOKEN_HINT = re.compile(rf"(?i)(?<![A-Za-z])(?:{_NUMBER})[ ,.-]{{1,2}}(?:dot |point )?(?:{_NUMBER}|[0-9])")
 
-_NAME = r"[A-Za-z0-9][A-Za-z0-9_%+-]{0,63}"
-_AT_MARK = r"(?:\s?[\[({<]\s?(?:at|@)\s?[\])}>]\s?)"
-_DOT_MARK = r"(?:\s?[\[({<]\s?(?:dot|\.)\s?[\])}>]\s?)"
-# A bare "at" or "dot" counts only together with the other; bracketed ones by themselves.
-_DISGUISED = re.compile(
-    rf"(?i)(?<![A-Za-z0-9_%+-])(?P<name>{_NAME}(?:(?:\.|{_DOT_MARK}| dot ){_NAME}){{0,8}})"
-    rf"(?:(?P<mark>{_AT_MARK}|@)(?P<host>{_NAME}(?:(?:\.|{_DOT_MARK}| dot ){_NAME}){{1,8}})"
-    rf"|(?P<bare> at )(?P<host2>{_NAME}(?:(?:{_DOT_MARK}| dot ){_NAME}){{1,8}}))"
-)
+_LABEL = r"[A-Za-z0-9][A-Za-z0-9_%+-]*"
+_LABEL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
+_DOT_MARK = r"(?:\s?[\[({<]\s?(?:(?i:dot)|\.)\s?[\])}>]\s?)"
+_DOT_WORD = "(?: (?i:dot) )"
+_DOT_REACH = 9  # the longest of these separators
+# All places where a mark may begin, overlapping ones too. A bare "at" or "dot" counts
+# only together with the other; bracketed ones by themselves.
+_AT = re.compile(r"(?=(?P<mark>\s?[\[({<]\s?(?:(?i:at)|@)\s?[\])}>]\s?|@)|(?P<bare> (?i:at) ))")
+_HOSTS = {
+    "mark": re.compile(rf"{_LABEL}(?:(?:\.|{_DOT_MARK}|{_DOT_WORD}){_LABEL})+"),
+    "bare": re.compile(rf"{_LABEL}(?:(?:{_DOT_MARK}|{_DOT_WORD}){_LABEL})+"),
+}
+_DOT_BEFORE = re.compile(rf"(?:\.|{_DOT_MARK}|{_DOT_WORD})\Z")
 _AT_HINT = re.compile(r"(?i)[\[({<]\s?(?:at|@|dot|\.)\s?[\])}>]| dot ")
-_DOT_PART = re.compile(rf"(?i){_DOT_MARK}| dot ")
+_DOT_PART = re.compile(rf"{_DOT_MARK}|{_DOT_WORD}")
 
 
 Edit = tuple[int, int, str]
@@ -153,19 +157,45 @@ def spoken_digits(text: str) -> list[Edit]:
     return edits
 
 
+def _name_start(text: str, end: int, limit: int) -> int | None:
+    """Where the name begins that ends at ``end``: labels and dots, to the left as far as they go."""
+    start = None
+    while True:
+        at = end
+        while at > 0 and text[at - 1] in _LABEL_CHARS:
+            at -= 1
+        if at == end or at < limit or text[at] in "_%+-":
+            return start
+        start = at
+        dot = _DOT_BEFORE.search(text[max(limit, at - _DOT_REACH) : at])
+        if dot is None:
+            return start
+        end = at - (dot.end() - dot.start())
+
+
 def at_and_dot(text: str) -> list[Edit]:
-    """``name (at) host dot tld`` to ``name@host.tld``."""
+    """``name (at) host dot tld`` to ``name@host.tld``.
+
+    Starts from the mark and goes to both sides, so names and hosts may have any length
+    and any number of labels, and a text takes time in proportion to its length.
+    """
     if _AT_HINT.search(text) is None:
         return []
-    edits = []
-    for m in _DISGUISED.finditer(text):
-        at = "mark" if m["mark"] is not None else "bare"
-        for part in ("name", at, "host" if at == "mark" else "host2"):
-            if part == at:
-                if m[part] != "@":
-                    edits.append((*m.span(part), "@"))
-            else:
-                edits += [(d.start(), d.end(), ".") for d in _DOT_PART.finditer(text, *m.span(part))]
+    edits, limit = [], 0
+    for m in _AT.finditer(text):
+        kind = "mark" if m["mark"] is not None else "bare"
+        begin, end = m.span(kind)
+        if begin <= limit or text[begin - 1] not in _LABEL_CHARS:
+            continue
+        host = _HOSTS[kind].match(text, end)
+        start = _name_start(text, begin, limit) if host else None
+        if start is None:
+            continue
+        edits += [(d.start(), d.end(), ".") for d in _DOT_PART.finditer(text, start, begin)]
+        if m[kind] != "@":
+            edits.append((begin, end, "@"))
+        edits += [(d.start(), d.end(), ".") for d in _DOT_PART.finditer(text, end, host.end())]
+        limit = host.end()
     return edits
 
 

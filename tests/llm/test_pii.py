@@ -88,3 +88,50 @@ def test_table(spark, documents, by_id):
         assert got[k][0].spans == "" and got[k][0].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[None][0].n_phone == 1 and got[5][0].spans == "email:200001:200007"
     assert pii.find_personal_data(documents([])).count() == 0
+
+
+# The disguises as one pattern without limits on lengths and labels; slow on long texts.
+LABEL = r"[A-Za-z0-9][A-Za-z0-9_%+-]*"
+DOT = r"(?:\s?[\[({<]\s?(?:(?i:dot)|\.)\s?[\])}>]\s?| (?i:dot) )"
+AT = r"(?:\s?[\[({<]\s?(?:(?i:at)|@)\s?[\])}>]\s?|@)"
+WHOLE = re.compile(
+    rf"(?<![A-Za-z0-9_%+-])(?P<name>{LABEL}(?:(?:\.|{DOT}){LABEL})*)"
+    rf"(?:(?P<mark>{AT})(?P<host>{LABEL}(?:(?:\.|{DOT}){LABEL})+)|(?P<bare> (?i:at) )(?P<host2>{LABEL}(?:{DOT}{LABEL})+))"
+)
+
+
+def brute_disguises(text):
+    edits = []
+    for m in WHOLE.finditer(text):
+        kind, host = ("mark", "host") if m["mark"] is not None else ("bare", "host2")
+        for part in ("name", host):
+            edits += [(d.start(), d.end(), ".") for d in re.finditer(DOT, text[: m.end(part)]) if d.start() >= m.start(part)]
+        if m[kind] != "@":
+            edits.append((*m.span(kind), "@"))
+    return sorted(edits)
+
+
+PIECES = ["a", "b1", "-", "_x", ".", " ", "at", " at ", "@", "(at)", " [ @ ] ", " dot ", "(dot)", " <.> ", "dot", "Dot", "\n", "é"]
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=24).map("".join))
+def test_disguises_equal_the_pattern_without_limits(text):
+    want = brute_disguises(text) if pii._AT_HINT.search(text) else []
+    assert pii.at_and_dot(text) == want
+
+
+def test_long_names_and_many_labels():
+    name = "n" * 70
+    assert added(f"to {name} (at) host (dot) org.") == [("email", f"{name} (at) host (dot) org")]
+    host = " (dot) ".join(f"label{k}" for k in range(12))
+    assert added(f"x@{host} end") == [("email", f"x@{host}")]
+    long = "n" * 100_000 + " (at) " + "h" * 100_000 + " dot org"
+    assert added(long) == [("email", long)]
+    many = " dot ".join(["l"] * 20_000)
+    assert added(f"{many} at {many}") == [("email", f"{many} at {many}")]
+
+
+def test_disguises_take_linear_time():
+    for unit in ("a (at) ", "a(dot)", "(at)a.b ", "_(at)a(dot)b", "a dot a at ", "- (at) a dot a", "a@"):
+        pii.find(unit * (200_000 // len(unit)) + " (dot) ")
