@@ -149,7 +149,8 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     Sums and counts are taken per path in the map tasks, so a host with a third of all
     rows reaches the shuffle as a row per task and path. A host's mean is drawn to the
     global one, a path's to its host's, each by a number of pseudo-documents that the
-    spread of the means (less their sampling error) tells.
+    spread of the means (less their sampling error) tells. The sums and strengths that
+    :func:`without_own` needs come along.
     """
     paths = scored.groupBy("host", "path").agg(F.sum("p").alias("s"), F.count("*").alias("n"), F.sum(F.col("p") * F.col("p")).alias("ss"))
     hosts = paths.groupBy("host").agg(F.sum("s").alias("hs"), F.sum("n").alias("hn"), F.sum("ss").alias("hss"))
@@ -162,7 +163,7 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     world = world.select(F.struct("g", _strength(F.col("between"), F.col("g")).alias("k")).alias("world"))
     top = hosts.withColumn("world", world.scalar())
     top = top.select(
-        "host", (F.col("hs") / F.col("hn")).alias("raw"),
+        "host", "hs", "hn", "world", (F.col("hs") / F.col("hn")).alias("raw"),
         ((F.col("hs") + F.col("world.k") * F.col("world.g")) / (F.col("hn") + F.col("world.k"))).alias("host_mean"),
     )
     both = paths.join(top, "host")
@@ -173,17 +174,28 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     )
     strength = spread.select(_strength(F.col("between"), F.col("g")).alias("k")).scalar()
     return both.withColumn("k", strength).select(
-        "host", "path", "n", "host_mean",
+        "host", "path", "n", "s", "k", "hn", "hs", "world", "host_mean",
         ((F.col("s") + F.col("k") * F.col("host_mean")) / (F.col("n") + F.col("k"))).alias("path_mean"),
     )
 
 
+def without_own(p: Column) -> Column:
+    """The path's posterior as the other documents alone give it, beside a row's own ``p``.
+
+    A document's evidence would else count twice, once by itself and once through its
+    site, most of all on a site that has no other document. Only the global mean and
+    the strengths still contain it.
+    """
+    host = (F.col("hs") - p + F.col("world.k") * F.col("world.g")) / (F.col("hn") - 1 + F.col("world.k"))
+    return (F.col("s") - p + F.col("k") * host) / (F.col("n") - 1 + F.col("k"))
+
+
 def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, threshold: float = THRESHOLD,
             sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, host, path, score, site_score, keep, held_out`` of every document.
 
-    The document's log odds are moved by the log odds of its path's posterior against
-    the classifier's prior: a text counts for less on a site that is otherwise poor,
+    The document's log odds are moved by the log odds of its path's posterior, as the
+    site's other documents give it, against the classifier's prior: a text counts for less on a site that is otherwise poor,
     and a site with few documents says hardly more than the prior.
 
     One row per row of ``docs``. Null text counts as empty; null host or path are the
@@ -198,15 +210,16 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, thre
     )
     named = staged(named, "quality-evidence")
     scored = named.withColumn("p", 1 / (1 + F.exp(-F.col("evidence"))))
-    sites = site_posteriors(scored).select("host", "path", "path_mean")
-    inside = F.least(F.greatest(F.col("path_mean"), F.lit(1e-4)), F.lit(1 - 1e-4))
+    sites = site_posteriors(scored)
+    inside = F.least(F.greatest(F.col("site"), F.lit(1e-4)), F.lit(1 - 1e-4))
     total = F.col("evidence") + F.log(inside / (1 - inside)) - F.lit(float(np.log(prior / (1 - prior))))
-    return named.join(sites, ["host", "path"]).select(
+    placed = scored.join(sites, ["host", "path"]).withColumn("site", without_own(F.col("p")))
+    return placed.select(
         "doc_id",
         "host",
         "path",
         (1 / (1 + F.exp(-total))).alias("score"),
-        F.col("path_mean").alias("site_score"),
+        F.col("site").alias("site_score"),
         (1 / (1 + F.exp(-total)) >= threshold).alias("keep"),
         held_out(F.col("doc_id")).alias("held_out"),
     )

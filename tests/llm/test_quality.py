@@ -60,3 +60,57 @@ def test_sparse_sites_shrink_to_their_parents(spark):
     assert got["bad", "new"].path_mean < 0.6  # one document says little against its host
     assert got["unknown", "x"].path_mean < 0.97
     assert got["bad", "new"].path_mean < got["unknown", "x"].path_mean
+
+
+def plain_posteriors(rows):
+    """The other documents' posterior of each row's path, written out plainly."""
+    mean = lambda v: sum(v) / len(v)
+
+    def noise(v):
+        return (mean([x * x for x in v]) - mean(v) ** 2) / len(v)
+
+    def strength(between, m):
+        return min(max(m * (1 - m) / max(between, 1e-9) - 1, quality.LEAST_STRENGTH), quality.MOST_STRENGTH)
+
+    hosts, paths = {}, {}
+    for host, path, p in rows:
+        hosts.setdefault(host, []).append(p)
+        paths.setdefault((host, path), []).append(p)
+    every, n = [p for _, _, p in rows], len(rows)
+    g = mean(every)
+    k = strength(sum(len(v) * (mean(v) - g) ** 2 - len(v) * noise(v) for v in hosts.values()) / n, g)
+    spread = sum(len(v) * ((mean(v) - mean(hosts[h])) ** 2 - noise(v)) for (h, _), v in paths.items()) / n
+    kp = strength(spread, g)
+    out = []
+    for host, path, p in rows:
+        others, near = list(hosts[host]), list(paths[host, path])
+        others.remove(p), near.remove(p)
+        host_mean = (sum(others) + k * g) / (len(others) + k)
+        out.append((sum(near) + kp * host_mean) / (len(near) + kp))
+    return out
+
+
+def test_posteriors_of_the_other_documents(spark):
+    rng = random.Random(8)
+    rows = []
+    for h in range(6):
+        for path in range(rng.randint(1, 4)):
+            rows += [(f"h{h}", f"p{path}", round(rng.random() * (0.3 + 0.1 * h), 3)) for _ in range(rng.randint(1, 30))]
+    rows += [("alone", "x", 0.99), ("h0", "p0", 0.5), ("h0", "p0", 0.5)]
+    shape = "no int, host string, path string, p double"
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], shape)
+    placed = frame.join(quality.site_posteriors(frame), ["host", "path"])
+    got = dict(placed.select("no", quality.without_own(F.col("p"))).collect())
+    want = plain_posteriors(rows)
+    assert len(got) == len(rows) and max(abs(got[k] - w) for k, w in enumerate(want)) < 1e-9
+    # a site's only document says nothing about its site
+    alone = len(rows) - 3
+    assert abs(got[alone] - sum(r[2] for r in rows) / len(rows)) < 1e-9
+
+
+def test_scores_contain_the_site(spark, documents, by_id):
+    rows, labels = corpus(300)
+    docs = documents(rows).withColumn("source", F.when(F.col("doc_id") < 150, "s").otherwise(F.concat(F.lit("t"), "doc_id")))
+    got = by_id(run(spark, docs, labels))
+    sites = [r[0].site_score for k, r in got.items() if k >= 150]
+    assert max(sites) - min(sites) < 1e-9 and any(abs(r[0].site_score - sites[0]) > 1e-6 for k, r in got.items() if k < 150)
