@@ -142,21 +142,25 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
     rf"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL VALUES (-1, 0, 'user', '{CONTROL}'), (-1, 1, 'assistant', '{CONTROL}'))
+  UNION ALL VALUES (-1, 0, 'user', '{CONTROL}'), (-1, 1, 'assistant', '{CONTROL}')),
+s AS (SELECT *, coalesce(lag(role) OVER w, '') AS before, lead(role) OVER w AS after FROM c
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
   CAST(sum(length('<|im_start|>') + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<|\1_', 'g'))
-    + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
-FROM c GROUP BY conv_id""",
+    + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+  bool_and(CASE role WHEN 'system' THEN before = '' WHEN 'user' THEN before IN ('', 'system', 'assistant')
+    WHEN 'assistant' THEN before = 'user' ELSE false END AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM s GROUP BY conv_id""",
 )
 def op9_chat(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     shape = T.StructType.fromDDL("conv_id long, turn long, role string, text string")
     own = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], shape)
     segments = chat.format_conversations(rows.unionByName(own))
-    return chat.read_back(segments, in_order=True).drop("valid")
+    return chat.read_back(segments, in_order=True)
 
 
 # Target weights of the mix, from the root down; sources not named weigh 1.

@@ -74,3 +74,16 @@ def test_broken_frame_is_an_error(spark):
 def test_template_has_to_be_separable():
     with pytest.raises(ValueError):
         chat.Template(start="[", end="]")
+
+
+def test_order_of_turns_decides_validity(spark):
+    orders = {
+        1: "system user assistant", 2: "user assistant user assistant", 3: "user assistant user",
+        4: "assistant user", 5: "user user assistant", 6: "user system assistant", 7: "system", 8: "user assistant tool assistant",
+    }
+    rows = [(c, k, role, "t") for c, o in orders.items() for k, role in enumerate(o.split())]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    segments = chat.format_conversations(df)
+    assert {r.conv_id for r in chat.read_back(segments, in_order=True).collect() if r.valid} == {1, 2}
+    bad = {r.conv_id for r in segments.where("not order_ok").collect()}
+    assert bad == {4, 5, 6, 8}
