@@ -7,6 +7,8 @@ what the three zones of the other ones can't show: growth of the key and its ske
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from pricegrid.catalog import views as v
@@ -17,6 +19,7 @@ from pricegrid.operators.fill import null_runs
 from pricegrid.operators.grid import hourly_grid
 from pricegrid.operators.lags import lag_features
 from pricegrid.operators.quality import missing_stats
+from pricegrid.plans import jobs
 from pricegrid.plans.cleaning import clean
 from pricegrid.plans.features import engineer_on_grid
 from pricegrid.schemas import DIFFS, LAGS, MARKET_COLS, MARKET_FEATURES, ROLLING
@@ -133,3 +136,40 @@ FEATURES = ["price", *MARKET_FEATURES, "price_lag_24h", "price_rolling_mean_24h"
 def _user_features(spark, sf):
     done = engineer_on_grid(market_user(spark, sf), chunk_hours=v.TEST_CHUNK)
     return done.select("series_id", "ts", "hour", "day_of_week", "is_weekend", *FEATURES)
+
+
+# Days before and after the run, as stated for the jobs: 180 days of which the last 36
+# are test rows, yesterday to tomorrow, a week back to two days on.
+WINDOW_DAYS = {"training": (-180, -36), "update": (-1, 1), "scoring": (-7, 2)}
+WINDOW_AT = "2024-01-24 00:00:00"
+
+
+def _counted_sql(name: str, first: int, last: int) -> str:
+    inside = (f"ts >= TIMESTAMP '{WINDOW_AT}' + INTERVAL ({first}) DAY"
+              f" AND ts <= TIMESTAMP '{WINDOW_AT}' + INTERVAL ({last}) DAY")
+    return f"count(CASE WHEN {inside} THEN 1 END) AS {name}_rows"
+
+
+# The market of January is moved back by 0, 20, 70 and 170 days so that every edge is met.
+MOVED = (0, 20, 70, 170)
+
+
+@query(
+    "job_windows",
+    f"""WITH {USER_SQL},
+    moved AS (SELECT series_id, ts - d * INTERVAL 1 DAY AS ts FROM market_user,
+      (SELECT unnest({list(MOVED)}) AS d))
+    SELECT series_id, {", ".join(_counted_sql(n, *d) for n, d in WINDOW_DAYS.items())} FROM moved GROUP BY ALL""",
+)
+def _job_windows(spark, sf):
+    at = datetime.fromisoformat(WINDOW_AT)
+    windows = {"training": jobs.training_window(at), "update": jobs.update_window(at), "scoring": jobs.scoring_window(at)}
+    back = F.explode(F.array(*[F.lit(d) for d in MOVED]))
+    rows = market_user(spark, sf).select("series_id", "ts", back.alias("d"))
+    rows = rows.withColumn("ts", F.col("ts") - F.make_dt_interval(days="d"))
+
+    def inside(window):
+        first, last = (F.lit(f"{w:%Y-%m-%d %H:%M:%S}").cast("timestamp") for w in window)
+        return F.count(F.when(F.col("ts").between(first, last), 1))
+
+    return rows.groupBy("series_id").agg(*[inside(w).alias(f"{n}_rows") for n, w in windows.items()])

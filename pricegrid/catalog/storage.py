@@ -326,6 +326,21 @@ def _prediction_records(spark, sf):
     return preds.latest_predictions(spark, root)
 
 
+@query(
+    "prediction_arrays",
+    twin("ts, ~predicted_price, mode, ~actual_price, ~error, ~abs_error", "predictions",
+         v.PREDICTIONS_SQL),
+)
+def _prediction_arrays(spark, sf):
+    # Records as JSON arrays, one document a day, read back by the dashboard's reader.
+    root = fresh_path(spark, "arrays")
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss'+00:00'").alias("timestamp")
+    record = F.struct(stamp, *preds.FIELDS)
+    days = v.predictions(spark, sf).groupBy(F.to_date("ts")).agg(F.collect_list(record).alias("records"))
+    days.select(F.to_json("records")).write.text(root)
+    return preds.read_predictions(spark, root)
+
+
 def _landed(spark, sf, root):
     """Events as two overlapping deliveries, the later one landing second."""
     rows = v.events(spark, sf).drop("hour_ts")
