@@ -17,6 +17,10 @@ GLOBAL = {
     "missing_stats", "error_metrics", "dashboard_metrics", "value_ranges",
     "price_histogram", "display_subset", "cheapest_hours", "cheapest_hours_window",
     "model_runs_best", "feature_importance",
+    "user_missing_stats",  # the summary of missing_stats on more series
+    # A model's nodes become one nested array, and sums per feature one total; the
+    # number of trees and their leaves bounds both, no data row is gathered.
+    "boosted_scores", "boosted_importance",
 }
 WRITES = {
     "month_roundtrip", "month_range", "upsert_latest", "fg_range_join", "engineered_table",
