@@ -10,21 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.functions.errors import error_columns
+from pricegrid.operators.market import join_weather
 from pricegrid.operators.reports import mode_label
 from pricegrid.operators.splits import split_rows
-from pricegrid.plans import boosting, models
+from pricegrid.plans import boosting, models, refresh
 from pricegrid.plans.features import engineer_on_grid, engineer_range
 from pricegrid.plans.ingest import clean_tables
 from pricegrid.schemas import (
     BACKTEST_DAYS,
     FORECAST_DAYS,
     LABEL_COL,
+    MONTH,
     SERIES,
     TEST_SHARE,
     TRAINING_DAYS,
     TS,
 )
-from pricegrid.session import checkpointed
+from pricegrid.session import checkpointed, staged_while
 from pricegrid.sources import predictions, tables
 
 
@@ -52,6 +54,39 @@ def daily_update(
         tables.upsert(tables.as_double(rows).withColumn("ingest_ts", version), path)
 
 
+def daily_refresh(
+    market: DataFrame, weather: DataFrame, market_path: str, weather_path: str, features_path: str, as_of: str
+) -> list[str]:
+    """``daily_update`` that also brings the stored features up to date.
+
+    Only what differs from the stored rows counts as changed. Changes are noted before
+    the rows are stored and forgotten once the features are, so a run that follows a dead
+    one takes up what that left. One job at a time writes a feature table. Returns the
+    months whose rows were read for it.
+    """
+    spark = market.sparkSession
+    version = F.lit(as_of).cast("timestamp")
+    for rows, path in zip(clean_tables(market, weather), (market_path, weather_path)):
+        with staged_while(tables.with_month(tables.as_double(rows)), "daily") as delivery:
+            months = [r[0] for r in delivery.select(MONTH).distinct().collect()]
+            stored = tables.stored_table(spark, path)
+            if stored is not None:
+                stored = stored.where(F.col(MONTH).isin(months))
+            refresh.note_changes(refresh.changed_instants(delivery, stored), features_path)
+            tables.upsert(delivery.drop(MONTH).withColumn("ingest_ts", version), path)
+    changed = refresh.pending_changes(spark, features_path)
+    if changed is None:
+        return []
+
+    def read(months: list[str]) -> DataFrame:
+        market, weather = (tables.read_months(spark, p, months=months) for p in (market_path, weather_path))
+        return join_weather(market.drop("ingest_ts", MONTH), weather.drop("ingest_ts", MONTH), (SERIES, TS), "inner")
+
+    read_for = refresh.refresh(changed, read, features_path, version)
+    refresh.forget_changes(spark, features_path)
+    return read_for
+
+
 def train_job(
     history: DataFrame,
     test_start: str,

@@ -25,7 +25,7 @@ GLOBAL = {
 WRITES = {
     "month_roundtrip", "month_range", "upsert_latest", "fg_range_join", "engineered_table",
     "prediction_records", "stream_hourly", "stream_dedupe", "backfill_then_update", "month_edge_range", "train_gbt", "score_modes",
-    "feature_importance", "linear_baseline",
+    "feature_importance", "linear_baseline", "refreshed_features", "stream_corrected",
 }
 DATA = {*MARKET_COLS, *WEATHER_COLS}
 
