@@ -11,7 +11,8 @@ different lines two get one name with a chance of about n^2 / 2^65.
    share enough of their prefixes with a different line go on: no pair is lost.
 2. Join of the candidates. Tokens are ordered by rarity: those that at most ``MANY``
    candidates have come first, by hash, then the others by their count. Prefix,
-   positional and length filters leave few pairs, verified on the whole sets. Each
+   positional and length filters, and 128 bits that stand for the set, leave few pairs,
+   verified on the whole sets. Each
    token's lines first meet two of them, the earliest and the one with most copies:
    a line that matches one of these is settled. Only lines that did not match meet the
    other earlier lines of their tokens.
@@ -29,6 +30,8 @@ from pricegrid.session import staged_while
 
 #: Bits of the tables that drop most other rows before a shuffle.
 TABLE_BITS = 1 << 23
+#: Words of 64 bits that stand for a set; two sets differ in at least as many tokens as bits.
+BIT_WORDS = 2
 #: Lines with a common token whose pairs are counted.
 FEW = 4
 #: Candidate lines with a common token beyond which the token counts as common.
@@ -168,13 +171,29 @@ def _fits(n: str, i: str, m: str, j: str) -> Column:
     return length & position
 
 
+def _bits(s: Column, word: int) -> Column:
+    """One word of a set's bits: every token sets one bit of all words together."""
+    place = lambda x: x.bitwiseAND(F.lit(64 * BIT_WORDS - 1))
+    mine = lambda x: F.shiftright(place(x), 6) == word
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), place(x).cast("int"))
+    return F.aggregate(s, F.lit(0).cast("long"), lambda a, x: F.when(mine(x), a.bitwiseOR(bit(x))).otherwise(a))
+
+
+def _near_bits() -> Column:
+    """False only for pairs whose bits tell that too many of their tokens differ."""
+    differ = sum((F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"q_b{k}"))) for k in range(1, BIT_WORDS)),
+                 F.bit_count(F.col("b0").bitwiseXOR(F.col("q_b0"))))
+    both = F.col("n") + F.col("m")
+    return (both - differ) * (WHOLE + PART) >= both * (2 * PART)
+
+
 def _later(met: DataFrame, sets: DataFrame, held: ExitStack) -> DataFrame:
     """Keys of the later lines of pairs that are similar; ``met`` has a row per shared prefix token.
 
     Pairs are written first. Most lines have none, and a table of known size can be
     broadcast, so only the sets of lines with pairs are shuffled.
     """
-    pairs = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j"))
+    pairs = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j") & _near_bits())
     pairs = pairs.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier")).distinct()
     pairs = held.enter_context(staged_while(pairs, "line-pairs"))
     later = held.enter_context(staged_while(pairs.select("later").distinct(), "line-pair-keys"))
@@ -199,7 +218,8 @@ def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame,
         .join(keys, "line_key", "left_semi")
         .select("line_key", _tokens(F.col("line")).alias("s"))
     )
-    sets = kept(sets, "line-sets")
+    bits = [f"b{k}" for k in range(BIT_WORDS)]
+    sets = kept(sets.select("line_key", "s", *[_bits(F.col("s"), k).alias(b) for k, b in enumerate(bits)]), "line-sets")
     met = met.join(keys, "line_key", "left_semi")
     # Tokens of many lines come last in the order. That changes the prefix of the lines
     # that have one in it; their next tokens move up, and only these sets are taken apart.
@@ -213,19 +233,19 @@ def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame,
     )
     ranked = ranked.where(F.col("i") <= _prefix_length(F.col("n")))
     rows = met.join(moved, "line_key", "left_anti").select("token", "line_key", "n", "i").unionByName(ranked)
-    rows = rows.join(owners.join(keys, "line_key", "left_semi"), "line_key")
+    rows = rows.join(owners.join(sets.select("line_key", *bits), "line_key"), "line_key")
     rows = kept(rows, "line-prefixes")
 
-    me = F.struct("first", "line_key", "n", "i")
+    me = F.struct("first", "line_key", "n", "i", *bits)
     pivots = rows.groupBy("token").agg(
         F.min(me).alias("earliest"), F.max_by(me, F.struct("copies", F.negative(F.xxhash64("line_key").cast("double")))).alias("common")
     )
     pivots = pivots.select("token", F.explode(F.array_distinct(F.array("earliest", "common"))).alias("p"))
-    other = ["token", "q_first", "q_key", "m", "j"]
+    other = ["token", "q_first", "q_key", "m", "j", *[f"q_{b}" for b in bits]]
     pivots = pivots.select("token", "p.*").toDF(*other)
     settled = kept(_later(rows.join(pivots, "token"), sets, held), "line-settled")
     open_ = rows.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
-    others = rows.select("token", "first", "line_key", "n", "i").toDF(*other)
+    others = rows.select("token", "first", "line_key", "n", "i", *bits).toDF(*other)
     rest = _later(open_.join(others, "token"), sets, held)
     return settled.unionByName(rest).distinct().withColumnRenamed("later", "line_key")
 
