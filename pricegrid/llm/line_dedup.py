@@ -11,11 +11,12 @@ different lines two get one name with a chance of about n^2 / 2^65.
    share enough of their prefixes with a different line go on: no pair is lost.
 2. Join of the candidates. Tokens are ordered by rarity: those that at most ``MANY``
    candidates have come first, by hash, then the others by their count. Prefix,
-   positional and length filters, and 128 bits that stand for the set, leave few pairs,
-   verified on the whole sets. Each
+   positional and length filters leave few pairs, verified on the whole sets. Each
    token's lines first meet two of them, the earliest and the one with most copies:
    a line that matches one of these is settled. Only lines that did not match meet the
-   other earlier lines of their tokens.
+   other earlier lines of their tokens, where there are any: pairs of tokens with up to
+   ``MANY`` lines are written and verified, the few tokens with more carry the sets along,
+   so that only similar pairs leave their join, however many lines share a token.
 """
 
 from __future__ import annotations
@@ -30,12 +31,14 @@ from pricegrid.session import staged_while
 
 #: Bits of the tables that drop most other rows before a shuffle.
 TABLE_BITS = 1 << 23
-#: Words of 64 bits that stand for a set; two sets differ in at least as many tokens as bits.
-BIT_WORDS = 2
 #: Lines with a common token whose pairs are counted.
 FEW = 4
 #: Candidate lines with a common token beyond which the token counts as common.
 MANY = 32
+#: Tokens of a line up to which its set travels with its common tokens.
+CARRIED = 256
+#: Bits that stand for a carried set, in words of 64; sets differ in at least as many tokens.
+BIT_WORDS = 4
 PART, WHOLE = SIMILARITY
 
 ORACLE_SQL = f"""
@@ -171,38 +174,68 @@ def _fits(n: str, i: str, m: str, j: str) -> Column:
     return length & position
 
 
+def _similar(a: str, b: str) -> Column:
+    both = F.size(F.array_intersect(a, b))
+    return both * WHOLE >= (F.size(a) + F.size(b) - both) * PART
+
+
 def _bits(s: Column, word: int) -> Column:
     """One word of a set's bits: every token sets one bit of all words together."""
     place = lambda x: x.bitwiseAND(F.lit(64 * BIT_WORDS - 1))
-    mine = lambda x: F.shiftright(place(x), 6) == word
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), place(x).cast("int"))
-    return F.aggregate(s, F.lit(0).cast("long"), lambda a, x: F.when(mine(x), a.bitwiseOR(bit(x))).otherwise(a))
+    mine = F.filter(s, lambda x: F.shiftright(place(x), 6) == word)
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(bit(x)))
 
 
 def _near_bits() -> Column:
     """False only for pairs whose bits tell that too many of their tokens differ."""
-    differ = sum((F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"q_b{k}"))) for k in range(1, BIT_WORDS)),
-                 F.bit_count(F.col("b0").bitwiseXOR(F.col("q_b0"))))
+    differ = F.lit(0)
+    for k in range(BIT_WORDS):
+        differ = differ + F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"q_b{k}")))
     both = F.col("n") + F.col("m")
     return (both - differ) * (WHOLE + PART) >= both * (2 * PART)
 
 
-def _later(met: DataFrame, sets: DataFrame, held: ExitStack) -> DataFrame:
+def _later_of_common(rows: DataFrame, sets: DataFrame, settled: DataFrame, held: ExitStack) -> tuple[DataFrame, DataFrame]:
+    """Pairs of lines that share a common token: keys of later lines that are similar, pairs left to verify.
+
+    ``rows`` are those of common tokens. Sets of up to ``CARRIED`` tokens are compared in
+    the join itself; a pair with a longer one is left to the caller.
+    """
+    rows = held.enter_context(staged_while(rows.drop("copies"), "line-common-places"))
+    theirs = sets.where(_in_table(_table(rows.select("line_key").distinct(), "line_key"), "line_key") & (F.size("s") <= CARRIED))
+    carried = theirs.select("line_key", "s", *[_bits(F.col("s"), k).alias(f"b{k}") for k in range(BIT_WORDS)])
+    rows = held.enter_context(staged_while(rows.join(carried, "line_key", "left"), "line-common-rows"))
+    names = {"first": "q_first", "line_key": "q_key", "n": "m", "i": "j", "s": "q_s"} | {f"b{k}": f"q_b{k}" for k in range(BIT_WORDS)}
+    others = rows.select("token", *[F.col(c).alias(q) for c, q in names.items()])
+    open_ = rows.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
+    before = (F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j")
+    known = F.col("s").isNotNull() & F.col("q_s").isNotNull()
+    met = open_.join(others, "token").where(before & (~known | (_near_bits() & _similar("s", "q_s"))))
+    met = met.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier"), known.alias("known")).distinct()
+    met = held.enter_context(staged_while(met, "line-common-pairs"))
+    return met.where("known").select("later").distinct(), met.where("NOT known").select("later", "earlier")
+
+
+def _later(met: DataFrame, sets: DataFrame, held: ExitStack, more: DataFrame | None = None) -> DataFrame:
     """Keys of the later lines of pairs that are similar; ``met`` has a row per shared prefix token.
 
+    ``more`` are further pairs ``(later, earlier)`` to verify.
+
     Pairs are written first. Most lines have none, and a table of known size can be
     broadcast, so only the sets of lines with pairs are shuffled.
     """
-    pairs = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j") & _near_bits())
-    pairs = pairs.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier")).distinct()
+    pairs = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j"))
+    pairs = pairs.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier"))
+    if more is not None:
+        pairs = pairs.unionByName(more)
+    pairs = pairs.distinct()
     pairs = held.enter_context(staged_while(pairs, "line-pairs"))
     later = held.enter_context(staged_while(pairs.select("later").distinct(), "line-pair-keys"))
     earlier = held.enter_context(staged_while(pairs.select("earlier").distinct(), "line-pair-keys"))
     a = sets.select(F.col("line_key").alias("later"), F.col("s").alias("a")).join(later, "later", "left_semi")
     b = sets.select(F.col("line_key").alias("earlier"), F.col("s").alias("b")).join(earlier, "earlier", "left_semi")
-    both = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - both
-    return pairs.join(a, "later").join(b, "earlier").where(both * WHOLE >= union * PART).select("later").distinct()
+    return pairs.join(a, "later").join(b, "earlier").where(_similar("a", "b")).select("later").distinct()
 
 
 def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame, held: ExitStack) -> DataFrame:
@@ -218,8 +251,7 @@ def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame,
         .join(keys, "line_key", "left_semi")
         .select("line_key", _tokens(F.col("line")).alias("s"))
     )
-    bits = [f"b{k}" for k in range(BIT_WORDS)]
-    sets = kept(sets.select("line_key", "s", *[_bits(F.col("s"), k).alias(b) for k, b in enumerate(bits)]), "line-sets")
+    sets = kept(sets, "line-sets")
     met = met.join(keys, "line_key", "left_semi")
     # Tokens of many lines come last in the order. That changes the prefix of the lines
     # that have one in it; their next tokens move up, and only these sets are taken apart.
@@ -233,21 +265,29 @@ def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame,
     )
     ranked = ranked.where(F.col("i") <= _prefix_length(F.col("n")))
     rows = met.join(moved, "line_key", "left_anti").select("token", "line_key", "n", "i").unionByName(ranked)
-    rows = rows.join(owners.join(sets.select("line_key", *bits), "line_key"), "line_key")
+    rows = rows.join(owners.join(keys, "line_key", "left_semi"), "line_key")
     rows = kept(rows, "line-prefixes")
 
-    me = F.struct("first", "line_key", "n", "i", *bits)
+    me = F.struct("first", "line_key", "n", "i")
     pivots = rows.groupBy("token").agg(
-        F.min(me).alias("earliest"), F.max_by(me, F.struct("copies", F.negative(F.xxhash64("line_key").cast("double")))).alias("common")
+        F.min(me).alias("earliest"),
+        F.max_by(me, F.struct("copies", F.negative(F.xxhash64("line_key").cast("double")))).alias("common"),
+        F.count("*").alias("lines"),
     )
-    pivots = pivots.select("token", F.explode(F.array_distinct(F.array("earliest", "common"))).alias("p"))
-    other = ["token", "q_first", "q_key", "m", "j", *[f"q_{b}" for b in bits]]
-    pivots = pivots.select("token", "p.*").toDF(*other)
-    settled = kept(_later(rows.join(pivots, "token"), sets, held), "line-settled")
-    open_ = rows.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
-    others = rows.select("token", "first", "line_key", "n", "i", *bits).toDF(*other)
-    rest = _later(open_.join(others, "token"), sets, held)
-    return settled.unionByName(rest).distinct().withColumnRenamed("later", "line_key")
+    pivots = kept(pivots.where("lines > 1"), "line-pivots")
+    other = ["token", "q_first", "q_key", "m", "j"]
+    each = pivots.select("token", F.explode(F.array_distinct(F.array("earliest", "common"))).alias("p"))
+    shared = rows.where(_in_table(_table(pivots, "token"), "token"))
+    settled = kept(_later(shared.join(each.select("token", "p.*").toDF(*other), "token"), sets, held), "line-settled")
+    # two lines of a token have met by now; only where it has more are there other pairs
+    some = pivots.where(F.col("lines").between(3, MANY)).select("token")
+    most = kept(pivots.where(F.col("lines") > MANY).select("token"), "line-most")
+    similar, more = _later_of_common(rows.join(most, "token", "left_semi"), sets, settled, held)
+    cool = rows.where(_in_table(_table(some, "token"), "token")).join(most, "token", "left_anti")
+    open_ = cool.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
+    others = cool.select("token", "first", "line_key", "n", "i").toDF(*other)
+    rest = _later(open_.join(others, "token"), sets, held, more)
+    return settled.unionByName(similar).unionByName(rest).distinct().withColumnRenamed("later", "line_key")
 
 
 def _gone(docs: DataFrame) -> DataFrame:

@@ -62,9 +62,10 @@ EDGES = [
 ]
 
 
-@pytest.mark.parametrize("seed,many", [(1, 32), (2, 3)])
-def test_lines_equal_brute_force(spark, documents, seed, many, monkeypatch):
+@pytest.mark.parametrize("seed,many,carried", [(1, 32, 256), (2, 3, 256), (3, 3, 20)])
+def test_lines_equal_brute_force(spark, documents, seed, many, carried, monkeypatch):
     monkeypatch.setattr(line_dedup, "MANY", many)
+    monkeypatch.setattr(line_dedup, "CARRIED", carried)
     rows = corpus(seed) + EDGES
     want = brute(rows)
     report = line_dedup.line_report(documents(rows).repartition(4)).collect()
