@@ -203,7 +203,7 @@ def _later_of_common(rows: DataFrame, sets: DataFrame, settled: DataFrame, held:
     the join itself; a pair with a longer one is left to the caller.
     """
     rows = held.enter_context(staged_while(rows.drop("copies"), "line-common-places"))
-    theirs = sets.where(_in_table(_table(rows.select("line_key").distinct(), "line_key"), "line_key") & (F.size("s") <= CARRIED))
+    theirs = sets.where(F.size("s") <= CARRIED).join(rows.select("line_key").distinct(), "line_key", "left_semi")
     carried = theirs.select("line_key", "s", *[_bits(F.col("s"), k).alias(f"b{k}") for k in range(BIT_WORDS)])
     rows = held.enter_context(staged_while(rows.join(carried, "line_key", "left"), "line-common-rows"))
     names = {"first": "q_first", "line_key": "q_key", "n": "m", "i": "j", "s": "q_s"} | {f"b{k}": f"q_b{k}" for k in range(BIT_WORDS)}
@@ -277,8 +277,7 @@ def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame,
     pivots = kept(pivots.where("lines > 1"), "line-pivots")
     other = ["token", "q_first", "q_key", "m", "j"]
     each = pivots.select("token", F.explode(F.array_distinct(F.array("earliest", "common"))).alias("p"))
-    shared = rows.where(_in_table(_table(pivots, "token"), "token"))
-    settled = kept(_later(shared.join(each.select("token", "p.*").toDF(*other), "token"), sets, held), "line-settled")
+    settled = kept(_later(rows.join(each.select("token", "p.*").toDF(*other), "token"), sets, held), "line-settled")
     # two lines of a token have met by now; only where it has more are there other pairs
     some = pivots.where(F.col("lines").between(3, MANY)).select("token")
     most = kept(pivots.where(F.col("lines") > MANY).select("token"), "line-most")
