@@ -14,12 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHUNK = "__chunk"
 CHUNK_HOURS = 4096
 HOUR_US = 3_600_000_000
+#: Rows of an axis for one task of a shuffle whose number of partitions is counted.
+TASK_ROWS = 100_000
 
 
 def micros(ts: str | Column) -> Column:
@@ -51,6 +53,23 @@ def group_keys(keys: Sequence[str], chunk_hours: int | None) -> list[str]:
     return [*keys, CHUNK] if chunk_hours is not None else list(keys)
 
 
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions of about ``TASK_ROWS`` rows each, at least one per core."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
+def place(df: DataFrame, groups: Sequence[str], parts: int | None) -> DataFrame:
+    """Bring the rows of a group together, in ``parts`` partitions or as many as the session has.
+
+    The adaptive plan merges the session's partitions by the bytes that are shuffled. A
+    span of the axis is a few bytes there and hundreds of wide rows behind it, so where
+    series are many the caller counts the rows and states the number, which is kept.
+    """
+    if not groups:
+        return df
+    return df.repartition(*groups) if parts is None else df.repartition(parts, *groups)
+
+
 def drop_chunk(df: DataFrame) -> DataFrame:
     return df.drop(CHUNK)
 

@@ -16,6 +16,7 @@ from pricegrid.operators.chunks import (
     drop_chunk,
     group_keys,
     over,
+    place,
 )
 from pricegrid.schemas import DEFAULT_GAP_HOURS
 
@@ -75,6 +76,7 @@ def neighbours(
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
     need_times: bool = True,
+    parts: int | None = None,
 ) -> DataFrame:
     """Last known value at or before, first known value at or after each row.
 
@@ -94,8 +96,8 @@ def neighbours(
 
     near = chunked
     if chunk_hours is not None:
-        edges = _edge_rows(chunked, cols, keys, ts_col).repartition(*groups)
-        near = chunked.repartition(*groups).unionByName(edges, allowMissingColumns=True)
+        edges = place(_edge_rows(chunked, cols, keys, ts_col), groups, parts)
+        near = place(chunked, groups, parts).unionByName(edges, allowMissingColumns=True)
     if need_times:
         us = f"unix_micros(`{ts_col}`)"
         near = near.selectExpr("*", f"({us} - pmod({us}, {HOUR_US})) / {HOUR_US} AS __hour")
@@ -134,13 +136,14 @@ def ffill_bfill(
     cols: Sequence[str] | None = None,
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Forward fill, then backward fill of the leading rows."""
     keys = [*series_cols, *batch_cols]
     names = list(cols) if cols is not None else [
         c for c in df.columns if c not in (*keys, ts_col, CHUNK)
     ]
-    near = neighbours(df, names, keys, ts_col, chunk_hours, need_times=False)
+    near = neighbours(df, names, keys, ts_col, chunk_hours, need_times=False, parts=parts)
     filled = {c: f"coalesce(`__pv_{c}`, `__nv_{c}`) AS `{c}`" for c in names}
     return drop_chunk(near.selectExpr(*[filled.get(c, f"`{c}`") for c in df.columns]))
 
@@ -161,9 +164,10 @@ def repair_columns(
     max_gap_hours: int,
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
+    parts: int | None = None,
 ) -> DataFrame:
     """``gap_repair`` on named columns, keeping the chunk column."""
-    near = neighbours(df, cols, keys, ts_col, chunk_hours)
+    near = neighbours(df, cols, keys, ts_col, chunk_hours, parts=parts)
     names = add_chunk(df, ts_col, chunk_hours).columns
     fixed = {c: _repaired(c, max_gap_hours) for c in cols}
     return near.selectExpr(*[fixed.get(c, f"`{c}`") for c in names])
@@ -178,6 +182,7 @@ def gap_repair(
     method: str = "linear",
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Fill nulls of numeric columns on a gap-free hourly axis.
 
@@ -189,7 +194,7 @@ def gap_repair(
         raise ValueError(f"unknown interpolation method {method!r}")
     keys = [*series_cols, *batch_cols]
     names = _value_columns(df, cols, (*keys, ts_col, CHUNK))
-    return drop_chunk(repair_columns(df, keys, names, max_gap_hours, ts_col, chunk_hours))
+    return drop_chunk(repair_columns(df, keys, names, max_gap_hours, ts_col, chunk_hours, parts))
 
 
 def null_runs(
@@ -199,6 +204,7 @@ def null_runs(
     batch_cols: Sequence[str] = (),
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per run of consecutive nulls: ``run_start, run_end, run_len``.
 
@@ -206,7 +212,7 @@ def null_runs(
     need no stitching and are pre-aggregated before the shuffle.
     """
     keys = [*series_cols, *batch_cols]
-    near = neighbours(df.select(*keys, ts_col, col), [col], keys, ts_col, chunk_hours)
+    near = neighbours(df.select(*keys, ts_col, col), [col], keys, ts_col, chunk_hours, parts=parts)
     return (
         near.where(F.col(col).isNull())
         .groupBy(*keys, F.col(f"__pt_{col}").alias("__after"))

@@ -15,6 +15,8 @@ from pricegrid.operators.chunks import (
     drop_chunk,
     group_keys,
     micros,
+    partitions_for,
+    place,
 )
 
 
@@ -47,12 +49,29 @@ def _axis_spans(df, keys, ts_col, chunk_hours, until):
     )
 
 
+def axis_partitions(
+    df: DataFrame, keys: Sequence[str] = ("series_id",), ts_col: str = "ts", until=None
+) -> int:
+    """Number of partitions for the axis of ``df``, by the hours it will have.
+
+    One aggregate over the keys; a single number comes to the driver.
+    """
+    span = df.groupBy(*keys).agg(
+        micros(F.min(ts_col)).alias("__lo"), micros(F.max(ts_col)).alias("__hi"), F.count(F.lit(1)).alias("__n")
+    )
+    if until is not None:
+        span = span.withColumn("__hi", F.greatest("__hi", micros(F.lit(until).cast("timestamp"))))
+    rows = F.greatest(F.expr(f"(__hi - __lo) div {HOUR_US} + 1"), "__n")
+    return partitions_for(df.sparkSession, span.agg(F.sum(rows)).first()[0] or 0)
+
+
 def chunked_grid(
     df: DataFrame,
     keys: Sequence[str],
     ts_col: str = "ts",
     chunk_hours: int | None = CHUNK_HOURS,
     until=None,
+    parts: int | None = None,
 ) -> DataFrame:
     """``hourly_grid`` that keeps the chunk column for later operators.
 
@@ -67,7 +86,7 @@ def chunked_grid(
     both = data.withColumn("__us", micros(ts_col)).drop(ts_col).unionByName(
         spans, allowMissingColumns=True
     )
-    placed = both.repartition(*groups) if groups else both
+    placed = place(both, groups, parts)
     is_axis = F.col("__first").isNotNull()
     hours = F.when(
         is_axis,
@@ -95,6 +114,7 @@ def hourly_grid(
     until=None,
     resample: str | None = None,
     keep_chunk: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """All hours from the first to the last instant of each (series, batch).
 
@@ -103,7 +123,8 @@ def hourly_grid(
     be unique. ``resample='mean'`` averages finer data into hours beforehand
     instead of dropping it. ``until`` extends the axis into the future. With
     ``keep_chunk`` a repair that follows, in chunks of the same size, finds the
-    rows in place and does not shuffle them again.
+    rows in place and does not shuffle them again, if it is given the same
+    ``parts``: the number of partitions, see ``axis_partitions``.
     """
     if resample == "mean":
         values = [c for c in df.columns if c not in (*series_cols, *batch_cols, ts_col)]
@@ -115,5 +136,5 @@ def hourly_grid(
     elif resample is not None:
         raise ValueError(f"unknown resample method {resample!r}")
     keys = [*series_cols, *batch_cols]
-    grid = chunked_grid(df, keys, ts_col, chunk_hours, until)
+    grid = chunked_grid(df, keys, ts_col, chunk_hours, until, parts)
     return grid if keep_chunk else drop_chunk(grid).select(*df.columns)

@@ -12,6 +12,7 @@ from pricegrid.operators.chunks import (
     CHUNK_HOURS,
     home_rows,
     over,
+    place,
     row_index,
     with_halo,
 )
@@ -65,12 +66,14 @@ def lag_features(
     suffix: str = "h",
     regular: bool = True,
     chunk_hours: int = CHUNK_HOURS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Earlier values, statistics of the rows before, and changes of a column.
 
     Counted in rows per series. ``regular=True`` states that the axis is gap
     free and hourly (see ``hourly_grid``); ``regular=False`` numbers the rows
-    first and is right for any spacing.
+    first and is right for any spacing. ``parts`` is the number of partitions for
+    the windows (see ``axis_partitions``).
     """
     if target_col not in df.columns:
         return df
@@ -83,9 +86,11 @@ def lag_features(
         index_col = "__index"
         df = row_index(df, keys, ts_col, index_col=index_col)
     wide = with_halo(df, reach, keys, ts_col, chunk_hours, index_col)
-    parts = [*keys, CHUNK]
+    groups = [*keys, CHUNK]
+    if parts is not None:
+        wide = place(wide, groups, parts)
     value = f"`{target_col}`"
-    window = over(parts, f"`{ts_col}`")
+    window = over(groups, f"`{ts_col}`")
 
     def rolling(stat: str, size: int) -> str:
         return f"{target_col}_rolling_{stat}_{size}{suffix}"
@@ -102,7 +107,7 @@ def lag_features(
             joined[size] = base
             continue
         short.append(size)
-        stats = _frame_stats(value, parts, ts_col, size)
+        stats = _frame_stats(value, groups, ts_col, size)
         first |= {f"__{stat}_{size}": text for stat, text in stats.items()}
     out = wide.selectExpr("*", *[f"{text} AS `{name}`" for name, text in first.items()])
     # a frame that is not full has no statistics
