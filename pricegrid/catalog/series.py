@@ -16,7 +16,7 @@ from pricegrid.catalog.axis import CHECKED_SQL, MARKET, clip_sql
 from pricegrid.catalog.features import KEYS, PRICE_DIFFS, PRICE_LAGS, PRICE_ROLLING, tilde
 from pricegrid.catalog.registry import query, twin
 from pricegrid.operators.fill import null_runs
-from pricegrid.operators.grid import hourly_grid
+from pricegrid.operators.grid import axis_partitions, hourly_grid
 from pricegrid.operators.lags import lag_features
 from pricegrid.operators.quality import missing_stats
 from pricegrid.plans import jobs
@@ -33,8 +33,10 @@ def market_user(spark, sf_dir):
     return v.market_of(rows, [F.col("series_id")])
 
 
-def user_repaired(spark, sf_dir):
-    return v.repaired_axis(market_user(spark, sf_dir))
+def market_user_placed(spark, sf_dir):
+    """The market per user, and the number of partitions for its axis."""
+    rows = market_user(spark, sf_dir)
+    return rows, axis_partitions(rows)
 
 
 USER_SQL = v.sql_market(
@@ -47,12 +49,14 @@ REPAIRED_SQL = f"{GRID_SQL},\n{v.repair_sql('grid', MARKET_COLS)}"
 
 @query("user_grid", twin(MARKET, "grid", GRID_SQL))
 def _user_grid(spark, sf):
-    return hourly_grid(market_user(spark, sf))
+    rows, parts = market_user_placed(spark, sf)
+    return hourly_grid(rows, parts=parts)
 
 
 @query("user_gap_repair", twin(MARKET, "repaired", REPAIRED_SQL))
 def _user_gap_repair(spark, sf):
-    return user_repaired(spark, sf)
+    rows, parts = market_user_placed(spark, sf)
+    return v.repaired_axis(rows, parts=parts)
 
 
 @query(
@@ -64,8 +68,9 @@ def _user_gap_repair(spark, sf):
     FROM marked WHERE price IS NULL GROUP BY series_id, island""",
 )
 def _user_null_runs(spark, sf):
-    grid = hourly_grid(market_user(spark, sf), chunk_hours=v.TEST_CHUNK)
-    return null_runs(grid, "price", chunk_hours=v.TEST_CHUNK)
+    rows, parts = market_user_placed(spark, sf)
+    grid = hourly_grid(rows, chunk_hours=v.TEST_CHUNK, parts=parts)
+    return null_runs(grid, "price", chunk_hours=v.TEST_CHUNK, parts=parts)
 
 
 @query(
@@ -79,12 +84,14 @@ def _user_null_runs(spark, sf):
     + ") SELECT * FROM counts WHERE missing_count > 0",
 )
 def _user_missing_stats(spark, sf):
-    return missing_stats(hourly_grid(market_user(spark, sf)))
+    rows, parts = market_user_placed(spark, sf)
+    return missing_stats(hourly_grid(rows, parts=parts))
 
 
 def _lags(spark, sf, lags, windows, diffs):
-    price = user_repaired(spark, sf).select("series_id", "ts", "price")
-    return lag_features(price, lags=lags, windows=windows, diffs=diffs, chunk_hours=v.TEST_CHUNK)
+    rows, parts = market_user_placed(spark, sf)
+    price = v.repaired_axis(rows, parts=parts).select("series_id", "ts", "price")
+    return lag_features(price, lags=lags, windows=windows, diffs=diffs, chunk_hours=v.TEST_CHUNK, parts=parts)
 
 
 @query(

@@ -76,9 +76,9 @@ def zone_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_grid(market_zone(spark, sf_dir), chunk_hours=TEST_CHUNK)
 
 
-def repaired_axis(rows: DataFrame, max_gap: int = 6) -> DataFrame:
-    grid = hourly_grid(rows, chunk_hours=TEST_CHUNK, keep_chunk=True)
-    return gap_repair(grid, max_gap_hours=max_gap, chunk_hours=TEST_CHUNK)
+def repaired_axis(rows: DataFrame, max_gap: int = 6, parts: int | None = None) -> DataFrame:
+    grid = hourly_grid(rows, chunk_hours=TEST_CHUNK, keep_chunk=True, parts=parts)
+    return gap_repair(grid, max_gap_hours=max_gap, chunk_hours=TEST_CHUNK, parts=parts)
 
 
 def zone_repaired(spark: SparkSession, sf_dir: str, max_gap: int = 6) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricegrid.operators import chunks
 from pricegrid.operators.grid import axis_partitions
 from pricegrid.plans.cleaning import clean
+from pricegrid.plans.features import engineer_on_grid
 
 HOURS, SERIES = 200, 60
 
@@ -43,3 +44,14 @@ def test_cleaning_deals_out_expanded_hours(sparse):
     most, rows = most_rows(clean(sparse, batch_cols=(), chunk_hours=50))
     assert rows == SERIES * HOURS
     assert most <= 1500
+
+
+def test_features_deal_out_the_hours_of_the_axis(sparse, monkeypatch):
+    """The rows that a task of the lags holds, holes and copies at chunk edges included."""
+    seen = []
+    monkeypatch.setattr("pricegrid.operators.lags.home_rows", lambda df: seen.append(df) or chunks.home_rows(df))
+    done = engineer_on_grid(sparse, chunk_hours=168)
+    most, rows = most_rows(seen[0])
+    assert rows >= SERIES * HOURS
+    assert most <= 3000
+    assert done.count() == 2 * SERIES
