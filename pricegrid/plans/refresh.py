@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricegrid.functions.timezones import month_id
-from pricegrid.operators.chunks import HOUR_US, chunk_index
+from pricegrid.operators.chunks import HOUR_US, chunk_index, partitions_for
 from pricegrid.plans.features import engineer_on_grid, lookback_hours
 from pricegrid.schemas import SERIES, TS
 from pricegrid.session import remove, staged_while
@@ -82,7 +82,8 @@ def reached_features(
     match = [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(keys)]
     rows = history.join(wanted, [*match, chunk_index(ts_col, DAY_HOURS) == F.col("__d")])
     rows = rows.select(*history.columns, RUN, REACHED)
-    done = engineer_on_grid(rows, series_cols=[*keys, RUN], ts_col=ts_col, **options)
+    parts = partitions_for(history.sparkSession, DAY_HOURS * days.count())
+    done = engineer_on_grid(rows, series_cols=[*keys, RUN], ts_col=ts_col, parts=parts, **options)
     return done.where(REACHED).drop(RUN, REACHED)
 
 

@@ -8,6 +8,7 @@ from pricegrid.operators import chunks
 from pricegrid.operators.grid import axis_partitions
 from pricegrid.plans.cleaning import clean
 from pricegrid.plans.features import engineer_on_grid
+from pricegrid.plans.refresh import reached_days, reached_features
 
 HOURS, SERIES = 200, 60
 
@@ -55,3 +56,12 @@ def test_features_deal_out_the_hours_of_the_axis(sparse, monkeypatch):
     assert rows >= SERIES * HOURS
     assert most <= 3000
     assert done.count() == 2 * SERIES
+
+
+def test_refreshed_days_are_dealt_out(sparse, monkeypatch):
+    seen = []
+    monkeypatch.setattr("pricegrid.operators.lags.home_rows", lambda df: seen.append(df) or chunks.home_rows(df))
+    days = reached_days(sparse.select("series_id", "ts"))
+    done = reached_features(sparse, days, chunk_hours=168)
+    assert seen[0].rdd.getNumPartitions() == 24 * days.count() // 500 + 1
+    assert done.count() == 2 * SERIES
