@@ -92,12 +92,23 @@ class _SizeIndex:
 
     def within(self, fingerprint: np.uint64) -> np.ndarray:
         """Numbers of all items whose fingerprint is within the radius."""
+        return self.pairs(np.array([fingerprint], dtype=np.uint64))[1]
+
+    def pairs(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among ``prints`` and numbers of items within the radius, in ascending order.
+
+        All fingerprints are looked up in a block together; a pair may turn up in several blocks.
+        """
         found = []
         for (low, high), starts, members in zip(_block_bounds(), self.starts, self.members):
-            v = int(fingerprint >> np.uint64(low)) & ((1 << (high - low)) - 1)
-            found.append(members[starts[v] : starts[v + 1]])
-        near = np.unique(np.concatenate(found))
-        return near[_popcount(self.prints[near] ^ fingerprint) <= RADIUS]
+            v = ((prints >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)).astype(np.int64)
+            first, count = starts[v], starts[v + 1] - starts[v]
+            skipped = np.cumsum(count) - count
+            place = np.repeat(np.arange(len(prints)), count)
+            item = members[np.arange(len(place)) + np.repeat(first - skipped, count)]
+            near = _popcount(self.prints[item] ^ prints[place]) <= RADIUS
+            found.append(place[near] * len(self.prints) + item[near])
+        return np.divmod(np.unique(np.concatenate(found)), len(self.prints))
 
 
 @dataclass(frozen=True)
@@ -221,17 +232,19 @@ class ItemIndex:
         uniq, inverse = np.unique(at, return_inverse=True)
         votes = _signs(s[uniq]) * weight[uniq][:, None].astype(np.float32)
         prints = _packed(votes[inverse.reshape(at.shape)].sum(axis=1))
-        for start, fingerprint in zip(starts, prints):
-            for k in index.within(fingerprint):
-                item = index.items[k]
-                window = np.unique(s[start : start + width])
-                both = np.intersect1d(window, item.shingles, assume_unique=True)
-                shared = float(self.weight(both).sum())
-                value = shared / (float(self.weight(window).sum()) + item.weight - shared)
-                if value >= self.threshold - 1e-12 and (
-                    item.item_id not in best or value > best[item.item_id][0] + 1e-12
-                ):
-                    best[item.item_id] = (value, int(start), int(width + span - 1))
+        last = None
+        for place, k in zip(*(x.tolist() for x in index.pairs(prints))):
+            start, item = starts[place], index.items[k]
+            if place != last:
+                last, window = place, np.unique(s[start : start + width])
+                own = float(self.weight(window).sum())
+            both = np.intersect1d(window, item.shingles, assume_unique=True)
+            shared = float(self.weight(both).sum())
+            value = shared / (own + item.weight - shared)
+            if value >= self.threshold - 1e-12 and (
+                item.item_id not in best or value > best[item.item_id][0] + 1e-12
+            ):
+                best[item.item_id] = (value, int(start), int(width + span - 1))
 
 
 def _item_passes(benchmark: DataFrame, per_pass: int) -> Iterator[list[tuple[int | None, str | None]]]:

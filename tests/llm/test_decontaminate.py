@@ -134,3 +134,21 @@ def test_weights_are_those_of_the_whole_benchmark(spark, documents, per_pass):
     assert {(3 * k, k) for k, _ in items} <= set(found)
     left = decontaminate.without_contaminated(documents(docs), frame(spark, items).coalesce(1), per_pass=per_pass)
     assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {d for d, _ in found}
+
+
+def test_index_looks_up_all_windows_together():
+    rng = np.random.default_rng(8)
+    prints = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    index = decontaminate._SizeIndex(9, [], prints, 0.0)
+    index.build()
+    asked = np.concatenate([prints[:20] ^ np.uint64(0b1011 << 30), rng.integers(0, 1 << 63, 60, dtype=np.uint64), prints[:3]])
+    want = [
+        (place, k)
+        for place, f in enumerate(asked)
+        for k in range(40)
+        if int(f ^ prints[k]).bit_count() <= decontaminate.RADIUS
+    ]
+    place, item = index.pairs(asked)
+    assert list(zip(place.tolist(), item.tolist())) == want
+    assert len(want) >= 23
+    assert [x.tolist() for x in index.pairs(asked[:0])] == [[], []]
