@@ -7,16 +7,19 @@ similarity of 0.75 or more. Lines and tokens are named by 64-bit hashes: among n
 different lines two get one name with a chance of about n^2 / 2^65.
 
 1. Candidates. Any two such lines share one of the first n - ceil(0.75 n) + 1 tokens
-   in any fixed order; the order of the hashes needs no counts. Only lines that may
-   share enough of their prefixes with a different line go on: no pair is lost.
-2. Join of the candidates. Tokens are ordered by rarity: those that at most ``MANY``
-   candidates have come first, by hash, then the others by their count. Prefix,
-   positional and length filters leave few pairs, verified on the whole sets. Each
-   token's lines first meet two of them, the earliest and the one with most copies:
-   a line that matches one of these is settled. Only lines that did not match meet the
-   other earlier lines of their tokens, where there are any: pairs of tokens with up to
-   ``MANY`` lines are written and verified, the few tokens with more carry the sets along,
-   so that only similar pairs leave their join, however many lines share a token.
+   in any fixed order, and l of the first n - ceil(0.75 n) + l. Tokens with a long first
+   word come first: they are rare, and the order needs no counts. Only lines that share
+   enough of these tokens with other lines go on: no pair is lost.
+2. Join of the candidates, numbered in the order of their first places. Each line first
+   meets one hub, the earliest line that has an outermost token of its set; a line that
+   matches it is settled. Only the others meet the earlier lines of their tokens, ordered
+   by rarity: those that at most ``MANY`` candidates have come first, then the others by
+   their count. Prefix, positional and length filters leave few pairs. Pairs of tokens with
+   up to ``MANY`` lines are written and verified on the whole sets, the few tokens with more
+   carry the sets along, so that only similar pairs leave their join.
+
+A token's name is the length of its first word and 56 bits of its hash, so only lines that
+are compared can have two tokens mixed up.
 """
 
 from __future__ import annotations
@@ -31,8 +34,8 @@ from pricegrid.session import staged_while
 
 #: Bits of the tables that drop most other rows before a shuffle.
 TABLE_BITS = 1 << 23
-#: Lines with a common token whose pairs are counted.
-FEW = 4
+#: Tokens of a line for each token taken beyond its prefix.
+SPARE = 16
 #: Candidate lines with a common token beyond which the token counts as common.
 MANY = 32
 #: Tokens of a line up to which its set travels with its common tokens.
@@ -79,42 +82,65 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(line, " "), "")
 
 
+def _keys(line: Column) -> Column:
+    """A number per word: its length, longest first in the order, and 56 bits of its hash."""
+    return F.transform(
+        _words(line),
+        lambda w: F.shiftleft(F.negative(F.octet_length(w)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8)),
+    )
+
+
 def _tokens(line: Column) -> Column:
-    """Sorted hashes of a line's distinct runs of five words; null for lines without words."""
-    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
-    # one lambda over a one-element array names the hashes, so they are computed once
+    """A line's distinct runs of five words, those with a long first word first; null for lines without words."""
+    # one lambda over a one-element array names the keys, so they are computed once
     named = F.transform(
-        F.array(hashes),
-        lambda h: F.when(F.size(h) >= SHINGLE, _runs(h)).when(F.size(h) > 0, F.array(F.xxhash64(h))),
+        F.array(_keys(line)),
+        lambda h: F.when(F.size(h) > 0, F.transform(F.slice(h, 1, F.greatest(F.size(h) - (SHINGLE - 1), F.lit(1))), lambda x, i: _run(h, x, i))),
     )
     return F.sort_array(F.array_distinct(F.element_at(named, 1)))
 
 
-def _runs(h: Column) -> Column:
-    return F.transform(
-        F.slice(h, 1, F.size(h) - (SHINGLE - 1)),
-        lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, SHINGLE)]),
-    )
+def _run(h: Column, x: Column, i: Column) -> Column:
+    """The token at place i: the length of its first word, as in the key x, and 56 bits of hash.
+
+    Behind the end there is no word, so the words of a shorter line are one token.
+    """
+    run = F.xxhash64(x, *[F.get(h, i + k) for k in range(1, SHINGLE)])
+    return x.bitwiseAND(F.lit(-1 << 56)).bitwiseOR(F.shiftrightunsigned(run, 8))
 
 
 def _prefix_length(n: Column) -> Column:
     return n - F.ceil(n * PART / F.lit(WHOLE)).cast("int") + 1
 
 
-def _candidates(rows: DataFrame, held: ExitStack) -> tuple[DataFrame, DataFrame]:
-    """Shared prefix tokens, and keys of the lines that share enough of them with another.
+def _spare(n: Column) -> Column:
+    """Tokens taken beyond the prefix of n tokens, so that as many more are shared."""
+    return F.floor(n / F.lit(SPARE)).cast("int")
+
 
-    ``rows`` has ``line_key, n, prefix``. The first are rows ``(token, line_key, n, i)``,
-    with the size of the set and the place of the token in it from 1.
+def _prefixes(lines: DataFrame) -> DataFrame:
+    """``token, line_key, need``: the first tokens of every line, those with the longest first words.
 
-    A token is kept if two different lines have it, which an aggregate over all tokens
-    tells; only rows of such tokens are joined. Common phrases make most lines share a
-    token or two with some other line. So where at most ``FEW`` lines have a token, their
-    pairs are counted over the tokens: of two sets that share c prefix tokens, at most c
-    and what follows one of the prefixes is common. Lines of tokens that more lines have
-    go on uncounted.
+    Tokens come in the order of their first words' keys. All up to that of enough different
+    first words are taken, so there are enough different tokens among them, or all there are.
+    Sets of which all but r tokens are common share l of their first r + l tokens: the
+    first l common ones are among them. A line has at least as many tokens as different
+    first words, and no partner with less than three quarters of them, which gives ``need``,
+    the least number of shared tokens.
     """
-    rows = rows.where("prefix IS NOT NULL").select("line_key", "n", F.posexplode("prefix").alias("i", "token"))
+    runs = F.greatest(F.size("h") - (SHINGLE - 1), F.lit(1))
+    rows = lines.select("line_key", _keys(F.col("line")).alias("h")).where(F.size("h") > 0)
+    rows = rows.withColumn("firsts", F.sort_array(F.array_distinct(F.slice("h", 1, runs))))
+    last = F.get("firsts", _prefix_length(runs) + _spare(runs) - 1)
+    need = F.when(last.isNull(), 1).otherwise(1 + _spare(F.size("firsts") * PART / F.lit(WHOLE)))
+    rows = rows.select("line_key", "h", last.alias("last"), need.alias("need"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), runs - 1)).alias("i"))
+    rows = rows.where(F.col("last").isNull() | (F.get("h", F.col("i")) <= F.col("last")))
+    return rows.select(F.xxhash64(*[F.get("h", F.col("i") + k) for k in range(SHINGLE)]).alias("token"), "line_key", "need")
+
+
+def _candidates(rows: DataFrame, held: ExitStack) -> DataFrame:
+    """Keys of the lines that share enough of their first tokens with other lines."""
     shared = (
         rows.groupBy("token")
         .agg(F.min("line_key").alias("low"), F.max("line_key").alias("high"))
@@ -123,23 +149,8 @@ def _candidates(rows: DataFrame, held: ExitStack) -> tuple[DataFrame, DataFrame]
     )
     shared = held.enter_context(staged_while(shared, "line-shared"))
     met = rows.where(_in_table(_table(shared, "token"), "token"))
-    met = met.join(shared.hint("shuffle_hash"), "token", "left_semi").select("token", "line_key", "n", F.expr("i + 1").alias("i")).distinct()
-    met = held.enter_context(staged_while(met, "line-met"))
-    sizes = met.groupBy("token").agg(F.count("*").alias("lines"))
-    many = met.join(sizes.where(F.col("lines") > FEW), "token", "left_semi").select("line_key")
-    few = met.join(sizes.where(F.col("lines") <= FEW), "token", "left_semi")
-    other = few.select("token", F.col("line_key").alias("other"), F.col("n").alias("m"))
-    pairs = (
-        few.join(other, "token")
-        .where("line_key < other")
-        .groupBy("line_key", "other", "n", "m")
-        .agg(F.count("*").alias("c"))
-    )
-    after = F.greatest(F.col("n") - _prefix_length(F.col("n")), F.col("m") - _prefix_length(F.col("m")))
-    enough = (F.col("c") + after) * (WHOLE + PART) >= (F.col("n") + F.col("m")) * PART
-    length = F.least("n", "m") * WHOLE >= F.greatest("n", "m") * PART
-    near = pairs.where(enough & length).select(F.explode(F.array("line_key", "other")).alias("line_key"))
-    return met, many.unionByName(near).distinct()
+    met = met.join(shared.hint("shuffle_hash"), "token", "left_semi").distinct()
+    return met.groupBy("line_key").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("line_key")
 
 
 def _table(keys: DataFrame, name: str) -> Column:
@@ -197,96 +208,89 @@ def _near_bits() -> Column:
 
 
 def _later_of_common(rows: DataFrame, sets: DataFrame, settled: DataFrame, held: ExitStack) -> tuple[DataFrame, DataFrame]:
-    """Pairs of lines that share a common token: keys of later lines that are similar, pairs left to verify.
+    """Pairs of lines that share a common token: later lines that are similar, pairs left to verify.
 
     ``rows`` are those of common tokens. Sets of up to ``CARRIED`` tokens are compared in
     the join itself; a pair with a longer one is left to the caller.
     """
-    rows = held.enter_context(staged_while(rows.drop("copies"), "line-common-places"))
-    theirs = sets.where(F.size("s") <= CARRIED).join(rows.select("line_key").distinct(), "line_key", "left_semi")
-    carried = theirs.select("line_key", "s", *[_bits(F.col("s"), k).alias(f"b{k}") for k in range(BIT_WORDS)])
-    rows = held.enter_context(staged_while(rows.join(carried, "line_key", "left"), "line-common-rows"))
-    names = {"first": "q_first", "line_key": "q_key", "n": "m", "i": "j", "s": "q_s"} | {f"b{k}": f"q_b{k}" for k in range(BIT_WORDS)}
+    rows = held.enter_context(staged_while(rows, "line-common-places"))
+    theirs = sets.where(F.size("s") <= CARRIED).join(rows.select("rank").distinct(), "rank", "left_semi")
+    carried = theirs.select("rank", "s", *[_bits(F.col("s"), k).alias(f"b{k}") for k in range(BIT_WORDS)])
+    rows = held.enter_context(staged_while(rows.join(carried, "rank", "left"), "line-common-rows"))
+    names = {"rank": "q_rank", "n": "m", "i": "j", "s": "q_s"} | {f"b{k}": f"q_b{k}" for k in range(BIT_WORDS)}
     others = rows.select("token", *[F.col(c).alias(q) for c, q in names.items()])
-    open_ = rows.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
-    before = (F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j")
+    open_ = rows.join(settled.withColumnRenamed("later", "rank"), "rank", "left_anti")
+    before = (F.col("q_rank") < F.col("rank")) & _fits("n", "i", "m", "j")
     known = F.col("s").isNotNull() & F.col("q_s").isNotNull()
     met = open_.join(others, "token").where(before & (~known | (_near_bits() & _similar("s", "q_s"))))
-    met = met.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier"), known.alias("known")).distinct()
+    met = met.select(F.col("rank").alias("later"), F.col("q_rank").alias("earlier"), known.alias("known")).distinct()
     met = held.enter_context(staged_while(met, "line-common-pairs"))
     return met.where("known").select("later").distinct(), met.where("NOT known").select("later", "earlier")
 
 
-def _later(met: DataFrame, sets: DataFrame, held: ExitStack, more: DataFrame | None = None) -> DataFrame:
-    """Keys of the later lines of pairs that are similar; ``met`` has a row per shared prefix token.
-
-    ``more`` are further pairs ``(later, earlier)`` to verify.
+def _later(pairs: DataFrame, sets: DataFrame, held: ExitStack) -> DataFrame:
+    """The later lines of the pairs ``(later, earlier)`` that are similar.
 
     Pairs are written first. Most lines have none, and a table of known size can be
     broadcast, so only the sets of lines with pairs are shuffled.
     """
-    pairs = met.where((F.col("q_first") < F.col("first")) & _fits("n", "i", "m", "j"))
-    pairs = pairs.select(F.col("line_key").alias("later"), F.col("q_key").alias("earlier"))
-    if more is not None:
-        pairs = pairs.unionByName(more)
-    pairs = pairs.distinct()
     pairs = held.enter_context(staged_while(pairs, "line-pairs"))
-    later = held.enter_context(staged_while(pairs.select("later").distinct(), "line-pair-keys"))
-    earlier = held.enter_context(staged_while(pairs.select("earlier").distinct(), "line-pair-keys"))
-    a = sets.select(F.col("line_key").alias("later"), F.col("s").alias("a")).join(later, "later", "left_semi")
-    b = sets.select(F.col("line_key").alias("earlier"), F.col("s").alias("b")).join(earlier, "earlier", "left_semi")
+    a = sets.select(F.col("rank").alias("later"), F.col("s").alias("a"))
+    b = sets.select(F.col("rank").alias("earlier"), F.col("s").alias("b"))
     return pairs.join(a, "later").join(b, "earlier").where(_similar("a", "b")).select("later").distinct()
 
 
-def _near(lines: DataFrame, met: DataFrame, keys: DataFrame, owners: DataFrame, held: ExitStack) -> DataFrame:
-    """Keys of lines that a different, earlier line matches, from what :func:`_candidates` gives."""
+def _hubs(sets: DataFrame) -> DataFrame:
+    """For each line the earliest line that has one of the outermost tokens of its set, as a pair."""
+    ends = F.array_distinct(F.array(*[F.get("s", k) for k in (F.lit(0), F.lit(1), F.size("s") - 2, F.size("s") - 1)]))
+    rows = sets.select("rank", F.explode(ends).alias("token")).where("token IS NOT NULL")
+    hubs = rows.groupBy("token").agg(F.min("rank").alias("earlier"), F.max("rank").alias("last")).where("earlier < last")
+    met = rows.join(hubs, "token").where("earlier < rank").groupBy("rank", "earlier").agg(F.count("*").alias("c"))
+    return met.groupBy(F.col("rank").alias("later")).agg(F.max_by("earlier", "c").alias("earlier"))
+
+
+def _near(lines: DataFrame, ids: DataFrame, held: ExitStack) -> DataFrame:
+    """Keys of lines that a different, earlier line matches; ``ids`` has ``line_key, rank`` of the candidates."""
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         return held.enter_context(staged_while(df, name))
 
     sets = (
-        lines.where(_in_table(_table(keys, "line_key"), "line_key"))
+        lines.where(_in_table(_table(ids, "line_key"), "line_key"))
         .groupBy("line_key")
         .agg(F.first("line").alias("line"))
-        .join(keys, "line_key", "left_semi")
-        .select("line_key", _tokens(F.col("line")).alias("s"))
+        .join(ids, "line_key")
+        .select("line_key", "rank", _tokens(F.col("line")).alias("s"))
+        .withColumn("n", F.size("s"))
     )
     sets = kept(sets, "line-sets")
-    met = met.join(keys, "line_key", "left_semi")
+    settled = kept(_later(_hubs(sets), sets, held), "line-settled")
+    each = F.posexplode(F.slice("s", 1, _prefix_length(F.col("n")))).alias("i", "token")
+    met = sets.select("rank", "n", each).select("token", "rank", "n", F.expr("i + 1").alias("i"))
     # Tokens of many lines come last in the order. That changes the prefix of the lines
     # that have one in it; their next tokens move up, and only these sets are taken apart.
     common = kept(met.groupBy("token").agg(F.count("*").alias("lines")).where(F.col("lines") > MANY), "line-common")
-    moved = met.join(common.select("token"), "token", "left_semi").select("line_key").distinct()
+    moved = met.join(common.select("token"), "token", "left_semi").select("rank").distinct()
     moved = kept(moved, "line-moved")
-    each = sets.join(moved, "line_key", "left_semi").select("line_key", F.size("s").alias("n"), F.explode("s").alias("token"))
+    each = sets.join(moved, "rank", "left_semi").select("rank", "n", F.explode("s").alias("token"))
     ranked = each.join(common, "token", "left").selectExpr(
-        "token", "line_key", "n",
-        "row_number() OVER (PARTITION BY line_key ORDER BY coalesce(lines, 0), token) AS i",
+        "token", "rank", "n",
+        "row_number() OVER (PARTITION BY rank ORDER BY coalesce(lines, 0), token) AS i",
     )
     ranked = ranked.where(F.col("i") <= _prefix_length(F.col("n")))
-    rows = met.join(moved, "line_key", "left_anti").select("token", "line_key", "n", "i").unionByName(ranked)
-    rows = rows.join(owners.join(keys, "line_key", "left_semi"), "line_key")
+    rows = met.join(moved, "rank", "left_anti").unionByName(ranked)
     rows = kept(rows, "line-prefixes")
 
-    me = F.struct("first", "line_key", "n", "i")
-    pivots = rows.groupBy("token").agg(
-        F.min(me).alias("earliest"),
-        F.max_by(me, F.struct("copies", F.negative(F.xxhash64("line_key").cast("double")))).alias("common"),
-        F.count("*").alias("lines"),
-    )
-    pivots = kept(pivots.where("lines > 1"), "line-pivots")
-    other = ["token", "q_first", "q_key", "m", "j"]
-    each = pivots.select("token", F.explode(F.array_distinct(F.array("earliest", "common"))).alias("p"))
-    settled = kept(_later(rows.join(each.select("token", "p.*").toDF(*other), "token"), sets, held), "line-settled")
-    # two lines of a token have met by now; only where it has more are there other pairs
-    some = pivots.where(F.col("lines").between(3, MANY)).select("token")
-    most = kept(pivots.where(F.col("lines") > MANY).select("token"), "line-most")
+    # a token can only be common now if it was before, or moved up
+    most = kept(rows.groupBy("token").agg(F.count("*").alias("lines")).where(F.col("lines") > MANY).select("token"), "line-most")
     similar, more = _later_of_common(rows.join(most, "token", "left_semi"), sets, settled, held)
-    cool = rows.where(_in_table(_table(some, "token"), "token")).join(most, "token", "left_anti")
-    open_ = cool.join(settled.withColumnRenamed("later", "line_key"), "line_key", "left_anti")
-    others = cool.select("token", "first", "line_key", "n", "i").toDF(*other)
-    rest = _later(open_.join(others, "token"), sets, held, more)
-    return settled.unionByName(similar).unionByName(rest).distinct().withColumnRenamed("later", "line_key")
+    cool = rows.join(most, "token", "left_anti")
+    open_ = cool.join(settled.withColumnRenamed("later", "rank"), "rank", "left_anti")
+    others = cool.select("token", F.col("rank").alias("earlier"), F.col("n").alias("m"), F.col("i").alias("j"))
+    pairs = open_.withColumnRenamed("rank", "later").join(others, "token").where((F.col("earlier") < F.col("later")) & _fits("n", "i", "m", "j"))
+    rest = _later(pairs.select("later", "earlier").unionByName(more).distinct(), sets, held)
+    found = settled.unionByName(similar).unionByName(rest).distinct()
+    return ids.join(found.withColumnRenamed("later", "rank"), "rank", "left_semi").select("line_key")
 
 
 def _gone(docs: DataFrame) -> DataFrame:
@@ -294,24 +298,24 @@ def _gone(docs: DataFrame) -> DataFrame:
     lines = _lines(docs)
     place = F.struct("doc_id", "text_key", "line_no")
     with ExitStack() as held:
-        wordy = lines.where(F.length(F.translate("line", " ", "")) > 0)
-        sets = wordy.select("doc_id", "text_key", "line_no", "line_key", _tokens(F.col("line")).alias("s"))
-        n = F.size("s")
-        narrow = sets.select("doc_id", "text_key", "line_no", "line_key", n.alias("n"), F.slice("s", 1, _prefix_length(n)).alias("prefix"))
-        with ExitStack() as early:  # the prefixes go once the candidates are known
-            wide = early.enter_context(staged_while(narrow, "line-prefix"))
-            narrow = held.enter_context(staged_while(wide.select("doc_id", "text_key", "line_no", "line_key"), "line-places"))
-            owners = narrow.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-            owners = held.enter_context(staged_while(owners, "line-owners"))
-            met, keys = _candidates(wide, held)
-            keys = held.enter_context(staged_while(keys, "line-candidates"))
-        near = held.enter_context(staged_while(_near(lines, met, keys, owners, held), "line-near"))
+        places = lines.where(F.length(F.translate("line", " ", "")) > 0).select("doc_id", "text_key", "line_no", "line_key")
+        places = held.enter_context(staged_while(places, "line-places"))
+        with ExitStack() as early:  # the tokens go once the candidates are known
+            rows = early.enter_context(staged_while(_prefixes(lines), "line-tokens"))
+            keys = held.enter_context(staged_while(_candidates(rows, early), "line-candidates"))
+        owners = places.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
+        owners = held.enter_context(staged_while(owners, "line-owners"))
+        # numbers in the order of the places, which is written to sort it once
+        ids = held.enter_context(staged_while(owners.join(keys, "line_key", "left_semi").select("line_key", "first"), "line-firsts"))
+        ids = ids.orderBy("first").select("line_key", F.monotonically_increasing_id().alias("rank"))
+        ids = held.enter_context(staged_while(ids, "line-ids"))
+        near = held.enter_context(staged_while(_near(lines.select("line", "line_key"), ids, held), "line-near"))
         repeated = (
             owners.join(near.withColumn("near", F.lit(True)), "line_key", "left")
             .where("copies > 1 OR near")
             .select("line_key", "first", F.coalesce("near", F.lit(False)).alias("near"))
         )
-        hit = narrow.join(repeated, "line_key").where(F.col("near") | (place != F.col("first")))
+        hit = places.join(repeated, "line_key").where(F.col("near") | (place != F.col("first")))
         return staged(hit.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone")), "line-gone")
 
 

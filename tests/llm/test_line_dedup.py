@@ -106,3 +106,20 @@ def test_short_lines_and_clashing_names(spark, documents):
     done = line_dedup.dedup_lines(docs)
     assert done.columns == docs.columns
     assert {r.doc_id: r.text for r in done.collect()} == {1: rows[0][1], 2: "home\n\n", 4: "and more here"}
+
+
+def test_candidates_are_all_similar_lines_and_few_others(spark, documents):
+    """One shared run of function words among many tokens makes no candidate."""
+    rng = random.Random(5)
+    words = lambda n: [f"{rng.randrange(10**9):09d}" for _ in range(n)]
+    base = words(80)
+    near = [" ".join(base), " ".join(base[:-3]), " ".join(base[2:])]
+    loose = [" ".join([*words(40), *"to the end of it".split(), *words(40)]) for _ in range(6)]
+    docs = documents([(k, x) for k, x in enumerate(near + loose)])
+    lines = line_dedup._lines(docs)
+    with line_dedup.ExitStack() as held:
+        keys = line_dedup._candidates(line_dedup._prefixes(lines), held)
+        got = {r.line for r in lines.join(keys, "line_key").collect()}
+    assert got == set(near)
+    report = line_dedup.line_report(docs).collect()
+    assert {r.doc_id for r in report if r.n_removed} == {1, 2}
