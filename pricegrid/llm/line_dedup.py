@@ -121,22 +121,25 @@ def _spare(n: Column) -> Column:
 def _prefixes(lines: DataFrame) -> DataFrame:
     """``token, line_key, need``: the first tokens of every line, those with the longest first words.
 
-    Tokens come in the order of their first words' keys. All up to that of enough different
-    first words are taken, so there are enough different tokens among them, or all there are.
+    Tokens come in the order of a number of their first words, a hash that every byte of the
+    word halves. All up to that of enough different first words are taken, so there are
+    enough different tokens among them, or all there are.
     Sets of which all but r tokens are common share l of their first r + l tokens: the
     first l common ones are among them. A line has at least as many tokens as different
     first words, and no partner with less than three quarters of them, which gives ``need``,
     the least number of shared tokens.
     """
-    runs = F.greatest(F.size("h") - (SHINGLE - 1), F.lit(1))
-    rows = lines.select("line_key", _keys(F.col("line")).alias("h")).where(F.size("h") > 0)
-    rows = rows.withColumn("firsts", F.sort_array(F.array_distinct(F.slice("h", 1, runs))))
+    runs = F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))
+    order = F.transform("w", lambda x: F.call_function("shiftrightunsigned", F.xxhash64(x), F.octet_length(x)))
+    rows = lines.select("line_key", _words(F.col("line")).alias("w")).where(F.size("w") > 0)
+    rows = rows.withColumn("order", order)
+    rows = rows.withColumn("firsts", F.sort_array(F.array_distinct(F.slice("order", 1, runs))))
     last = F.get("firsts", _prefix_length(runs) + _spare(runs) - 1)
     need = F.when(last.isNull(), 1).otherwise(1 + _spare(F.size("firsts") * PART / F.lit(WHOLE)))
-    rows = rows.select("line_key", "h", last.alias("last"), need.alias("need"))
+    rows = rows.select("line_key", "w", "order", last.alias("last"), need.alias("need"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), runs - 1)).alias("i"))
-    rows = rows.where(F.col("last").isNull() | (F.get("h", F.col("i")) <= F.col("last")))
-    return rows.select(F.xxhash64(*[F.get("h", F.col("i") + k) for k in range(SHINGLE)]).alias("token"), "line_key", "need")
+    rows = rows.where(F.col("last").isNull() | (F.get("order", F.col("i")) <= F.col("last")))
+    return rows.select(F.xxhash64(*[F.get("w", F.col("i") + k) for k in range(SHINGLE)]).alias("token"), "line_key", "need")
 
 
 def _candidates(rows: DataFrame, held: ExitStack) -> DataFrame:
